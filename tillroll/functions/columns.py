@@ -63,18 +63,54 @@ def to_customer_id(c: str | Column) -> Column:
     return F.coalesce(col.try_cast("long"), col.try_cast("double").try_cast("long"))
 
 
+# Pattern letters that only ever read digits.
+_NUMERIC_LETTERS = set("yuMLdDHhkKmsSn")
+
+
+def pattern_shape(pattern: str) -> str | None:
+    """A regex every text parsable by the datetime ``pattern`` matches (each
+    numeric field becomes ``\\d+``, other characters stay literal), or None
+    when the pattern has text fields or quotes. Used as a cheap guard: a
+    failed pattern parse costs an exception inside the task, a regex miss
+    does not."""
+    import re
+
+    out, i = [], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        j = i
+        while j < len(pattern) and pattern[j] == ch:
+            j += 1
+        if ch.isalpha():
+            if ch not in _NUMERIC_LETTERS or (ch in "ML" and j - i > 2):
+                return None
+            out.append(r"\d+")
+        elif ch == "'":
+            return None
+        else:
+            out.append(re.escape(pattern[i:j]))
+        i = j
+    return "^" + "".join(out) + "$"
+
+
+def _try_pattern(col: Column, fmt: str) -> Column:
+    parsed = F.try_to_timestamp(col, F.lit(fmt))
+    shape = pattern_shape(fmt)
+    return parsed if shape is None else F.when(col.rlike(shape), parsed)
+
+
 def parse_timestamp(c: str | Column, formats: Iterable[str] = DEFAULT_DATE_FORMATS) -> Column:
     """Text -> wall-clock timestamp; the first pattern that parses wins, then
     ISO text; anything else is null."""
     col = as_col(c).cast("string")
-    tries = [F.try_to_timestamp(col, F.lit(f)) for f in formats]
+    tries = [_try_pattern(col, f) for f in formats]
     return F.coalesce(*tries, F.try_to_timestamp(col)).cast("timestamp_ntz")
 
 
 def parse_timestamp_lenient(c: str | Column, formats: Iterable[str] = DEFAULT_DATE_FORMATS) -> Column:
     """Lenient parse: ISO text first, then the month-first patterns; bad -> null."""
     col = as_col(c).cast("string")
-    tries = [F.try_to_timestamp(col, F.lit(f)) for f in formats]
+    tries = [_try_pattern(col, f) for f in formats]
     return F.coalesce(F.try_to_timestamp(col), *tries).cast("timestamp_ntz")
 
 

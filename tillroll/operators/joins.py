@@ -9,7 +9,7 @@ from tillroll.functions.columns import normalize_headers, trimmed_text
 
 # Row bound under which a dimension is shipped to every task. The check runs
 # a LIMIT query, so it costs at most this many rows however big the input is.
-BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

@@ -15,6 +15,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -33,6 +34,9 @@ def get_spark(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs everything in the driver JVM.
+            builder = builder.config("spark.driver.memory", "8g")
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

@@ -28,14 +28,60 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.joins import fits_broadcast
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
 
+# Declared schemas of the driver's tables: reading with them skips footer
+# inference on the driver and fails loudly if a file changes type.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+# Line-level tables whose scan feeds most of the work.
+FACT_TABLES = ("lineitem", "events")
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a table that arrives as fewer files than task slots.
+
+    Parquet splits only at row-group boundaries, so a one-file, one-row-group
+    table is scanned by one task and everything up to the first shuffle
+    (joins against broadcast dimensions, text parsing) runs on one core. A
+    round-robin repartition fixes that for small inputs. A table at cluster
+    scale comes as many files, and there this is a no-op: no extra shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= slots:
+        return df
+    return df.repartition(slots)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_small_input(df) if name in FACT_TABLES else df
 
 
 def _lines(spark: SparkSession, sf_dir: str, line_cols: list[str]) -> DataFrame:
@@ -55,6 +101,12 @@ def _lines(spark: SparkSession, sf_dir: str, line_cols: list[str]) -> DataFrame:
     order_country = orders.join(cust_country, orders.o_custkey == cust_country.c_custkey).select(
         "o_orderkey", "o_custkey", "o_orderdate", "n_name"
     )
+    # Without column statistics Spark estimates a join as the product of its
+    # inputs, so it would rather broadcast the line table than the joined
+    # orders. State the intent: orders (one row per order, checked by count)
+    # are broadcast when small; otherwise both sides shuffle on the order key.
+    if fits_broadcast(orders.select("o_orderkey")):
+        order_country = F.broadcast(order_country)
     return li.join(order_country, li.l_orderkey == order_country.o_orderkey).join(
         part, li.l_partkey == part.p_partkey
     )
