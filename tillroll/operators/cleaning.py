@@ -135,8 +135,12 @@ def price_quantity_positive(df: DataFrame) -> DataFrame:
 
 def handle_missing_values_lenient(df: DataFrame) -> DataFrame:
     """Single-machine rule: drop null critical columns, keep UnitPrice > 0 and
-    Quantity != 0, and fill CustomerID with -1 when the column exists."""
-    return df.transform(drop_missing_critical).transform(price_quantity_positive).transform(fill_missing_customer)
+    Quantity != 0, and fill CustomerID with -1 (as a long) when the column
+    exists."""
+    out = df.transform(drop_missing_critical).transform(price_quantity_positive).transform(fill_missing_customer)
+    if _has(out, "CustomerID"):
+        out = out.withColumn("CustomerID", _to_long_id(out, "CustomerID"))
+    return out
 
 
 def filter_valid_transactions(df: DataFrame, case_sensitive: bool = False) -> DataFrame:
