@@ -98,7 +98,24 @@ def normalize_types(df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_FO
     if _has(df, "CustomerID"):
         out["CustomerID"] = _to_long_id(df, "CustomerID")
     out["InvoiceDate"] = _to_timestamp(df, "InvoiceDate", formats)
-    return df.withColumns(out)
+    normalized = df.withColumns(out)
+    parses_text = any(isinstance(field_type(df, c), T.StringType) for c in ("Quantity", "UnitPrice", "InvoiceDate"))
+    return _evaluate_once(normalized) if parses_text else normalized
+
+
+def _evaluate_once(df: DataFrame) -> DataFrame:
+    """Fence for expensive projections.
+
+    Catalyst pushes a later row filter (``InvoiceDate IS NOT NULL``, the
+    outlier bounds) below the projection by inlining its expressions, so every
+    text parse would run twice: once in the filter, once in the projection.
+    Filters on a generator's output cannot be pushed below the generator, so
+    passing the row through a one-element ``inline`` evaluates each parse
+    once. Used only when normalisation parses text; typed inputs keep full
+    pushdown to the scan.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.array(row)))
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
@@ -184,14 +201,17 @@ def normalize_lenient(df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_
     """Single-machine normalisation: lenient date parse (unparsable rows are
     dropped), StockCode as text, Description/Country stripped of all
     surrounding whitespace. InvoiceNo is left untrimmed."""
-    return df.withColumns(
+    normalized = df.withColumns(
         {
             "InvoiceDate": _to_timestamp(df, "InvoiceDate", tuple(date_formats), lenient=True),
             "StockCode": F.col("StockCode").cast("string"),
             "Country": stripped_text("Country"),
             "Description": stripped_text("Description"),
         }
-    ).dropna(subset=["InvoiceDate"])
+    )
+    if isinstance(field_type(df, "InvoiceDate"), T.StringType):
+        normalized = _evaluate_once(normalized)
+    return normalized.dropna(subset=["InvoiceDate"])
 
 
 def coerce_numbers(df: DataFrame) -> DataFrame:
