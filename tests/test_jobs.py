@@ -50,3 +50,20 @@ def test_manifest_flags_mixed_schemas(spark, scratch):
         quality.check_consistent_schemas(manifest)
     dest = {r.run_id: r.destination for r in quality.resolve_destinations(manifest).collect()}
     assert dest["old"] == "supplier_sales"  # the only supplier-family run ranks first, even empty
+
+
+def test_single_machine_results(spark):
+    from tillroll.plans.jobs import single_machine_results
+    from tillroll.sources import driver_views as views
+
+    res = single_machine_results(
+        views.dirty(spark, SMOKE_DIR), views.bridge(spark, SMOKE_DIR), views.mapping(spark, SMOKE_DIR),
+        market_country="NATION_7", market_year=1998, best_product_country="nation_3",
+    )
+    assert res["cleaned_df"].count() > 0
+    assert res["country_sales"].columns == ["Country", "TotalAmount"]
+    assert res["supplier_sales"].filter("SupplierID IS NULL").count() == 0
+    world = res["world_results"]
+    assert world["continent_sales"].filter("Continent IS NULL").count() == 0
+    assert world["top_cancelled_continent"].count() == 1
+    assert res["peak_hour"].first()[0] is not None

@@ -21,8 +21,8 @@ from tillroll.functions.columns import in_year, is_cancelled, month_bucket, trim
 from tillroll.operators.joins import fits_broadcast, normalize_mapping, normalize_supplier
 
 
-def _money(c: Column) -> Column:
-    return F.round(F.sum(c), 2)
+def _money(c: Column, rounded: bool = True) -> Column:
+    return F.round(F.sum(c), 2) if rounded else F.sum(c)
 
 
 def _top1(df: DataFrame, value: str, score: str, out: str) -> DataFrame:
@@ -59,11 +59,15 @@ def group_by_country_sum_only(enriched: DataFrame) -> DataFrame:
 # --- A2 -----------------------------------------------------------------------
 
 
-def aggregate_monthly_data(enriched: DataFrame) -> DataFrame:
-    """Sales and distinct invoices per ``yyyy-MM`` month, in month order."""
+def aggregate_monthly_data(enriched: DataFrame, rounded: bool = True) -> DataFrame:
+    """Sales and distinct invoices per ``yyyy-MM`` month, in month order
+    (``rounded=False``: raw sums, the single-machine rule)."""
     return (
         enriched.groupBy(month_bucket("InvoiceDate").alias("InvoiceMonth"))
-        .agg(_money(F.col("TotalAmount")).alias("TotalSales"), F.countDistinct("InvoiceNo").alias("TransactionCount"))
+        .agg(
+            _money(F.col("TotalAmount"), rounded).alias("TotalSales"),
+            F.countDistinct("InvoiceNo").alias("TransactionCount"),
+        )
         .orderBy("InvoiceMonth")
     )
 
@@ -139,8 +143,11 @@ def aggregate_supplier_market(
 # --- A5 / A6 / A10 ------------------------------------------------------------
 
 
-def aggregate_world_data(enriched: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Sales per continent (unmapped countries form the null group).
+def aggregate_world_data(
+    enriched: DataFrame, mapping: DataFrame, rounded: bool = True, keep_unmapped: bool = True
+) -> DataFrame:
+    """Sales per continent; unmapped countries form the null group unless
+    ``keep_unmapped=False`` (single-machine rule, with raw sums).
 
     A checked-small mapping is broadcast and joined row by row with no
     shuffle; a large one is joined after summing per country, so the join
@@ -153,9 +160,11 @@ def aggregate_world_data(enriched: DataFrame, mapping: DataFrame) -> DataFrame:
     else:
         per_country = lines.groupBy("Country").agg(F.sum("TotalAmount").alias("TotalAmount"))
         joined = per_country.join(m, on="Country", how="left")
+    if not keep_unmapped:
+        joined = joined.filter(F.col("Continent").isNotNull())
     return (
         joined.groupBy("Continent")
-        .agg(_money(F.col("TotalAmount")).alias("TotalAmount"))
+        .agg(_money(F.col("TotalAmount"), rounded).alias("TotalAmount"))
         .orderBy(F.desc("TotalAmount"))
     )
 
@@ -169,16 +178,21 @@ def cancelled_invoices(raw: DataFrame, case_sensitive: bool = False) -> DataFram
     return typed.filter(is_cancelled("InvoiceNo", case_sensitive=case_sensitive))
 
 
-def build_cancellations_by_continent(raw: DataFrame, mapping: DataFrame) -> DataFrame:
+def build_cancellations_by_continent(
+    raw: DataFrame, mapping: DataFrame, case_sensitive: bool = False, keep_unmapped: bool = True
+) -> DataFrame:
     """Distinct cancelled invoices per continent, from the raw (uncleaned)
     lines. Distinct (Country, InvoiceNo) pairs are formed before the join;
-    the mapping is broadcast only when checked small."""
+    the mapping is broadcast only when checked small. The single-machine
+    rule is ``case_sensitive=True, keep_unmapped=False``."""
     m = normalize_mapping(mapping)
-    pairs = cancelled_invoices(raw).distinct()
+    pairs = cancelled_invoices(raw, case_sensitive).distinct()
     right = F.broadcast(m) if fits_broadcast(m) else m
+    joined = pairs.join(right, on="Country", how="left")
+    if not keep_unmapped:
+        joined = joined.filter(F.col("Continent").isNotNull())
     return (
-        pairs.join(right, on="Country", how="left")
-        .groupBy("Continent")
+        joined.groupBy("Continent")
         .agg(F.countDistinct("InvoiceNo").alias("CancelledOperations"))
         .orderBy(F.desc("CancelledOperations"))
     )

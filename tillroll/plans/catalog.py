@@ -80,7 +80,14 @@ def queries() -> dict[str, Query]:
     q["supplier_sales_country_year"] = lambda s, d: agg.aggregate_supplier_market(
         enriched(s, d), views.bridge(s, d), MARKET_COUNTRY, MARKET_YEAR
     )
+    q["monthly_sales_unrounded"] = lambda s, d: agg.aggregate_monthly_data(enriched(s, d), rounded=False)
     q["continent_sales"] = lambda s, d: agg.aggregate_world_data(enriched(s, d), views.mapping(s, d))
+    q["continent_sales_mapped_only"] = lambda s, d: agg.aggregate_world_data(
+        enriched(s, d), views.mapping(s, d), rounded=False, keep_unmapped=False
+    )
+    q["cancellations_case_sensitive"] = lambda s, d: agg.build_cancellations_by_continent(
+        views.retail(s, d), views.mapping(s, d), case_sensitive=True, keep_unmapped=False
+    )
     q["cancellations_by_continent"] = _cancellations
     q["top_cancelled_continent"] = lambda s, d: agg.top_cancelled_continent(_cancellations(s, d))
     q["best_product_in_country"] = lambda s, d: agg.best_product_in_country(enriched(s, d), BEST_PRODUCT_COUNTRY)

@@ -262,3 +262,48 @@ def run_all_on_driver_tables(spark: SparkSession, sf_dir: str, out_root: str) ->
         events_ts="ts",
         events_id="user_id",
     )
+
+
+def single_machine_results(
+    retail: DataFrame,
+    supplier: DataFrame,
+    mapping: DataFrame | None = None,
+    *,
+    market_country: str = "United Kingdom",
+    market_year: int = 2011,
+    best_product_country: str = DEFAULT_BEST_PRODUCT_COUNTRY,
+    date_formats=CleaningRules().date_formats,
+) -> dict:
+    """The single-machine pipeline's results, as lazy frames.
+
+    Lenient cleaning, unrounded line amounts, raw sums, no null groups,
+    case-sensitive cancellations; world results only with a mapping. The
+    one-row frames hold the scalar answers.
+    """
+    from tillroll.operators.cleaning import clean_lenient, coerce_numbers
+    from tillroll.operators.enrich import total_amount_unrounded
+
+    cleaned = clean_lenient(coerce_numbers(retail), date_formats)
+    lines = total_amount_unrounded(cleaned)
+    by_hour = agg.transactions_by_hour(lines)
+    market = agg.filter_country_year(lines, market_country, market_year)
+    results = {
+        "cleaned_df": lines,
+        "country_sales": agg.group_by_country_sum_only(lines),
+        "monthly_stats": agg.aggregate_monthly_data(lines, rounded=False),
+        "best_product": agg.best_product_in_country(lines, best_product_country),
+        "transaction_peak_hour": by_hour,
+        "peak_hour": agg.peak_hour(by_hour),
+        "supplier_sales": agg.aggregate_supplier_data_matched_only(lines, supplier),
+        "supplier_sales_uk_2011": agg.aggregate_supplier_data_matched_only(market, supplier),
+        "world_results": None,
+    }
+    if mapping is not None:
+        cancellations = agg.build_cancellations_by_continent(retail, mapping, case_sensitive=True, keep_unmapped=False)
+        results["world_results"] = {
+            "continent_sales": agg.aggregate_world_data(lines, mapping, rounded=False, keep_unmapped=False),
+            "cancellations_by_continent": cancellations,
+            "top_cancelled_continent": agg.top_cancelled_continent(cancellations),
+            "world_df": with_continent(lines, mapping),
+        }
+    return results

@@ -243,6 +243,20 @@ SELECT b.SupplierID AS SupplierID, sum(e.TotalAmount) AS TotalAmount
 FROM enriched e JOIN bridge b ON e.InvoiceNo = b.InvoiceNo
 WHERE b.SupplierID IS NOT NULL GROUP BY b.SupplierID ORDER BY TotalAmount DESC"""
     q["supplier_sales_country_year"] = eb + _SUPPLIER_SALES.format(src=f"({_MARKET})", bridge="bridge")
+    q["monthly_sales_unrounded"] = e + """
+SELECT strftime(InvoiceDate, '%Y-%m') AS InvoiceMonth, sum(TotalAmount) AS TotalSales,
+       count(DISTINCT InvoiceNo) AS TransactionCount
+FROM enriched GROUP BY 1 ORDER BY InvoiceMonth"""
+    q["continent_sales_mapped_only"] = em + """
+SELECT m.Continent AS Continent, sum(e.TotalAmount) AS TotalAmount
+FROM enriched e JOIN mapping m ON e.Country = m.Country
+WHERE m.Continent IS NOT NULL GROUP BY m.Continent ORDER BY TotalAmount DESC"""
+    q["cancellations_case_sensitive"] = rm + """
+SELECT m.Continent AS Continent, count(DISTINCT r.InvoiceNo) AS CancelledOperations
+FROM (SELECT CAST(InvoiceNo AS VARCHAR) AS InvoiceNo, trim(Country) AS Country FROM retail) r
+JOIN mapping m ON r.Country = m.Country
+WHERE starts_with(r.InvoiceNo, 'C') AND m.Continent IS NOT NULL
+GROUP BY m.Continent ORDER BY CancelledOperations DESC"""
     q["continent_sales"] = em + """
 SELECT m.Continent AS Continent, round(sum(e.TotalAmount), 2) AS TotalAmount
 FROM enriched e LEFT JOIN mapping m ON e.Country = m.Country

@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming work: no watermark, windowed aggregate, state
+or late-data handling. Every operator here is a bounded batch job, so this
+package holds no operators. The cleaning and enrichment steps are stateless
+row functions plus one de-duplication; if a stream form is ever needed they
+can be applied to a ``readStream`` frame as they are, with
+``dropDuplicatesWithinWatermark`` in place of the full-row distinct.
+"""
