@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import normalize_headers, trimmed_text
 
-# Row bound under which a dimension is shipped to every task. The check runs
-# a LIMIT query, so it costs at most this many rows however big the input is.
+# Row bound under which a dimension is shipped to every task.
 BROADCAST_MAX_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (checked, not assumed)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (checked, not assumed).
+
+    A plain count: a partial aggregate, so one row per task reaches the
+    driver, and on a Parquet table it reads row-group metadata only. (A
+    ``LIMIT n+1`` count looks cheaper but funnels up to ``n`` rows per task
+    into a single partition.) Call it on base tables or small derived frames
+    such as the mapping, not on a large join.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
