@@ -80,7 +80,9 @@ def _to_timestamp(df: DataFrame, name: str, formats: Iterable[str], lenient: boo
     return parse(name, formats)
 
 
-def normalize_types(df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
+def normalize_types(
+    df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_FORMATS, fence: bool = True
+) -> DataFrame:
     """Coerce the retail columns once (one projection, not a chain).
 
     Text columns are trimmed; Quantity/UnitPrice accept a decimal comma;
@@ -88,6 +90,10 @@ def normalize_types(df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_FO
     Columns already of the target type pass through untouched, which gives the
     same values as the text round trip but keeps Parquet pushdown possible.
     A missing CustomerID column is allowed.
+
+    ``fence`` (default on) keeps later row filters from re-evaluating the text
+    parses (see :func:`_evaluate_once`); turn it off when no filter follows,
+    where the fence only adds a row copy.
     """
     formats = tuple(date_formats)
     out: dict[str, Column] = {}
@@ -100,7 +106,7 @@ def normalize_types(df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_FO
     out["InvoiceDate"] = _to_timestamp(df, "InvoiceDate", formats)
     normalized = df.withColumns(out)
     parses_text = any(isinstance(field_type(df, c), T.StringType) for c in ("Quantity", "UnitPrice", "InvoiceDate"))
-    return _evaluate_once(normalized) if parses_text else normalized
+    return _evaluate_once(normalized) if (parses_text and fence) else normalized
 
 
 def _evaluate_once(df: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def cleaning_waterfall(raw: DataFrame, rules: CleaningRules = CleaningRules()) -
     instead of one count per step: the distinct-row aggregate gives both the
     raw total (sum of copies) and the de-duplicated total, then cumulative
     ``count_if`` gives the later steps."""
-    normalized = normalize_types(raw, rules.date_formats)
+    normalized = normalize_types(raw, rules.date_formats, fence=False)
     return waterfall_from_groups(distinct_with_copies(normalized), rules)
 
 

@@ -97,7 +97,7 @@ def queries() -> dict[str, Query]:
     q["total_amount"] = enriched
     q["total_amount_unrounded"] = lambda s, d: enrich.total_amount_unrounded(views.retail(s, d))
 
-    q["normalize_types"] = _normalized_dirty
+    q["normalize_types"] = lambda s, d: cleaning.normalize_types(views.dirty(s, d), fence=False)
     q["parse_decimal_comma"] = lambda s, d: views.dirty(s, d).select(
         F.col("Quantity").alias("QuantityText"),
         decimal_text_to_int("Quantity").alias("Quantity"),

@@ -59,7 +59,7 @@ def cleaning_job(
     recomputed rather than lost.
     """
     raw = _frame(spark, retail)
-    normalized = normalize_types(raw, rules.date_formats)
+    normalized = normalize_types(raw, rules.date_formats, fence=False)
     groups = distinct_with_copies(normalized).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         keep = cleaning_conditions(rules)["outliers"]
