@@ -69,7 +69,7 @@ def load_result_dir(spark: SparkSession, folder: str, schema: T.StructType | Non
         df = reader.parquet(folder)
     except AnalysisException as exc:
         raise FileNotFoundError(f"no parquet in {folder}") from exc
-    if not df.inputFiles():
+    if df.rdd.getNumPartitions() == 0:  # no file splits at all
         raise FileNotFoundError(f"no parquet in {folder}")
     return df
 
