@@ -67,5 +67,7 @@ def test_top_n_is_take_ordered(spark):
 
 def test_waterfall_is_one_aggregate_pass(spark):
     df = catalog.queries()["cleaning_waterfall"](spark, SMOKE_DIR)
-    # one shuffle for the distinct rows, one for the global total
-    assert plan_text(df).count("Exchange hashpartitioning") == 1
+    # one keyed shuffle for the distinct rows (plus the single-partition
+    # merge of the global total); the small-input spread is not counted
+    lines = [l for l in plan_text(df).split("\n") if "Exchange hashpartitioning" in l]
+    assert sum("ENSURE_REQUIREMENTS" in l for l in lines) == 1

@@ -90,8 +90,17 @@ def _supplier_contributions(enriched: DataFrame, supplier: DataFrame, keep_unmat
         F.sum("TotalAmount").alias("amount")
     )
     bridge = normalize_supplier(supplier).groupBy("InvoiceNo", "SupplierID").agg(F.count(F.lit(1)).alias("copies"))
-    matched = invoice_totals.join(bridge, on="InvoiceNo", how="inner").select(
-        "SupplierID", (F.col("amount") * F.col("copies")).alias("amount")
+    # The totals come out of an aggregate already hash-partitioned on
+    # InvoiceNo, so the planner would feed them to the join without a shuffle,
+    # and adaptive execution only splits skewed joins whose inputs are both
+    # planner shuffles. Joining on (InvoiceNo, hash of InvoiceNo) - the hash
+    # adds no selectivity - makes both sides arrive through such a shuffle, so
+    # an invoice listed with a third of all suppliers is split across tasks.
+    ih = F.xxhash64("InvoiceNo").alias("_ih")
+    matched = (
+        invoice_totals.select("InvoiceNo", ih, "amount")
+        .join(bridge.select("InvoiceNo", ih, "SupplierID", "copies"), on=["InvoiceNo", "_ih"], how="inner")
+        .select("SupplierID", (F.col("amount") * F.col("copies")).alias("amount"))
     )
     if not keep_unmatched:
         return matched
