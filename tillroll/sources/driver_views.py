@@ -72,10 +72,15 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
     needs, and only the key column must be read for it). A table at cluster
     scale comes as many files, and there this is a no-op: no extra shuffle.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    # The scan's split count comes back as one integer (the file list stays
-    # in the JVM), so this check costs the same for ten files or a million.
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        # The scan's split count comes back as one integer (the file list
+        # stays in the JVM), so the check costs the same for ten files or a
+        # million.
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    if splits >= slots:
         return df
     return df.repartition(slots, key)
 
