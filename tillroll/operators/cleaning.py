@@ -220,13 +220,17 @@ def normalize_lenient(df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_
     return normalized.dropna(subset=["InvoiceDate"])
 
 
-def coerce_numbers(df: DataFrame) -> DataFrame:
+def coerce_numbers(df: DataFrame, fence: bool = True) -> DataFrame:
     """Type Quantity/UnitPrice/CustomerID the way a typed reader would; used
-    before the single-machine chain when the input arrives as text."""
+    before the single-machine chain when the input arrives as text. With
+    ``fence``, later filters on the numbers do not re-run the parsing (see
+    :func:`_evaluate_once`)."""
     out = {"Quantity": _to_int(df, "Quantity"), "UnitPrice": _to_double(df, "UnitPrice")}
     if _has(df, "CustomerID"):
         out["CustomerID"] = _to_long_id(df, "CustomerID")
-    return df.withColumns(out)
+    coerced = df.withColumns(out)
+    parses_text = any(isinstance(field_type(df, c), T.StringType) for c in ("Quantity", "UnitPrice"))
+    return _evaluate_once(coerced) if (parses_text and fence) else coerced
 
 
 def clean_lenient(df: DataFrame, date_formats: Iterable[str] = DEFAULT_DATE_FORMATS) -> DataFrame:

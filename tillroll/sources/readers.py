@@ -69,7 +69,11 @@ def load_result_dir(spark: SparkSession, folder: str, schema: T.StructType | Non
         df = reader.parquet(folder)
     except AnalysisException as exc:
         raise FileNotFoundError(f"no parquet in {folder}") from exc
-    if df.rdd.getNumPartitions() == 0:  # no file splits at all
+    try:
+        empty = df.rdd.getNumPartitions() == 0  # no file splits at all
+    except Exception:  # no RDD view (Spark Connect): list the files instead
+        empty = not df.inputFiles()
+    if empty:
         raise FileNotFoundError(f"no parquet in {folder}")
     return df
 
