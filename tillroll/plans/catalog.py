@@ -16,7 +16,10 @@ from tillroll.operators import aggregates as agg
 from tillroll.operators import cleaning, enrich, quality
 from tillroll.operators.joins import with_continent
 from tillroll.plans.params import BEST_PRODUCT_COUNTRY, CHART_TOP_N, MARKET_COUNTRY, MARKET_YEAR
+from tillroll.schemas import AUDIT, COUNTRY_SALES, MONTHLY_SALES
 from tillroll.sources import driver_views as views
+from tillroll.sources.readers import load_csv, load_parquet
+from tillroll.sources.writers import save_audit, save_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +70,59 @@ def _result_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fresh_dir(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from tillroll.session import shared_dir
+
+    return shared_dir(spark, f"query-{name}-{uuid.uuid4().hex}")
+
+
+def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country sales written as Parquet and read back (K1 -> S2)."""
+    path = _fresh_dir(spark, "parquet")
+    save_parquet(agg.group_by_country(enriched(spark, sf_dir)), path)
+    return load_parquet(spark, path, COUNTRY_SALES)
+
+
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly sales written as CSV with a header and read back (S3)."""
+    path = _fresh_dir(spark, "csv")
+    monthly = agg.aggregate_monthly_data(enriched(spark, sf_dir))
+    monthly.write.mode("overwrite").option("header", "true").csv(path)
+    return load_csv(spark, path, MONTHLY_SALES)
+
+
+def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning audit written as JSON lines and read back (K3)."""
+    path = _fresh_dir(spark, "json")
+    save_audit(quality.cleaning_waterfall(views.dirty(spark, sf_dir)), path)
+    return spark.read.schema(AUDIT).json(path)
+
+
+def _run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five result tables written side by side, then classified from their
+    Parquet footers (A16, P18, Q3-Q5, W1). Run ids and times vary per run,
+    so only the deterministic columns are returned."""
+    root = _fresh_dir(spark, "manifest")
+    e = enriched(spark, sf_dir)
+    bridge = views.bridge(spark, sf_dir)
+    outputs = {
+        "country_sales": agg.group_by_country(e),
+        "monthly_sales": agg.aggregate_monthly_data(e),
+        "continent_sales": agg.aggregate_world_data(e, views.mapping(spark, sf_dir)),
+        "supplier_sales": agg.aggregate_supplier_data(e, bridge),
+        "supplier_market": agg.aggregate_supplier_market(e, bridge, MARKET_COUNTRY, MARKET_YEAR),
+    }
+    import os
+
+    for name, df in outputs.items():
+        save_parquet(df, os.path.join(root, name))
+    manifest = quality.run_manifest(quality.file_manifest(spark, root, recursive=True))
+    quality.check_consistent_schemas(manifest)
+    return quality.resolve_destinations(manifest).select("destination", "columns", "total_rows")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q["country_sales"] = lambda s, d: agg.group_by_country(enriched(s, d))
@@ -122,4 +178,8 @@ def queries() -> dict[str, Query]:
     q["chart_top_countries"] = lambda s, d: quality.chart_dataset(
         agg.group_by_country(enriched(s, d)), "Country", "TotalAmount", CHART_TOP_N
     )
+    q["parquet_roundtrip"] = _parquet_roundtrip
+    q["csv_header_roundtrip"] = _csv_roundtrip
+    q["json_counts_roundtrip"] = _json_roundtrip
+    q["run_manifest_classified"] = _run_manifest
     return q

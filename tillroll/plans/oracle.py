@@ -359,4 +359,22 @@ SELECT CAST(row_number() OVER (ORDER BY TotalAmount DESC, Country) AS INTEGER) A
        Country, TotalAmount, {_nice('TotalAmount')} AS value_label,
        TotalAmount / COALESCE(NULLIF(max(TotalAmount) OVER (), 0), 1) AS share
 FROM top"""
+    q["parquet_roundtrip"] = q["country_sales"]
+    q["csv_header_roundtrip"] = q["monthly_sales"]
+    q["json_counts_roundtrip"] = q["cleaning_waterfall"]
+    q["run_manifest_classified"] = _with(*ENRICHED_CTES, MAPPING, BRIDGE) + f"""
+SELECT 'country_sales' AS destination, 'Country,TotalAmount,TransactionCount' AS columns,
+       (SELECT count(*) FROM (SELECT Country FROM enriched GROUP BY 1)) AS total_rows
+UNION ALL
+SELECT 'monthly_sales', 'InvoiceMonth,TotalSales,TransactionCount',
+       (SELECT count(*) FROM (SELECT strftime(InvoiceDate, '%Y-%m') FROM enriched GROUP BY 1))
+UNION ALL
+SELECT 'continent_sales', 'Continent,TotalAmount',
+       (SELECT count(*) FROM (SELECT m.Continent FROM enriched e LEFT JOIN mapping m ON e.Country = m.Country GROUP BY 1))
+UNION ALL
+SELECT 'supplier_sales', 'SupplierID,TotalAmount',
+       (SELECT count(*) FROM (SELECT b.SupplierID FROM enriched e LEFT JOIN bridge b ON e.InvoiceNo = b.InvoiceNo GROUP BY 1))
+UNION ALL
+SELECT 'supplier_sales_uk_2011', 'SupplierID,TotalAmount',
+       (SELECT count(*) FROM (SELECT b.SupplierID FROM {market} e LEFT JOIN bridge b ON e.InvoiceNo = b.InvoiceNo GROUP BY 1))"""
     return q

@@ -54,6 +54,14 @@ COUNTRY_SALES = T.StructType(
     ]
 )
 
+MONTHLY_SALES = T.StructType(
+    [
+        T.StructField("InvoiceMonth", T.StringType()),
+        T.StructField("TotalSales", T.DoubleType()),
+        T.StructField("TransactionCount", T.LongType()),
+    ]
+)
+
 # The ordered column tuples that name each result dataset.
 DATASET_SIGNATURES = {
     (
