@@ -363,8 +363,12 @@ FROM top"""
     q["csv_header_roundtrip"] = q["monthly_sales"]
     q["json_counts_roundtrip"] = q["cleaning_waterfall"]
     q["run_manifest_classified"] = _with(*ENRICHED_CTES, MAPPING, BRIDGE) + f"""
-SELECT 'country_sales' AS destination, 'Country,TotalAmount,TransactionCount' AS columns,
-       (SELECT count(*) FROM (SELECT Country FROM enriched GROUP BY 1)) AS total_rows
+SELECT 'enriched' AS destination,
+       'InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country,TotalAmount' AS columns,
+       (SELECT count(*) FROM enriched) AS total_rows
+UNION ALL
+SELECT 'country_sales', 'Country,TotalAmount,TransactionCount',
+       (SELECT count(*) FROM (SELECT Country FROM enriched GROUP BY 1))
 UNION ALL
 SELECT 'monthly_sales', 'InvoiceMonth,TotalSales,TransactionCount',
        (SELECT count(*) FROM (SELECT strftime(InvoiceDate, '%Y-%m') FROM enriched GROUP BY 1))
