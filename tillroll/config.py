@@ -25,6 +25,31 @@ DEFAULT_BEST_PRODUCT_COUNTRY = "France"
 # Fixed value: customer id given to lines without one.
 MISSING_CUSTOMER_ID = -1
 
+# Audit step names of the cleaning job, in reporting order.
+CLEANING_STEPS = (
+    "raw_retail",
+    "initial dataset",
+    "after normalize_types",
+    "after remove_duplicates",
+    "missing_Description",
+    "missing_Quantity",
+    "missing_UnitPrice",
+    "missing_Country",
+    "missing_InvoiceDate",
+    "after handle_missing_values",
+    "after filter_valid_transactions",
+    "after filter_outliers",
+    "cleaned",
+)
+
+# Destination names of the result-folder plan.
+DEST_EMPTY = "legacy_empty"
+DEST_UNKNOWN = "unknown_schema"
+DEST_SUPPLIER_FIRST = "supplier_sales"
+DEST_SUPPLIER_SECOND = "supplier_sales_uk_2011"
+DEST_SUPPLIER_REST = "legacy_supplier_extra"
+SUPPLIER_FAMILY = "supplier_sales_family"
+
 
 @dataclass(frozen=True)
 class CleaningRules:

@@ -9,7 +9,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.config import CRITICAL_COLUMNS, CleaningRules
+from tillroll.config import (
+    CLEANING_STEPS,
+    CRITICAL_COLUMNS,
+    DEST_EMPTY,
+    DEST_SUPPLIER_FIRST,
+    DEST_SUPPLIER_REST,
+    DEST_SUPPLIER_SECOND,
+    DEST_UNKNOWN,
+    SUPPLIER_FAMILY,
+    CleaningRules,
+)
 from tillroll.functions.columns import is_cancelled, nice_number, run_id_from_file_name, share_of_max
 from tillroll.operators.cleaning import normalize_types
 from tillroll.schemas import DATASET_SIGNATURES
@@ -48,17 +58,8 @@ def waterfall_from_groups(groups: DataFrame, rules: CleaningRules = CleaningRule
     after_missing = F.count_if(cond["missing"])
     after_valid = F.count_if(cond["valid"])
     after_outliers = F.count_if(cond["outliers"])
-    exprs = [
-        ("raw_retail", raw),
-        ("initial dataset", raw),
-        ("after normalize_types", raw),
-        ("after remove_duplicates", dedup),
-        *missing,
-        ("after handle_missing_values", after_missing),
-        ("after filter_valid_transactions", after_valid),
-        ("after filter_outliers", after_outliers),
-        ("cleaned", after_outliers),
-    ]
+    values = [raw, raw, raw, dedup, *[c for _, c in missing], after_missing, after_valid, after_outliers, after_outliers]
+    exprs = list(zip(CLEANING_STEPS, values))
     names = [f"c{i}" for i in range(len(exprs))]
     totals = groups.agg(*[e.alias(n) for (_, e), n in zip(exprs, names)])
     return totals.select(F.inline(_stack([(s, F.col(n)) for (s, _), n in zip(exprs, names)])))
@@ -211,14 +212,14 @@ def resolve_destinations(manifest: DataFrame) -> DataFrame:
         ),
     )
     supplier = (
-        F.when(F.col("family_rank") == 1, "supplier_sales")
-        .when(F.col("family_rank") == 2, "supplier_sales_uk_2011")
-        .otherwise("legacy_supplier_extra")
+        F.when(F.col("family_rank") == 1, DEST_SUPPLIER_FIRST)
+        .when(F.col("family_rank") == 2, DEST_SUPPLIER_SECOND)
+        .otherwise(DEST_SUPPLIER_REST)
     )
     destination = (
-        F.when(F.col("family") == "supplier_sales_family", supplier)
-        .when(F.col("total_rows") == 0, "legacy_empty")
-        .when(F.col("family") == "unknown", "unknown_schema")
+        F.when(F.col("family") == SUPPLIER_FAMILY, supplier)
+        .when(F.col("total_rows") == 0, DEST_EMPTY)
+        .when(F.col("family") == "unknown", DEST_UNKNOWN)
         .otherwise(F.col("family"))
     )
     return ranked.withColumn("destination", destination).drop("family_rank")
