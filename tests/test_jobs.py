@@ -67,3 +67,46 @@ def test_single_machine_results(spark):
     assert world["continent_sales"].filter("Continent IS NULL").count() == 0
     assert world["top_cancelled_continent"].count() == 1
     assert res["peak_hour"].first()[0] is not None
+
+
+def test_config_driven_jobs(spark, scratch):
+    from tillroll.config import AggregationJobConfig, CleaningJobConfig, EnrichJobConfig
+    from tillroll.plans.jobs import run_aggregation_job, run_cleaning_job, run_enrich_job
+    from tillroll.sources import driver_views as views
+
+    retail = os.path.join(scratch, "retail")
+    supplier = os.path.join(scratch, "supplier")
+    mapping = os.path.join(scratch, "mapping.csv")
+    views.retail(spark, SMOKE_DIR).write.parquet(retail)
+    views.bridge(spark, SMOKE_DIR).write.parquet(supplier)
+    views.mapping(spark, SMOKE_DIR).coalesce(1).write.option("header", "true").csv(mapping)
+
+    out = os.path.join(scratch, "out")
+    audit1 = run_cleaning_job(spark, CleaningJobConfig(retail, os.path.join(out, "cleaned")))
+    audit2 = run_enrich_job(spark, EnrichJobConfig(os.path.join(out, "cleaned"), os.path.join(out, "enriched")))
+    cfg = AggregationJobConfig(
+        enriched_input_path=os.path.join(out, "enriched"),
+        retail_source=retail,
+        supplier_source=supplier,
+        mapping_source=mapping,
+        country_output_path=os.path.join(out, "country_sales"),
+        monthly_output_path=os.path.join(out, "monthly_sales"),
+        supplier_output_path=os.path.join(out, "supplier_sales"),
+        supplier_market_output_path=os.path.join(out, "supplier_sales_uk_2011"),
+        world_output_path=os.path.join(out, "continent_sales"),
+        cancellation_output_path=os.path.join(out, "cancellations_by_continent"),
+        market_country="NATION_7",
+        market_year=1998,
+    )
+    audit3 = {r.step: r.row_count for r in run_aggregation_job(spark, cfg).collect()}
+
+    cleaned = {r.step: r.row_count for r in audit1.collect()}
+    enriched = {r.step: r.row_count for r in audit2.collect()}
+    assert cleaned["cleaned"] == enriched["cleaned_input"] == enriched["enriched_output"] == audit3["enriched_input"]
+    assert audit3["continent_sales"] == 5 and audit3["mapping"] == 20
+    assert os.path.isdir(os.path.join(out, "debug_counts_aggregations_job"))
+
+    # a missing mapping skips the continent results
+    cfg_no_map = AggregationJobConfig(**{**cfg.__dict__, "mapping_source": os.path.join(scratch, "absent.csv")})
+    audit4 = {r.step: r.row_count for r in run_aggregation_job(spark, cfg_no_map).collect()}
+    assert "continent_sales" not in audit4 and "country_sales" in audit4
