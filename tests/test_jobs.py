@@ -22,6 +22,7 @@ def test_pipeline_outputs_and_manifest(spark, scratch):
     assert audit["cleaned"] == spark.read.parquet(os.path.join(root, "cleaned")).count()
     agg_audit = {r.step: r.row_count for r in spark.read.json(os.path.join(root, "debug_counts_aggregations_job")).collect()}
     assert agg_audit["country_sales"] == country.count()
+    assert agg_audit["raw_retail"] == audit["raw_retail"] == catalog.queries()["total_amount_unrounded"](spark, SMOKE_DIR).count()
     assert set(result["answers"]) == {"best_product", "peak_hour", "top_cancelled_continent"}
 
     files = quality.file_manifest(spark, root, recursive=True)

@@ -121,10 +121,13 @@ def aggregation_job(
     out: AggregationOutputs,
     market_country: str,
     market_year: int,
+    raw_count: int | None = None,
 ) -> DataFrame:
     """Six result tables from the enriched Parquet plus the raw lines,
     supplier bridge and (optional) country mapping; then the audit of input
-    and output volumes. Continent results are skipped without a mapping."""
+    and output volumes. Continent results are skipped without a mapping.
+    ``raw_count``, when the caller already knows it (the cleaning audit), saves
+    a second pass over the raw lines."""
     enriched = load_parquet(spark, enriched_input_path, ENRICHED)
     raw = _frame(spark, retail)
     bridge = _frame(spark, supplier, SUPPLIER)
@@ -148,7 +151,7 @@ def aggregation_job(
 
     counts = [
         ("enriched_input", _written_count(spark, enriched_input_path)),
-        ("raw_retail", raw.count()),
+        ("raw_retail", raw_count if raw_count is not None else raw.count()),
         ("supplier", bridge.count()),
     ]
     if world is not None:
@@ -221,13 +224,16 @@ def run_all(
     p = lambda name: os.path.join(out_root, name)
     raw = _frame(spark, retail)
     world = _frame(spark, mapping, MAPPING)
-    cleaning_job(spark, raw, p("cleaned"), rules)
+    cleaning_audit = {r.step: r.row_count for r in cleaning_job(spark, raw, p("cleaned"), rules).collect()}
     enrich_job(spark, p("cleaned"), p("enriched"))
     outs = AggregationOutputs(
         p("country_sales"), p("monthly_sales"), p("supplier_sales"), p("supplier_sales_uk_2011"),
         p("continent_sales"), p("cancellations_by_continent"),
     )
-    aggregation_job(spark, p("enriched"), raw, supplier, world, outs, market_country, market_year)
+    aggregation_job(
+        spark, p("enriched"), raw, supplier, world, outs, market_country, market_year,
+        raw_count=cleaning_audit["raw_retail"],
+    )
 
     enriched = load_parquet(spark, p("enriched"), ENRICHED)
     hours_src = events if events is not None else enriched
