@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, packing, sharding, token_counts
+from tillroll.llm import decontaminate, language_id, packing, quality, sharding, token_counts
 from tillroll.llm.common import table
 
 
@@ -17,6 +17,17 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(doc_id) -> "F.Column":
+    """Documents that op1 must not learn from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~held_out("doc_id")))
+    return language_id.with_language(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), model).drop("text")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -39,6 +50,17 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.OrdinalModel:
+    labels = table(spark, sf_dir, "labels")
+    ratings = labels.select("doc_id", quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    return quality.fit(docs, ratings, levels=3)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.with_quality(docs, quality_model(spark, docs, sf_dir)).drop("text")
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.piece_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -52,8 +74,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language": op1_language,
         "op2_decontaminate": op2_decontaminate,
         "op5_shards": op5_shards,
+        "op7_quality": op7_quality,
         "op9_pack": op9_pack,
         "op10_token_counts": op10_token_counts,
     }
