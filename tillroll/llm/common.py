@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tillroll.session import shared_dir
@@ -52,6 +53,21 @@ def text_slices(texts: list[str | None], most_chars: int) -> Iterator[tuple[int,
         yield begin, len(texts)
 
 
-def kept_fraction(key, fraction) -> "F.Column":
-    """True for about ``fraction`` of the values of ``key``, always the same ones."""
-    return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_003)) < F.lit(1_000_003) * fraction
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Suffix order by doubling the compared length until all suffixes differ."""
+    n = len(text)
+    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+    length = 1
+    while True:
+        key = rank * (n + 1)
+        key[: n - length] += rank[length:] + 1
+        order = np.argsort(key, kind="stable")
+        sorted_key = key[order]
+        fresh = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
+        rank = np.empty(n, np.int64)
+        rank[order] = fresh
+        if fresh[-1] == n - 1:
+            return order
+        length *= 2
+        if length >= n:
+            return order

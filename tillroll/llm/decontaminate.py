@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WORD, words
+from tillroll.llm.common import WORD, suffix_array, words
 
 WINDOW = 13
 #: Words of phrases that go to the tasks at once.
@@ -101,26 +101,6 @@ class FMIndex:
         return place
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix order by doubling the compared length until all suffixes differ."""
-    n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    length = 1
-    while True:
-        key = rank * (n + 1)
-        key[: n - length] += rank[length:] + 1
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        fresh = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        if fresh[-1] == n - 1:
-            return order
-        length *= 2
-        if length >= n:
-            return order
-
-
 class Phrases:
     """Windows of benchmark items as integer rows, with what can rule text out."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, language_id, packing, quality, sharding, token_counts
+from tillroll.llm import ann, decontaminate, html_text, language_id, packing, quality, sharding, token_counts
 from tillroll.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -50,6 +55,10 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.OrdinalModel:
     labels = table(spark, sf_dir, "labels")
     ratings = labels.select("doc_id", quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
@@ -76,7 +85,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language": op1_language,
         "op2_decontaminate": op2_decontaminate,
+        "op4_html_text": op4_html_text,
         "op5_shards": op5_shards,
+        "op6_neighbours": op6_neighbours,
         "op7_quality": op7_quality,
         "op9_pack": op9_pack,
         "op10_token_counts": op10_token_counts,
