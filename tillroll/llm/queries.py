@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, decontaminate, html_text, language_id, packing, quality, sharding, token_counts
+from tillroll.llm import ann, decontaminate, html_text, language_id, packing, pii, quality, sharding, token_counts
 from tillroll.llm.common import table
 
 
@@ -38,6 +38,17 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"], spans="found")
+    base = F.filter("found", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *(F.size(pii.of_kind(base, k)).cast("long").alias(f"n_{k}") for k in pii.BASE),
+        F.sha2(pii.listed(base, pii.BASE), 256).alias("base_sha256"),
+        pii.listed(F.col("found")).alias("spans"),
+    )
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -85,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language": op1_language,
         "op2_decontaminate": op2_decontaminate,
+        "op3_pii": op3_pii,
         "op4_html_text": op4_html_text,
         "op5_shards": op5_shards,
         "op6_neighbours": op6_neighbours,
