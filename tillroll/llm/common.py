@@ -33,14 +33,6 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """A column name that ``df`` does not have in any letter case."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
-
-
 def text_slices(texts: list[str | None], most_chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of a batch that hold about ``most_chars`` characters, one text at least."""
     begin = held = 0

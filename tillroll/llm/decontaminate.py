@@ -24,16 +24,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm.common import WORD, suffix_array, words
 
 WINDOW = 13
+#: Columns that ``find`` adds.
+FOUND = ("n_words", "n_hit", "items", "word_spans", "spans")
 #: Words of phrases that go to the tasks at once.
 SLICE_WORDS = 2_000_000
 #: Every so many text positions a suffix position is kept for locating.
 SAMPLE = 16
-#: A shard's index is built when its stream has so many words.
-SHARD_WORDS = 400_000
+#: A shard's index is built when its stream has so many words, or its documents so many characters.
+SHARD_WORDS, SHARD_CHARS = 400_000, 40_000_000
 
 
 class FMIndex:
@@ -165,17 +168,17 @@ def search_task(phrases: Phrases):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = phrases.vocabulary.get
-        keys, texts, counts, streams, owners, places, held = [], [], [], [], [], [], 0
+        keys, texts, counts, streams, owners, places, held, chars = [], [], [], [], [], [], 0, 0
 
         def flush():
-            nonlocal keys, texts, counts, streams, owners, places, held
+            nonlocal keys, texts, counts, streams, owners, places, held, chars
             empty = [([], [], set())] * len(counts)
             found = hits_of(*map(np.concatenate, (streams, owners, places)), len(counts)) if held else empty
-            spans, chars, items = [], [], []
+            spans, points, items = [], [], []
             for text, (begin, end, names) in zip(texts, found):
                 if not begin:
                     spans.append([])
-                    chars.append([])
+                    points.append([])
                     items.append([])
                     continue
                 order = np.argsort(begin, kind="stable")
@@ -183,23 +186,24 @@ def search_task(phrases: Phrases):
                 spans.append([{"start": int(x), "end": int(y)} for x, y in zip(b, e)])
                 raw = text.encode("utf-8")
                 at = [m.span() for m in WORD.finditer(raw.lower())]
-                chars.append([{"start": len(raw[: at[x][0]].decode()), "end": len(raw[: at[y - 1][1]].decode())} for x, y in zip(b, e)])
+                points.append([{"start": len(raw[: at[x][0]].decode()), "end": len(raw[: at[y - 1][1]].decode())} for x, y in zip(b, e)])
                 items.append(sorted(names))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             out = pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(keys), pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(chars, span), pa.array(items, pa.list_(pa.string()))],
-                names=["_key", "n_words", "word_spans", "spans", "items"],
+                [pa.concat_arrays(keys), pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(points, span), pa.array(items, pa.list_(pa.string()))],
+                names=["_row", "n_words", "word_spans", "spans", "items"],
             )
-            keys, texts, counts, streams, owners, places, held = [], [], [], [], [], [], 0
+            keys, texts, counts, streams, owners, places, held, chars = [], [], [], [], [], [], 0, 0
             return out
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
                 keys.append(some.column(0))
                 for text in some.column(1).to_pylist():
                     found = words(text)
                     doc = len(counts)
+                    chars += len(text) if text else 0
                     counts.append(len(found))
                     hit = False
                     if found and phrases.shortest:
@@ -211,7 +215,7 @@ def search_task(phrases: Phrases):
                             held += e - b + 1
                             hit = True
                     texts.append(text if hit else None)
-                if held >= SHARD_WORDS or len(counts) >= 20_000:
+                if held >= SHARD_WORDS or chars >= SHARD_CHARS:
                     yield flush()
         if counts:
             yield flush()
@@ -220,22 +224,24 @@ def search_task(phrases: Phrases):
 
 
 def find(
-    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
+    docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, text: str = "text",
     item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
-    """Per document: ``key``, n_words, n_hit, items, word_spans and spans (code points, end exclusive)."""
+    """Columns ``keep`` of ``docs`` (all by default), n_words, n_hit, items, word_spans and spans (code points, end exclusive)."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
     items = items.filter(F.octet_length("text") > 0)
     # A word has a byte at least, and so many bytes bound what one slice holds.
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = 1 + int(size) // (6 * SLICE_WORDS)
-    kind = docs.schema[key].dataType.simpleString()
-    span = "array<struct<start:bigint,end:bigint>>"
-    schema = f"_key {kind}, n_words long, word_spans {span}, spans {span}, items array<string>"
-    source = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in FOUND]
+    source = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("text"))
     if slices > 1:
-        source = source.withColumn("_key", F.struct("_key", F.monotonically_increasing_id().alias("at")))
-        schema = schema.replace(f"_key {kind}", f"_key struct<_key:{kind},at:bigint>", 1)
+        source = source.withColumn("_row", F.struct("_row", F.monotonically_increasing_id().alias("at")))
+    span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    schema = T.StructType([
+        source.schema["_row"], T.StructField("n_words", T.LongType()), T.StructField("word_spans", span),
+        T.StructField("spans", span), T.StructField("items", T.ArrayType(T.StringType())),
+    ])
     parts = []
     for k in range(slices):
         some = items.filter(F.pmod(F.xxhash64("text"), F.lit(slices)) == k)
@@ -245,14 +251,15 @@ def find(
     if slices > 1:
         for more in parts[1:]:
             found = found.unionByName(more)
-        found = found.groupBy("_key").agg(
+        found = found.groupBy("_row.at").agg(
+            F.first("_row._row").alias("_row"),
             F.first("n_words").alias("n_words"),
             union_of_spans(F.flatten(F.collect_list("word_spans"))).alias("word_spans"),
             union_of_spans(F.flatten(F.collect_list("spans"))).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        ).withColumn("_key", F.col("_key._key"))
+        )
     hit = F.aggregate("word_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return found.select(F.col("_key").alias(key), "n_words", hit.alias("n_hit"), "items", "word_spans", "spans")
+    return found.select("_row.*", "n_words", hit.alias("n_hit"), "items", "word_spans", "spans")
 
 
 def union_of_spans(spans: Column) -> Column:

@@ -11,8 +11,8 @@ over all candidates and decides on those of the further kinds. Spans of the four
 base kinds that pass their format check always stay; those that fail it count
 in the training and are dropped.
 
-The text is read once: candidates are kept per document, and the statistics
-that reach the driver are bounded (kinds x 3^4 vote patterns, kinds x a few
+Candidates are kept per document, and the statistics that reach the driver are
+bounded (kinds x 3^4 vote patterns, kinds x a few
 hundred feature values).
 
 Defined cases: null and empty texts have no spans; spans that overlap a base
@@ -257,10 +257,16 @@ def accepted(spans: Column, odds: Column) -> Column:
     return F.filter(taken, lambda s: s["base"] | ~beaten(s))
 
 
-def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, spans: str = "spans") -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``spans``: kind, start, end (code points, end exclusive), base."""
+def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, spans: str = "spans", settle: bool = True) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and ``spans``: kind, start, end (code points, end exclusive), base.
+
+    ``settle`` keeps the candidates with the columns ``keep`` between training
+    and decision; without it the candidates are found twice and nothing is kept,
+    for wide ``keep``.
+    """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != spans.lower()]
-    found = settled(docs.select(*keep, only_candidates(candidates(F.col(text))).alias(spans)))
+    found = docs.select(*keep, only_candidates(candidates(F.col(text))).alias(spans))
+    found = settled(found) if settle else found
     odds = trained(found, spans)
     slim = F.transform(accepted(F.col(spans), odds), lambda s: F.struct(s["kind"], s["start"], s["end"], s["base"]))
     return found.withColumn(spans, slim)

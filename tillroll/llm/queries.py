@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, decontaminate, html_text, language_id, packing, pii, quality, sharding, token_counts
+from tillroll.llm import ann, decontaminate, html_text, language_id, ngram_join, packing, pii, quality, sharding, token_counts
 from tillroll.llm.common import table
 
 
@@ -29,7 +29,7 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
         "doc_id", "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"),
@@ -81,6 +81,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(docs, quality_model(spark, docs, sf_dir)).drop("text")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "copies_id", "n_links")
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.piece_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_shards": op5_shards,
         "op6_neighbours": op6_neighbours,
         "op7_quality": op7_quality,
+        "op8_ngram_join": op8_ngram_join,
         "op9_pack": op9_pack,
         "op10_token_counts": op10_token_counts,
     }
