@@ -71,7 +71,7 @@ def dealt(points: list[tuple[float, int]], counts: list[int], shards: int) -> li
 
 
 def assign(
-    rows: DataFrame, key: list[str], tie: list[str], shards: int = 8, virtual: int = 32, cell_rows: int = 20_000
+    rows: DataFrame, key: list[str], tie: list[str], shards: int = 8, virtual: int = 32, cell_rows: int = 1_000
 ) -> DataFrame:
     """``rows`` with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
