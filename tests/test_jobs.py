@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from tillroll.operators import quality
 from tillroll.plans.jobs import run_all_on_driver_tables
 from tillroll.plans import catalog
@@ -36,7 +39,6 @@ def test_pipeline_outputs_and_manifest(spark, scratch):
 
 def test_manifest_flags_mixed_schemas(spark, scratch):
     import pandas as pd
-    import pytest
 
     folder = os.path.join(scratch, "flat")
     os.makedirs(folder)
@@ -107,7 +109,50 @@ def test_config_driven_jobs(spark, scratch):
     assert audit3["continent_sales"] == 5 and audit3["mapping"] == 20
     assert os.path.isdir(os.path.join(out, "debug_counts_aggregations_job"))
 
-    # a missing mapping skips the continent results
-    cfg_no_map = AggregationJobConfig(**{**cfg.__dict__, "mapping_source": os.path.join(scratch, "absent.csv")})
-    audit4 = {r.step: r.row_count for r in run_aggregation_job(spark, cfg_no_map).collect()}
+    # a mapping that is named but absent is an error
+    with pytest.raises(AnalysisException):
+        run_aggregation_job(spark, AggregationJobConfig(**{**cfg.__dict__, "mapping_source": os.path.join(scratch, "absent.csv")}))
+    # without one the continent results of the run before do not stay
+    audit4 = {r.step: r.row_count for r in run_aggregation_job(spark, AggregationJobConfig(**{**cfg.__dict__, "mapping_source": None})).collect()}
     assert "continent_sales" not in audit4 and "country_sales" in audit4
+    assert spark.read.parquet(os.path.join(out, "continent_sales")).count() == 0
+
+
+def test_missing_required_input_raises(spark, scratch):
+    from tillroll.plans.jobs import cleaning_job
+
+    with pytest.raises(AnalysisException):
+        cleaning_job(spark, os.path.join(scratch, "absent"), os.path.join(scratch, "cleaned"))
+
+
+def test_cleaning_audit_is_observed(spark, scratch):
+    from tillroll.operators.quality import cleaning_waterfall
+    from tillroll.plans.jobs import cleaning_job
+    from tillroll.sources import driver_views as views
+
+    dirty = views.dirty(spark, SMOKE_DIR)
+    audit = cleaning_job(spark, dirty, os.path.join(scratch, "cleaned"))
+    assert sorted(map(tuple, audit.collect())) == sorted(map(tuple, cleaning_waterfall(dirty).collect()))
+
+
+def test_command_line(spark, scratch, capsys):
+    from tillroll.run import main, parser
+    from tillroll.sources import driver_views as views
+
+    retail, cleaned, enriched = (os.path.join(scratch, n) for n in ("retail", "cleaned", "enriched"))
+    views.retail(spark, SMOKE_DIR).write.parquet(retail)
+    main(["clean", "--retail-source", retail, "--cleaned-output-path", cleaned], spark)
+    main(["enrich", "--cleaned-input-path", cleaned, "--enriched-output-path", enriched], spark)
+    assert "enriched_output:" in capsys.readouterr().out
+    assert "TotalAmount" in spark.read.parquet(enriched).columns
+    with pytest.raises(SystemExit):
+        parser().parse_args(["aggregate", "--enriched-input-path", enriched])
+
+
+def test_single_machine_save_refuses_empty(spark, scratch):
+    from tillroll.plans.jobs import run_single_machine
+    from tillroll.sources import driver_views as views
+
+    bridge = views.bridge(spark, SMOKE_DIR)
+    with pytest.raises(ValueError):
+        run_single_machine(views.dirty(spark, SMOKE_DIR).filter("false"), bridge, os.path.join(scratch, "out"))

@@ -2,7 +2,11 @@
 
 import datetime as dt
 
+import pytest
+
+from tillroll.functions.columns import nice_number
 from tillroll.operators import cleaning, quality
+from tillroll.operators.aggregates import best_product_in_country, build_cancellations_by_continent
 from tillroll.operators.joins import with_continent, with_supplier
 from tillroll.operators.ranking import preview, top_n
 from tillroll.plans.jobs import world_analysis
@@ -62,3 +66,31 @@ def test_dataset_profile(spark):
     df = spark.createDataFrame([(1, "a", dt.datetime(2011, 1, 1))], "a int, b string, c timestamp_ntz")
     rows = sorted(map(tuple, quality.dataset_profile(df).collect()), key=lambda r: r[2])
     assert rows == [("a", "int", 1, 1, 3), ("b", "string", 2, 1, 3), ("c", "timestamp_ntz", 3, 1, 3)]
+
+
+def test_labels_round_half_way_to_even(spark):
+    values = [1250.0, 1450.0, 0.125, 2_500_000.0, 42.0, -1250.0, 999.5, None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(nice_number("v").alias("l")).collect()
+    assert [r.l for r in rows] == ["1.2K", "1.4K", "0.12", "2.5M", "42", "-1.2K", "999.50", None]
+
+
+def test_best_product_ignores_nulls_and_compares_raw_sums(spark):
+    rows = [("FR", None, 9.0), ("FR", "nothing", None), ("FR", "a", 5.001), ("FR", "b", 5.004)]
+    df = spark.createDataFrame(rows, "Country string, Description string, TotalAmount double")
+    assert best_product_in_country(df, "fr").first()[0] == "b"
+    assert best_product_in_country(df.limit(0), "fr").first()[0] is None
+
+
+def test_single_machine_cancellations_strip_tabs(spark):
+    raw = spark.createDataFrame([("C1", "FR"), ("C2", "\tFR "), ("c3", "FR")], "InvoiceNo string, Country string")
+    mapping = spark.createDataFrame([("FR", "Europe")], "Country string, Continent string")
+    exact = build_cancellations_by_continent(raw, mapping, case_sensitive=True, keep_unmapped=False)
+    assert exact.collect() == [("Europe", 2)]
+    loose = {r.Continent: r.CancelledOperations for r in build_cancellations_by_continent(raw, mapping).collect()}
+    assert loose == {"Europe": 2, None: 1}
+
+
+def test_mixed_schema_error_counts_all_runs(spark):
+    manifest = spark.range(30).selectExpr("cast(id as string) as run_id", "2L as schema_variants")
+    with pytest.raises(ValueError, match="30 runs"):
+        quality.check_consistent_schemas(manifest)

@@ -42,6 +42,21 @@ CLEANING_STEPS = (
     "cleaned",
 )
 
+# Audit step names of the other two jobs, in reporting order.
+ENRICH_STEPS = ("cleaned_input", "enriched_output")
+AGGREGATION_STEPS = (
+    "enriched_input",
+    "raw_retail",
+    "supplier",
+    "mapping",
+    "country_sales",
+    "monthly_stats",
+    "supplier_sales",
+    "supplier_uk_2011",
+    "continent_sales",
+    "cancellations_by_continent",
+)
+
 # Destination names of the result-folder plan.
 DEST_EMPTY = "legacy_empty"
 DEST_UNKNOWN = "unknown_schema"
@@ -58,6 +73,10 @@ class CleaningRules:
     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
 
 
+# The field names of the three job configurations are fixed values: the names
+# under which users pass the jobs' arguments.
+
+
 @dataclass(frozen=True)
 class CleaningJobConfig:
     """Job 1: raw retail table -> cleaned Parquet + audit JSON."""

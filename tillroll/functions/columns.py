@@ -151,16 +151,23 @@ def run_id_from_file_name(file_name: str | Column) -> Column:
     return F.when(run_id != "", run_id).otherwise(stem)
 
 
+def _fixed(v: Column, digits: int) -> Column:
+    """``v`` with a fixed number of decimals, half-way values to the even digit
+    and without group separators."""
+    return F.call_function("format_number", v, F.lit("0." + "0" * digits))
+
+
 def nice_number(c: str | Column) -> Column:
-    """Short label: ``1.2M``, ``3.4K``, ``42`` or ``3.14``."""
+    """Short label: ``1.2M``, ``3.4K``, ``42`` or ``3.14``; half-way values go
+    to the even digit (1250 -> ``1.2K``)."""
     v = as_col(c).cast("double")
     mag = F.abs(v)
     return (
         F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(mag >= 1_000_000, F.format_string("%.1fM", v / 1_000_000))
-        .when(mag >= 1_000, F.format_string("%.1fK", v / 1_000))
+        .when(mag >= 1_000_000, F.concat(_fixed(v / 1_000_000, 1), F.lit("M")))
+        .when(mag >= 1_000, F.concat(_fixed(v / 1_000, 1), F.lit("K")))
         .when(v == F.floor(v), v.cast("long").cast("string"))
-        .otherwise(F.format_string("%.2f", v))
+        .otherwise(_fixed(v, 2))
     )
 
 

@@ -17,8 +17,8 @@ from tillroll.config import (
     DEFAULT_MARKET_COUNTRY,
     DEFAULT_MARKET_YEAR,
 )
-from tillroll.functions.columns import in_year, is_cancelled, month_bucket, trimmed_text
-from tillroll.operators.joins import fits_broadcast, normalize_mapping, normalize_supplier
+from tillroll.functions.columns import in_year, is_cancelled, month_bucket, stripped_text, trimmed_text
+from tillroll.operators.joins import normalize_mapping, normalize_supplier
 
 
 def _money(c: Column, rounded: bool = True) -> Column:
@@ -33,6 +33,23 @@ def _top1(df: DataFrame, value: str, score: str, out: str) -> DataFrame:
     return df.agg(F.min_by(F.col(value), rank_key).alias(out))
 
 
+# --- invoice grain ------------------------------------------------------------
+
+
+def invoice_grain(enriched: DataFrame) -> DataFrame:
+    """Sales per (Country, InvoiceMonth, InvoiceNo): one pass over the lines
+    from which the country, month, supplier, market and continent results all
+    follow. The grain is accepted by these functions in place of the lines."""
+    return enriched.groupBy(
+        "Country", month_bucket("InvoiceDate").alias("InvoiceMonth"), F.col("InvoiceNo").cast("string").alias("InvoiceNo")
+    ).agg(F.sum("TotalAmount").alias("TotalAmount"))
+
+
+def _month(lines: DataFrame) -> Column:
+    """The month of lines, or of the invoice grain."""
+    return F.col("InvoiceMonth") if "InvoiceMonth" in lines.columns else month_bucket("InvoiceDate").alias("InvoiceMonth")
+
+
 # --- A1 -----------------------------------------------------------------------
 
 
@@ -63,7 +80,7 @@ def aggregate_monthly_data(enriched: DataFrame, rounded: bool = True) -> DataFra
     """Sales and distinct invoices per ``yyyy-MM`` month, in month order
     (``rounded=False``: raw sums, the single-machine rule)."""
     return (
-        enriched.groupBy(month_bucket("InvoiceDate").alias("InvoiceMonth"))
+        enriched.groupBy(_month(enriched))
         .agg(
             _money(F.col("TotalAmount"), rounded).alias("TotalSales"),
             F.countDistinct("InvoiceNo").alias("TransactionCount"),
@@ -83,30 +100,41 @@ def _supplier_contributions(enriched: DataFrame, supplier: DataFrame, keep_unmat
     instead of one per line; a bridge row repeated ``k`` times contributes
     ``k`` times, as the row-level fan-out would. Matched invoices go through an
     inner join (adaptive execution may split a hot invoice on either side);
-    unmatched ones come from an anti join against the distinct bridge keys and
-    form the null supplier group.
+    unmatched ones are those without a count of bridge rows and form the null
+    supplier group. (An anti join would say the same, but the planner moves it
+    below the sum of the lines, which are then read again.)
+
+    Both branches read one shuffle of the totals and one of the bridge. The
+    join key is a struct, which is never null itself, so the planner adds no
+    null filter to one branch that would keep it from sharing the other's scan.
     """
-    invoice_totals = enriched.groupBy(F.col("InvoiceNo").cast("string").alias("InvoiceNo")).agg(
+    totals = enriched.groupBy(F.struct(F.col("InvoiceNo").cast("string").alias("InvoiceNo")).alias("_invoice")).agg(
         F.sum("TotalAmount").alias("amount")
     )
-    bridge = normalize_supplier(supplier).groupBy("InvoiceNo", "SupplierID").agg(F.count(F.lit(1)).alias("copies"))
-    # The totals come out of an aggregate already hash-partitioned on
-    # InvoiceNo, so the planner would feed them to the join without a shuffle,
+    bridge = (
+        normalize_supplier(supplier)
+        .filter(F.col("InvoiceNo").isNotNull())
+        .groupBy(F.struct("InvoiceNo").alias("_invoice"), "SupplierID")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    # The totals come out of an aggregate already hash-partitioned on the
+    # invoice, so the planner would feed them to the join without a shuffle,
     # and adaptive execution only splits skewed joins whose inputs are both
-    # planner shuffles. Joining on (InvoiceNo, hash of InvoiceNo) - the hash
-    # adds no selectivity - makes both sides arrive through such a shuffle, so
-    # an invoice listed with a third of all suppliers is split across tasks.
-    ih = F.xxhash64("InvoiceNo").alias("_ih")
+    # planner shuffles. Joining on (invoice, hash of invoice) - the hash adds no
+    # selectivity - makes both sides arrive through such a shuffle, so an
+    # invoice listed with a third of all suppliers is split across tasks.
+    ih = F.xxhash64("_invoice").alias("_ih")
     matched = (
-        invoice_totals.select("InvoiceNo", ih, "amount")
-        .join(bridge.select("InvoiceNo", ih, "SupplierID", "copies"), on=["InvoiceNo", "_ih"], how="inner")
+        totals.select("_invoice", ih, "amount")
+        .join(bridge.select("_invoice", ih, "SupplierID", "copies"), on=["_invoice", "_ih"], how="inner")
         .select("SupplierID", (F.col("amount") * F.col("copies")).alias("amount"))
     )
     if not keep_unmatched:
         return matched
     supplier_type = dict(bridge.dtypes)["SupplierID"]
-    known = bridge.select("InvoiceNo").distinct()
-    unmatched = invoice_totals.join(known, on="InvoiceNo", how="left_anti").select(
+    # The count stays alive, else it is pruned here and the bridge scanned again.
+    known = bridge.groupBy("_invoice").agg(F.sum("copies").alias("n")).filter(F.col("n") > 0)
+    unmatched = totals.join(known, on="_invoice", how="left").filter(F.col("n").isNull()).select(
         F.lit(None).cast(supplier_type).alias("SupplierID"), "amount"
     )
     return matched.unionByName(unmatched)
@@ -135,8 +163,13 @@ def aggregate_supplier_data_matched_only(enriched: DataFrame, supplier: DataFram
 
 
 def filter_country_year(enriched: DataFrame, country: str, year: int) -> DataFrame:
-    """Country equality and calendar year, the year as a pushable date range."""
-    return enriched.filter((F.col("Country") == country) & in_year("InvoiceDate", year))
+    """Country equality and calendar year, the year as a pushable range of dates
+    or, on the invoice grain, of months."""
+    if "InvoiceMonth" in enriched.columns:
+        in_range = F.col("InvoiceMonth").between(f"{year:04d}-01", f"{year:04d}-12")
+    else:
+        in_range = in_year("InvoiceDate", year)
+    return enriched.filter((F.col("Country") == country) & in_range)
 
 
 def aggregate_supplier_market(
@@ -158,17 +191,10 @@ def aggregate_world_data(
     """Sales per continent; unmapped countries form the null group unless
     ``keep_unmapped=False`` (single-machine rule, with raw sums).
 
-    A checked-small mapping is broadcast and joined row by row with no
-    shuffle; a large one is joined after summing per country, so the join
-    sees one row per country.
+    Sales are summed per country first, so the join sees one row per country.
     """
-    m = normalize_mapping(mapping)
-    lines = enriched.select("Country", "TotalAmount")
-    if fits_broadcast(m):
-        joined = lines.join(F.broadcast(m), on="Country", how="left")
-    else:
-        per_country = lines.groupBy("Country").agg(F.sum("TotalAmount").alias("TotalAmount"))
-        joined = per_country.join(m, on="Country", how="left")
+    per_country = enriched.groupBy("Country").agg(F.sum("TotalAmount").alias("TotalAmount"))
+    joined = per_country.join(normalize_mapping(mapping), on="Country", how="left")
     if not keep_unmapped:
         joined = joined.filter(F.col("Continent").isNotNull())
     return (
@@ -179,11 +205,11 @@ def aggregate_world_data(
 
 
 def cancelled_invoices(raw: DataFrame, case_sensitive: bool = False) -> DataFrame:
-    """(InvoiceNo text untrimmed, Country trimmed) of cancelled raw lines."""
-    typed = raw.select(
-        F.col("InvoiceNo").cast("string").alias("InvoiceNo"),
-        trimmed_text("Country").alias("Country"),
-    )
+    """(InvoiceNo text untrimmed, Country trimmed) of cancelled raw lines. The
+    case-sensitive, single-machine form strips all white space of Country, the
+    other one spaces only."""
+    country = stripped_text("Country") if case_sensitive else trimmed_text("Country")
+    typed = raw.select(F.col("InvoiceNo").cast("string").alias("InvoiceNo"), country.alias("Country"))
     return typed.filter(is_cancelled("InvoiceNo", case_sensitive=case_sensitive))
 
 
@@ -191,13 +217,10 @@ def build_cancellations_by_continent(
     raw: DataFrame, mapping: DataFrame, case_sensitive: bool = False, keep_unmapped: bool = True
 ) -> DataFrame:
     """Distinct cancelled invoices per continent, from the raw (uncleaned)
-    lines. Distinct (Country, InvoiceNo) pairs are formed before the join;
-    the mapping is broadcast only when checked small. The single-machine
-    rule is ``case_sensitive=True, keep_unmapped=False``."""
-    m = normalize_mapping(mapping)
+    lines. Distinct (Country, InvoiceNo) pairs are formed before the join. The
+    single-machine rule is ``case_sensitive=True, keep_unmapped=False``."""
     pairs = cancelled_invoices(raw, case_sensitive).distinct()
-    right = F.broadcast(m) if fits_broadcast(m) else m
-    joined = pairs.join(right, on="Country", how="left")
+    joined = pairs.join(normalize_mapping(mapping), on="Country", how="left")
     if not keep_unmapped:
         joined = joined.filter(F.col("Continent").isNotNull())
     return (
@@ -218,13 +241,15 @@ def top_cancelled_continent(cancellations: DataFrame) -> DataFrame:
 
 
 def best_product_in_country(enriched: DataFrame, country: str = DEFAULT_BEST_PRODUCT_COUNTRY) -> DataFrame:
-    """Description with the largest sales in ``country`` (matched in any
-    case); sums compared at cent precision, ties to the first name. One row,
-    null when the country has no lines."""
+    """Description with the largest raw sum of sales in ``country`` (matched in
+    any case), ties to the first name. Lines without a description are no
+    product, and a product needs an amount. One row, null when the country has
+    no such lines."""
     per_product = (
-        enriched.filter(F.lower(F.col("Country")) == country.lower())
+        enriched.filter((F.lower(F.col("Country")) == country.lower()) & F.col("Description").isNotNull())
         .groupBy("Description")
-        .agg(_money(F.col("TotalAmount")).alias("sales"))
+        .agg(F.sum("TotalAmount").alias("sales"))
+        .filter(F.col("sales").isNotNull())
     )
     return _top1(per_product, "Description", "sales", "best_product")
 

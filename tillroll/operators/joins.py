@@ -5,30 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import normalize_headers, trimmed_text
-
-# Row bound under which a dimension is shipped to every task.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (checked, not assumed).
-
-    A plain count: a partial aggregate, so one row per task reaches the
-    driver, and on a Parquet table it reads row-group metadata only. (A
-    ``LIMIT n+1`` count looks cheaper but funnels up to ``n`` rows per task
-    into a single partition.) Call it on base tables or small derived frames
-    such as the mapping, not on a large join.
-    """
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the choice to
-    the planner and adaptive execution (sort-merge, or a runtime broadcast
-    once the real size is known)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
+from tillroll.functions.columns import normalize_headers
 
 def normalize_mapping(mapping: DataFrame) -> DataFrame:
     """Country/Continent columns whatever the header case and padding."""
@@ -46,14 +23,28 @@ def normalize_supplier(supplier: DataFrame) -> DataFrame:
 def with_continent(lines: DataFrame, mapping: DataFrame) -> DataFrame:
     """Left join lines with the mapping on Country (unmatched -> null Continent).
 
-    This is the row-level joined table; the mapping is broadcast only when its
-    row count is checked small, else the join is planned normally."""
-    return lines.join(broadcast_if_small(normalize_mapping(mapping)), on="Country", how="left")
+    This is the row-level joined table. No hint is given: the planner
+    broadcasts the mapping when its size in bytes is under the session's
+    threshold, and adaptive execution decides again on the measured size."""
+    return lines.join(normalize_mapping(mapping), on="Country", how="left")
 
 
 def with_supplier(lines: DataFrame, supplier: DataFrame) -> DataFrame:
     """Row-level left join of lines with the bridge on text InvoiceNo. A
-    bridge row repeated for an invoice repeats the line (fan-out)."""
-    lines = lines.withColumn("InvoiceNo", F.col("InvoiceNo").cast("string"))
-    return lines.join(normalize_supplier(supplier), on="InvoiceNo", how="left")
+    bridge row repeated for an invoice repeats the line (fan-out).
 
+    Written as an inner join and an anti join: adaptive execution may then
+    split a hot invoice on either side, which a left join does not allow for
+    its right side. The join key is a struct, never null itself, so that both
+    branches share one shuffle of the lines.
+    """
+    key = F.struct(F.col("InvoiceNo").cast("string").alias("InvoiceNo")).alias("_invoice")
+    lines = lines.withColumn("InvoiceNo", F.col("InvoiceNo").cast("string"))
+    names = [c for c in lines.columns if c != "InvoiceNo"]
+    keyed = lines.select(key, *names)
+    bridge = normalize_supplier(supplier).filter(F.col("InvoiceNo").isNotNull()).select(key, "SupplierID")
+    matched = keyed.join(bridge, "_invoice")
+    alone = keyed.join(bridge.select("_invoice").distinct(), "_invoice", "left_anti").withColumn(
+        "SupplierID", F.lit(None).cast(dict(bridge.dtypes)["SupplierID"])
+    )
+    return matched.unionByName(alone).select(F.col("_invoice.InvoiceNo").alias("InvoiceNo"), *names, "SupplierID")

@@ -3,9 +3,8 @@ and the manifest of a folder of Parquet result files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +22,7 @@ from tillroll.config import (
 from tillroll.functions.columns import is_cancelled, nice_number, run_id_from_file_name, share_of_max
 from tillroll.operators.cleaning import normalize_types
 from tillroll.schemas import DATASET_SIGNATURES
+from tillroll.sources.readers import parquet_files
 
 
 def _stack(pairs: list[tuple[str, Column]]) -> Column:
@@ -48,21 +48,25 @@ def distinct_with_copies(normalized: DataFrame) -> DataFrame:
     return normalized.groupBy(*normalized.columns).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def waterfall_from_groups(groups: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """The 13 audit rows of the cluster cleaning job from the distinct rows
-    with copy counts, in one global aggregate."""
+def waterfall_counters(rules: CleaningRules = CleaningRules()) -> list[tuple[str, Column]]:
+    """(step, aggregate over the distinct rows with copy counts) of the 13
+    audit steps."""
     cond = cleaning_conditions(rules)
     raw = F.coalesce(F.sum("_copies"), F.lit(0))
     dedup = F.count(F.lit(1))
-    missing = [(f"missing_{c}", F.count_if(F.col(c).isNull())) for c in CRITICAL_COLUMNS]
+    missing = [F.count_if(F.col(c).isNull()) for c in CRITICAL_COLUMNS]
     after_missing = F.count_if(cond["missing"])
     after_valid = F.count_if(cond["valid"])
     after_outliers = F.count_if(cond["outliers"])
-    values = [raw, raw, raw, dedup, *[c for _, c in missing], after_missing, after_valid, after_outliers, after_outliers]
-    exprs = list(zip(CLEANING_STEPS, values))
-    names = [f"c{i}" for i in range(len(exprs))]
-    totals = groups.agg(*[e.alias(n) for (_, e), n in zip(exprs, names)])
-    return totals.select(F.inline(_stack([(s, F.col(n)) for (s, _), n in zip(exprs, names)])))
+    return list(zip(CLEANING_STEPS, [raw, raw, raw, dedup, *missing, after_missing, after_valid, after_outliers, after_outliers]))
+
+
+def waterfall_from_groups(groups: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """The 13 audit rows of the cluster cleaning job from the distinct rows
+    with copy counts, in one global aggregate."""
+    counters = waterfall_counters(rules)
+    totals = groups.agg(*[c.alias(f"c{i}") for i, (_, c) in enumerate(counters)])
+    return totals.select(F.inline(_stack([(s, F.col(f"c{i}")) for i, (s, _) in enumerate(counters)])))
 
 
 def cleaning_waterfall(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
@@ -123,51 +127,84 @@ def chart_dataset(df: DataFrame, label_col: str, value_col: str, top_n: int = 15
 
 def line_chart_dataset(df: DataFrame, x_col: str, y_col: str) -> DataFrame:
     """Line-chart data: rows with both fields in ``x`` order, value label and
-    share of the largest value. The maximum is one global aggregate fetched
-    as a scalar, so no single task sees all points."""
+    share of the largest value. The maximum is a scalar subquery of the plan, so
+    no single task sees all points and nothing runs before the plan."""
     points = df.select(x_col, y_col).dropna()
-    top = points.agg(F.max(F.col(y_col).cast("double"))).first()[0]
-    scale = top if top not in (None, 0) else 1.0
-    return points.orderBy(x_col).select(
-        x_col, y_col, nice_number(y_col).alias("value_label"), (F.col(y_col) / F.lit(scale)).alias("share")
+    top = points.agg(F.max(F.col(y_col).cast("double")).alias("top"))
+    scale = top.select(F.when(F.col("top") == 0, 1.0).otherwise(F.col("top"))).scalar()
+    return (
+        points.orderBy(x_col)
+        .select(x_col, y_col, nice_number(y_col).alias("value_label"), (F.col(y_col) / scale).alias("share"))
     )
 
 
-# --- manifest of a folder of Parquet files -------------------------------------
-
+# --- result folders -------------------------------------------------------------
+
+
+def folder_profile(results: Mapping[str, DataFrame], preview_rows: int = 10) -> DataFrame:
+    """Per dataset and column: type, position, row and column counts, and the
+    first ``preview_rows`` values (by all columns) as text."""
+
+    def cell(i: int):
+        return lambda row: row[i]
+
+    parts = []
+    for name, df in results.items():
+        head = df.orderBy(*(F.col(c).asc_nulls_first() for c in df.columns)).limit(preview_rows)
+        order = Window.orderBy(*(F.col(c).asc_nulls_first() for c in df.columns))  # preview_rows rows
+        texts = F.array(*(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in df.columns))
+        first = head.select(F.row_number().over(order).alias("at"), texts.alias("v"))
+        shown = first.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda r: r["v"])).scalar()
+        rows = F.array(*[
+            F.struct(
+                F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), F.lit(i + 1).alias("ordinal"),
+                F.array_join(F.transform("_shown", cell(i)), "|").alias("preview"),
+            )
+            for i, (c, t) in enumerate(df.dtypes)
+        ])
+        counted = df.agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(
+            counted.withColumn("_shown", shown)
+            .select(F.lit(name).alias("dataset"), F.inline(rows), "row_count", F.lit(len(df.columns)).alias("column_count"))
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per file: column tuple and row count from the Parquet footer only."""
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
 
-    for batch in batches:
-        names, rows = [], []
-        for path in batch["path"]:
-            fs, inner = pafs.FileSystem.from_uri(path)
-            meta = pq.read_metadata(inner, filesystem=fs)
-            names.append(",".join(meta.schema.to_arrow_schema().names))
-            rows.append(meta.num_rows)
-        yield batch.assign(columns=names, num_rows=rows)
+# --- manifest of a folder of Parquet files -------------------------------------
 
 
 def file_manifest(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """One row per ``*.parquet`` file: path, name, run id, column list, rows,
-    modification time. File listing comes from Spark's file source (content is
-    not read); footers are read inside tasks, spread over the executors."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    modification time.
+
+    Names and times come from Spark's file listing, rows from the Parquet reader
+    (no column is read, so the counts come from footers) and the column list of
+    each file from its schema. The listing and one schema per file, a few
+    strings each, pass through the driver; data do not.
+    """
+    files = parquet_files(spark, folder, recursive)
+    listed = [r["path"] for r in files.select("path").collect()]
+    schemas = [(p, ",".join(spark.read.parquet(p).columns)) for p in listed]
+    reader = spark.read.schema("_none string").option("pathGlobFilter", "*.parquet")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    files = reader.load(folder).select("path", "modificationTime")
+    counted = reader.parquet(folder).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("num_rows"))
+
+    def part(df: DataFrame, **known: Column) -> DataFrame:
+        kinds = {"columns": "string", "num_rows": "long", "modificationTime": "timestamp"}
+        return df.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), *(known.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()))
+
+    rows = part(files, modificationTime=F.col("modificationTime"), num_rows=F.lit(0))
+    rows = rows.unionByName(part(counted, num_rows=F.col("num_rows")))
+    rows = rows.unionByName(part(spark.createDataFrame(schemas, "path string, columns string"), columns=F.col("columns")))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    with_footer = files.select("path").mapInPandas(_footer_rows, "path string, columns string, num_rows long")
-    return files.join(with_footer, "path").select(
-        "path",
-        name.alias("file_name"),
-        run_id_from_file_name(name).alias("run_id"),
-        "columns",
-        "num_rows",
-        "modificationTime",
+    return (
+        rows.groupBy("path")
+        .agg(F.max("columns").alias("columns"), F.sum("num_rows").alias("num_rows"), F.max("modificationTime").alias("modificationTime"))
+        .select("path", name.alias("file_name"), run_id_from_file_name(name).alias("run_id"), "columns", "num_rows", "modificationTime")
     )
 
 
@@ -191,26 +228,32 @@ def run_manifest(files: DataFrame) -> DataFrame:
     )
 
 
-def check_consistent_schemas(manifest: DataFrame, max_report: int = 20) -> None:
-    """Raise when files of one run disagree on their columns."""
-    bad = manifest.filter(F.col("schema_variants") > 1).select("run_id").limit(max_report).collect()
-    if bad:
-        raise ValueError(f"runs with differing schemas: {[r.run_id for r in bad]}")
+def check_consistent_schemas(manifest: DataFrame, shown: int = 20) -> None:
+    """Raise when files of one run disagree on their columns; the error states
+    how many runs do and names the first ``shown``."""
+    bad = manifest.filter(F.col("schema_variants") > 1)
+    total = bad.count()
+    if total:
+        names = [r.run_id for r in bad.select("run_id").orderBy("run_id").limit(shown).collect()]
+        raise ValueError(f"{total} runs with differing schemas: {names}{' and more' if total > shown else ''}")
 
 
 def resolve_destinations(manifest: DataFrame) -> DataFrame:
     """Destination folder per run: the dataset name from its columns; empty
     runs -> ``legacy_empty``; unknown columns -> ``unknown_schema``. Runs of
-    the supplier family are ranked by rows then recency: first
+    the supplier family are ordered by rows then recency: first
     ``supplier_sales``, second ``supplier_sales_uk_2011``, the rest
-    ``legacy_supplier_extra``."""
-    family = classify_columns(F.col("columns"))
-    ranked = manifest.withColumn("family", family).withColumn(
-        "family_rank",
-        F.row_number().over(
-            Window.partitionBy("family").orderBy(F.desc("total_rows"), F.desc("latest_mtime"), F.asc("run_id"))
-        ),
+    ``legacy_supplier_extra``. Only the first two of the family are ranked (a
+    top-2 per task before the window); other runs need no rank."""
+    named = manifest.withColumn("family", classify_columns(F.col("columns")))
+    order = Window.partitionBy("family").orderBy(F.desc("total_rows"), F.desc("latest_mtime"), F.asc("run_id"))
+    first_two = (
+        named.filter(F.col("family") == SUPPLIER_FAMILY)
+        .withColumn("family_rank", F.row_number().over(order))
+        .filter(F.col("family_rank") <= 2)
+        .select("run_id", "family_rank")
     )
+    ranked = named.join(first_two, "run_id", "left")
     supplier = (
         F.when(F.col("family_rank") == 1, DEST_SUPPLIER_FIRST)
         .when(F.col("family_rank") == 2, DEST_SUPPLIER_SECOND)

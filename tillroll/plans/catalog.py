@@ -6,20 +6,33 @@ whole tables. The matching DuckDB statements are in :mod:`tillroll.plans.oracle`
 
 from __future__ import annotations
 
+import os
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import decimal_text_to_double, decimal_text_to_int, parse_timestamp, parse_timestamp_lenient
+from tillroll.functions.columns import (
+    decimal_text_to_double,
+    decimal_text_to_int,
+    is_cancelled,
+    nice_number,
+    parse_timestamp,
+    parse_timestamp_lenient,
+    trimmed_text,
+)
 from tillroll.operators import aggregates as agg
 from tillroll.operators import cleaning, enrich, quality
-from tillroll.operators.joins import with_continent
+from tillroll.operators.joins import normalize_mapping, normalize_supplier, with_continent, with_supplier
+from tillroll.operators.ranking import preview
+from tillroll.plans import jobs
 from tillroll.plans.params import BEST_PRODUCT_COUNTRY, CHART_TOP_N, MARKET_COUNTRY, MARKET_YEAR
 from tillroll.schemas import AUDIT, COUNTRY_SALES, ENRICHED, MONTHLY_SALES
+from tillroll.session import shared_dir
 from tillroll.sources import driver_views as views
-from tillroll.sources.readers import load_csv, load_parquet
-from tillroll.sources.writers import save_audit, save_parquet
+from tillroll.sources.readers import audit_frame, load_csv, load_optional, load_parquet, load_result_dir, load_source
+from tillroll.sources.writers import audit_path, export_csv_preview, save_audit, save_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,61 +46,82 @@ def _normalized_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.normalize_types(views.dirty(spark, sf_dir))
 
 
-def _market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.filter_country_year(enriched(spark, sf_dir), MARKET_COUNTRY, MARKET_YEAR)
-
-
 def _cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.build_cancellations_by_continent(views.retail(spark, sf_dir), views.mapping(spark, sf_dir))
+    return agg.build_cancellations_by_continent(views.dirty(spark, sf_dir), views.mapping(spark, sf_dir))
 
 
 def _by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.transactions_by_hour(views.events(spark, sf_dir), ts_col="ts", id_col="user_id")
+    return agg.transactions_by_hour(cleaning.clean_standard(views.dirty(spark, sf_dir)))
 
 
-def _supplier_groups(lines: DataFrame, bridge: DataFrame) -> DataFrame:
-    return agg.aggregate_supplier_data(lines, bridge)
+def _world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.aggregate_world_data(enriched(spark, sf_dir), views.mapping(spark, sf_dir))
 
 
-def _result_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = enriched(spark, sf_dir)
-    raw = views.retail(spark, sf_dir)
-    bridge = views.bridge(spark, sf_dir)
-    mapping = views.mapping(spark, sf_dir)
-    return quality.row_counts(
-        {
-            "enriched_input": e,
-            "raw_retail": raw,
-            "supplier": bridge,
-            "mapping": mapping,
-            "country_sales": agg.group_by_country(e),
-            "monthly_stats": agg.aggregate_monthly_data(e),
-            "supplier_sales": agg.aggregate_supplier_data(e, bridge),
-            "supplier_uk_2011": agg.aggregate_supplier_market(e, bridge, MARKET_COUNTRY, MARKET_YEAR),
-            "continent_sales": agg.aggregate_world_data(e, mapping),
-            "cancellations_by_continent": agg.build_cancellations_by_continent(raw, mapping),
-        }
-    )
+def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.aggregate_supplier_data(enriched(spark, sf_dir), views.bridge(spark, sf_dir))
+
 
+def _market_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.aggregate_supplier_market(enriched(spark, sf_dir), views.bridge(spark, sf_dir), MARKET_COUNTRY, MARKET_YEAR)
 
-def _fresh_dir(spark: SparkSession, name: str) -> str:
-    import uuid
 
-    from tillroll.session import shared_dir
+def _groups(*columns: str):
+    """Number of groups of the columns; a struct is never null, so a null group counts."""
+    return F.countDistinct(F.struct(*columns))
 
-    return shared_dir(spark, f"query-{name}-{uuid.uuid4().hex}")
+
+def _result_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every input and result of the aggregation job, without computing
+    the results: three scans of the lines (cleaned, raw, bridge), each cut to
+    its groups once. The counts ``n`` stay alive in every branch, so that the
+    branches of a table share its shuffle."""
+    e, raw = enriched(spark, sf_dir), views.retail(spark, sf_dir)
+    mapping = normalize_mapping(views.mapping(spark, sf_dir))
+    grain = agg.invoice_grain(e.withColumn("TotalAmount", F.lit(1))).withColumnRenamed("TotalAmount", "n").filter("n > 0")
+    invoice = F.struct("InvoiceNo").alias("_invoice")  # never null: no branch gets a null filter of its own
+    bridge = normalize_supplier(views.bridge(spark, sf_dir)).groupBy(invoice, "SupplierID").agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+    pairs = raw.groupBy(F.col("InvoiceNo").cast("string").alias("InvoiceNo"), trimmed_text("Country").alias("Country")).agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+
+    in_market = (F.col("Country") == MARKET_COUNTRY) & F.col("InvoiceMonth").between(f"{MARKET_YEAR}-01", f"{MARKET_YEAR}-12")
+    market = F.countDistinct(F.when(in_market, F.struct("SupplierID")))
+    counts = [
+        grain.agg(
+            F.sum("n").alias("enriched_input"), _groups("Country").alias("country_sales"), _groups("InvoiceMonth").alias("monthly_stats")
+        ),
+        pairs.agg(F.sum("n").alias("raw_retail")),
+        bridge.agg(F.sum("n").alias("supplier")),
+        mapping.agg(F.count(F.lit(1)).alias("mapping")),
+        grain.withColumn("_invoice", invoice).join(bridge.drop("n"), "_invoice", "left").agg(_groups("SupplierID").alias("supplier_sales"), market.alias("supplier_uk_2011")),
+        grain.select("Country", "n").join(mapping, "Country", "left").agg(_groups("Continent").alias("continent_sales")),
+        pairs.join(mapping, "Country", "left").agg(
+            F.countDistinct(F.when(is_cancelled("InvoiceNo"), F.struct("Continent"))).alias("cancellations_by_continent")
+        ),
+    ]
+    out = None
+    for one in counts:
+        steps = F.array(*(F.struct(F.lit(c).alias("step"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("row_count")) for c in one.columns))
+        rows = one.select(F.inline(steps))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _work_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The query's folder; a later run of the same application overwrites it."""
+    tag = f"{zlib.crc32(sf_dir.encode()):08x}"
+    return shared_dir(spark, f"query-{name}-{spark.sparkContext.applicationId}-{tag}")
 
 
 def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country sales written as Parquet and read back (K1 -> S2)."""
-    path = _fresh_dir(spark, "parquet")
+    path = _work_dir(spark, sf_dir, "parquet")
     save_parquet(agg.group_by_country(enriched(spark, sf_dir)), path)
     return load_parquet(spark, path, COUNTRY_SALES)
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly sales written as CSV with a header and read back (S3)."""
-    path = _fresh_dir(spark, "csv")
+    path = _work_dir(spark, sf_dir, "csv")
     monthly = agg.aggregate_monthly_data(enriched(spark, sf_dir))
     monthly.write.mode("overwrite").option("header", "true").csv(path)
     return load_csv(spark, path, MONTHLY_SALES)
@@ -95,30 +129,164 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaning audit written as JSON lines and read back (K3)."""
-    path = _fresh_dir(spark, "json")
+    path = _work_dir(spark, sf_dir, "json")
     save_audit(quality.cleaning_waterfall(views.dirty(spark, sf_dir)), path)
     return spark.read.schema(AUDIT).json(path)
 
 
+def _csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country sales as CSV with other column order, header case and padding
+    and a further column, read by header (S3, P12)."""
+    path = _work_dir(spark, sf_dir, "csv-reordered")
+    sales = agg.group_by_country(enriched(spark, sf_dir))
+    shuffled = sales.select(
+        F.lit("x").alias("extra"), F.col("TransactionCount").alias(" transactioncount "), F.col("TotalAmount"), F.col("Country").alias("COUNTRY")
+    )
+    shuffled.write.mode("overwrite").option("header", "true").csv(path)
+    return load_csv(spark, path, COUNTRY_SALES)
+
+
+def _catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country sales of lines found through the session catalog."""
+    enriched(spark, sf_dir).createOrReplaceTempView("tillroll_enriched")
+    return agg.group_by_country(load_source(spark, "catalog:tillroll_enriched", ENRICHED))
+
+
+def _result_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly sales written in two sub-folders, read as one result folder."""
+    root = _work_dir(spark, sf_dir, "result-dir")
+    monthly = agg.aggregate_monthly_data(enriched(spark, sf_dir))
+    early = F.col("InvoiceMonth") < f"{MARKET_YEAR}-01"
+    save_parquet(monthly.filter(early), os.path.join(root, "a"))
+    save_parquet(monthly.filter(~early), os.path.join(root, "b", "c"))
+    return load_result_dir(spark, root, MONTHLY_SALES)
+
+
+def _optional_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a present source, and null for an absent one."""
+    found = load_optional(spark, f"{sf_dir}/orders.parquet")
+    absent = load_optional(spark, f"{sf_dir}/no_such_table.parquet")
+    rows = found.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("orders").alias("step"), "row_count")
+    return rows.unionByName(audit_frame(spark, [("absent", 0 if absent is None else 1)]))
+
+
+def _csv_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of monthly sales exported as CSV and read back (K4)."""
+    path = _work_dir(spark, sf_dir, "preview")
+    monthly = agg.aggregate_monthly_data(enriched(spark, sf_dir)).orderBy("InvoiceMonth")
+    export_csv_preview(monthly, path, n=10)
+    return load_csv(spark, path, MONTHLY_SALES)
+
+
+def _single_machine_save(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The single-machine run's final lines, saved guarded and read back (K2)."""
+    path = _work_dir(spark, sf_dir, "single-machine")
+    jobs.run_single_machine(views.dirty(spark, sf_dir), views.bridge(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def _job_folders(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The cleaning job's output over the dirty lines, in a work folder."""
+    root = _work_dir(spark, sf_dir, name)
+    jobs.cleaning_job(spark, views.dirty(spark, sf_dir), os.path.join(root, "cleaned"))
+    return root
+
+
+def _cleaning_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit that the cleaning job leaves beside its output (K5)."""
+    root = _job_folders(spark, sf_dir, "cleaning-job")
+    return spark.read.schema(AUDIT).json(audit_path(os.path.join(root, "cleaned"), "cleaned", "cleaning_job"))
+
+
+def _enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched lines after the cleaning and the enrich job."""
+    root = _job_folders(spark, sf_dir, "enrich-job")
+    jobs.enrich_job(spark, os.path.join(root, "cleaned"), os.path.join(root, "enriched"))
+    return load_parquet(spark, os.path.join(root, "enriched"), ENRICHED)
+
+
+def _aggregation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of the aggregation job over the enriched lines (C4)."""
+    root = _work_dir(spark, sf_dir, "aggregation-job")
+    save_parquet(enriched(spark, sf_dir), os.path.join(root, "enriched"))
+    names = ("country_sales", "monthly", "supplier", "market", "world", "cancellations")
+    return jobs.aggregation_job(
+        spark, os.path.join(root, "enriched"), views.retail(spark, sf_dir), views.bridge(spark, sf_dir), views.mapping(spark, sf_dir),
+        jobs.AggregationOutputs(*(os.path.join(root, n) for n in names)), MARKET_COUNTRY, MARKET_YEAR,
+    )
+
+
+def _all_in_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scalar answers of the all-in-one run."""
+    answers = jobs.run_all_on_driver_tables(spark, sf_dir, _work_dir(spark, sf_dir, "all-in-one"))["answers"]
+    return spark.createDataFrame([tuple(answers.values())], "best_product string, peak_hour int, top_cancelled_continent string")
+
+
+def _world_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All results of the world analysis in one list (C6): continent sales,
+    cancellations, the top continent and the joined lines per continent."""
+    res = jobs.world_analysis(enriched(spark, sf_dir), views.mapping(spark, sf_dir), views.dirty(spark, sf_dir))
+
+    def listed(name: str, df: DataFrame, value: str) -> DataFrame:
+        return df.select(F.lit(name).alias("result"), "Continent", F.col(value).cast("double").alias("value"))
+
+    out = listed("sales", res["continent_sales"], "TotalAmount")
+    out = out.unionByName(listed("cancellations", res["cancellations_by_continent"], "CancelledOperations"))
+    out = out.unionByName(listed("lines", res["world_df"].groupBy("Continent").count(), "count"))
+    top = res["top_cancelled_continent"].select(F.col("top_cancelled_continent").alias("Continent"), F.lit(1).alias("rank"))
+    return out.unionByName(listed("top", top, "rank"))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short labels of amounts, half-way cases among them (P19): multiples of
+    50 and of an eighth, from the lines' quantities and prices."""
+    li = views.table(spark, sf_dir, "lineitem")
+    quantity = li.select((F.col("l_quantity") * 50).alias("value")).distinct()
+    eighths = li.select((F.col("l_quantity") / 8).alias("value")).distinct()
+    large = li.select((F.col("l_quantity") * 50_000 + 1_000_000).alias("value")).distinct()
+    return quantity.union(eighths).union(large).distinct().select("value", nice_number("value").alias("label"))
+
+
+def _best_product_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best product where sums differ below a cent and some are null (A7): per
+    country, sales in hundredths of a cent, with null amounts and names."""
+    lines = enriched(spark, sf_dir).select(
+        F.lit("Everywhere").alias("Country"),
+        F.when(F.col("Quantity") == 1, None).otherwise(F.col("Description")).alias("Description"),
+        F.when(F.col("StockCode").endswith("7"), None).otherwise(F.col("Quantity") / 4096.0).alias("TotalAmount"),
+    )
+    return agg.best_product_in_country(lines, "everywhere")
+
+
+def _folder_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile and first rows of several results (Q6)."""
+    return quality.folder_profile({
+        "cancellations_by_continent": _cancellations(spark, sf_dir),
+        "mapping": views.mapping(spark, sf_dir),
+        "transactions_by_hour": _by_hour(spark, sf_dir),
+    }, preview_rows=5)
+
+
 def _run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enriched lines and five result tables written side by side, then
-    classified from their
-    Parquet footers (A16, P18, Q3-Q5, W1). Run ids and times vary per run,
-    so only the deterministic columns are returned."""
-    import os
-
-    root = _fresh_dir(spark, "manifest")
-    # As in the jobs: the enriched lines are written once and the five
-    # results are computed from that Parquet, not from the sources again.
+    """Result tables written side by side, among them three runs of the
+    supplier family, an empty run and one of unknown columns, then classified
+    (A16, P18, Q3-Q5, W1). Run ids and times vary per run, so only the
+    deterministic columns are returned."""
+    root = _work_dir(spark, sf_dir, "manifest")
+    # As in the jobs: the results follow from a table written once.
     save_parquet(enriched(spark, sf_dir), os.path.join(root, "enriched"))
     e = load_parquet(spark, os.path.join(root, "enriched"), ENRICHED)
+    grain = agg.invoice_grain(e)
     bridge = views.bridge(spark, sf_dir)
     outputs = {
-        "country_sales": agg.group_by_country(e),
-        "monthly_sales": agg.aggregate_monthly_data(e),
-        "continent_sales": agg.aggregate_world_data(e, views.mapping(spark, sf_dir)),
-        "supplier_sales": agg.aggregate_supplier_data(e, bridge),
-        "supplier_market": agg.aggregate_supplier_market(e, bridge, MARKET_COUNTRY, MARKET_YEAR),
+        "country_sales": agg.group_by_country(grain),
+        "monthly_sales": agg.aggregate_monthly_data(grain),
+        "continent_sales": agg.aggregate_world_data(grain, views.mapping(spark, sf_dir)),
+        "supplier_sales": agg.aggregate_supplier_data(grain, bridge),
+        "supplier_market": agg.aggregate_supplier_market(grain, bridge, MARKET_COUNTRY, MARKET_YEAR),
+        "supplier_matched": agg.aggregate_supplier_data_matched_only(grain, bridge),
+        "empty": e.drop("TotalAmount").filter(F.lit(False)),
+        "unknown": views.mapping(spark, sf_dir),
     }
     for name, df in outputs.items():
         save_parquet(df, os.path.join(root, name))
@@ -146,7 +314,7 @@ def queries() -> dict[str, Query]:
         enriched(s, d), views.mapping(s, d), rounded=False, keep_unmapped=False
     )
     q["cancellations_case_sensitive"] = lambda s, d: agg.build_cancellations_by_continent(
-        views.retail(s, d), views.mapping(s, d), case_sensitive=True, keep_unmapped=False
+        views.dirty(s, d), views.mapping(s, d), case_sensitive=True, keep_unmapped=False
     )
     q["cancellations_by_continent"] = _cancellations
     q["top_cancelled_continent"] = lambda s, d: agg.top_cancelled_continent(_cancellations(s, d))
@@ -182,6 +350,29 @@ def queries() -> dict[str, Query]:
     q["chart_top_countries"] = lambda s, d: quality.chart_dataset(
         agg.group_by_country(enriched(s, d)), "Country", "TotalAmount", CHART_TOP_N
     )
+    q["chart_top_suppliers"] = lambda s, d: quality.chart_dataset(_suppliers(s, d), "SupplierID", "TotalAmount", CHART_TOP_N)
+    q["chart_market_suppliers"] = lambda s, d: quality.chart_dataset(_market_suppliers(s, d), "SupplierID", "TotalAmount", CHART_TOP_N)
+    q["chart_continents"] = lambda s, d: quality.chart_dataset(_world(s, d), "Continent", "TotalAmount", CHART_TOP_N)
+    q["chart_cancellations"] = lambda s, d: quality.chart_dataset(_cancellations(s, d), "Continent", "CancelledOperations", CHART_TOP_N)
+    q["chart_monthly_line"] = lambda s, d: quality.line_chart_dataset(
+        agg.aggregate_monthly_data(enriched(s, d)), "InvoiceMonth", "TotalSales"
+    )
+    q["number_labels"] = _labels
+    q["best_product_raw_sums"] = _best_product_raw
+    q["lines_with_supplier"] = lambda s, d: with_supplier(enriched(s, d), views.bridge_fanout(s, d))
+    q["folder_profile"] = _folder_profile
+    q["monthly_preview"] = lambda s, d: preview(agg.aggregate_monthly_data(enriched(s, d)), 10)
+    q["csv_reordered_header"] = _csv_reordered
+    q["catalog_table_scan"] = _catalog_scan
+    q["result_dir_scan"] = _result_dir_scan
+    q["optional_sources"] = _optional_sources
+    q["csv_preview_roundtrip"] = _csv_preview
+    q["single_machine_save"] = _single_machine_save
+    q["cleaning_job_audit"] = _cleaning_job
+    q["enrich_job"] = _enrich_job
+    q["aggregation_job_audit"] = _aggregation_job
+    q["all_in_one_answers"] = _all_in_one
+    q["world_bundle"] = _world_bundle
     q["parquet_roundtrip"] = _parquet_roundtrip
     q["csv_header_roundtrip"] = _csv_roundtrip
     q["json_counts_roundtrip"] = _json_roundtrip

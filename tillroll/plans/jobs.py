@@ -11,12 +11,12 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tillroll.config import (
     DEFAULT_BEST_PRODUCT_COUNTRY,
+    AGGREGATION_STEPS,
+    ENRICH_STEPS,
     AggregationJobConfig,
     CleaningJobConfig,
     CleaningRules,
@@ -26,18 +26,18 @@ from tillroll.operators import aggregates as agg
 from tillroll.operators.cleaning import fill_missing_customer, normalize_types
 from tillroll.operators.enrich import total_amount
 from tillroll.operators.joins import with_continent
-from tillroll.operators.quality import cleaning_conditions, distinct_with_copies, waterfall_from_groups
-from tillroll.schemas import ENRICHED, MAPPING, RETAIL_COLUMNS, SUPPLIER
-from tillroll.sources.readers import audit_frame, load_optional, load_parquet, load_source
-from tillroll.sources.writers import audit_path, save_audit, save_parquet
+from tillroll.operators.quality import cleaning_conditions, distinct_with_copies, waterfall_counters
+from tillroll.schemas import CANCELLATIONS, CONTINENT_SALES, ENRICHED, MAPPING, RETAIL_COLUMNS, SUPPLIER
+from tillroll.session import shared_dir
+from tillroll.sources.readers import audit_frame, load_parquet, load_source
+from tillroll.sources.writers import audit_path, save_audit, save_parquet, save_parquet_guarded
 
 Source = "str | DataFrame"
 
 
-def _frame(spark: SparkSession, src, schema=None) -> DataFrame | None:
-    if src is None or isinstance(src, DataFrame):
-        return src
-    return load_optional(spark, src, schema)
+def _frame(spark: SparkSession, src, schema=None) -> DataFrame:
+    """A required input: a frame, or a source that must exist."""
+    return src if isinstance(src, DataFrame) else load_source(spark, src, schema)
 
 
 def _written_count(spark: SparkSession, path: str) -> int:
@@ -53,24 +53,21 @@ def cleaning_job(
     """Normalise, de-duplicate and filter the raw lines; write the cleaned
     table and the 13-step audit. Returns the audit frame.
 
-    The distinct rows (with copy counts) are the one shuffle of the job. They
-    are persisted for the two consumers (cleaned write, audit aggregate);
-    persisted blocks keep their lineage, so a lost executor's blocks are
-    recomputed rather than lost.
+    The distinct rows (with copy counts) are the one shuffle of the job, and
+    the cleaned write is its one action: the audit counters are observed on the
+    distinct rows as the write reads them.
     """
-    raw = _frame(spark, retail)
-    normalized = normalize_types(raw, rules.date_formats, fence=False)
-    groups = distinct_with_copies(normalized).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        keep = cleaning_conditions(rules)["outliers"]
-        cols = [c for c in RETAIL_COLUMNS if c in normalized.columns]
-        cleaned = groups.filter(keep).select(*cols).transform(fill_missing_customer)
-        save_parquet(cleaned, cleaned_output_path)
-        audit = waterfall_from_groups(groups, rules)
-        save_audit(audit, audit_path(cleaned_output_path, "cleaned", "cleaning_job"))
-    finally:
-        groups.unpersist()
-    return spark.read.json(audit_path(cleaned_output_path, "cleaned", "cleaning_job"), schema="step string, row_count long")
+    normalized = normalize_types(_frame(spark, retail), rules.date_formats, fence=False)
+    seen = Observation("cleaning")
+    counters = waterfall_counters(rules)
+    groups = distinct_with_copies(normalized).observe(seen, *(c.alias(f"c{i}") for i, (_, c) in enumerate(counters)))
+    cols = [c for c in RETAIL_COLUMNS if c in normalized.columns]
+    cleaned = groups.filter(cleaning_conditions(rules)["outliers"]).select(*cols).transform(fill_missing_customer)
+    save_parquet(cleaned, cleaned_output_path)
+    got = seen.get
+    audit = audit_frame(spark, [(step, got[f"c{i}"]) for i, (step, _) in enumerate(counters)])
+    save_audit(audit, audit_path(cleaned_output_path, "cleaned", "cleaning_job"))
+    return audit
 
 
 def run_cleaning_job(spark: SparkSession, cfg: CleaningJobConfig) -> DataFrame:
@@ -87,8 +84,8 @@ def enrich_job(spark: SparkSession, cleaned_input_path: str, enriched_output_pat
     audit = audit_frame(
         spark,
         [
-            ("cleaned_input", _written_count(spark, cleaned_input_path)),
-            ("enriched_output", _written_count(spark, enriched_output_path)),
+            (ENRICH_STEPS[0], _written_count(spark, cleaned_input_path)),
+            (ENRICH_STEPS[1], _written_count(spark, enriched_output_path)),
         ],
     )
     save_audit(audit, audit_path(enriched_output_path, "enriched", "transformations_job"))
@@ -124,39 +121,45 @@ def aggregation_job(
     raw_count: int | None = None,
 ) -> DataFrame:
     """Six result tables from the enriched Parquet plus the raw lines,
-    supplier bridge and (optional) country mapping; then the audit of input
-    and output volumes. Continent results are skipped without a mapping.
-    ``raw_count``, when the caller already knows it (the cleaning audit), saves
-    a second pass over the raw lines."""
+    supplier bridge and country mapping; then the audit of input and output
+    volumes.
+
+    The lines are read once, into an invoice-grain table from which the five
+    sales results follow; the cancellations read the raw lines. Without a
+    mapping (None) the two continent results are written empty, so none of an
+    earlier run stays, and are left out of the audit; a mapping that is named
+    but absent is an error. ``raw_count``, when the caller already knows it
+    (the cleaning audit), saves a second pass over the raw lines."""
     enriched = load_parquet(spark, enriched_input_path, ENRICHED)
     raw = _frame(spark, retail)
     bridge = _frame(spark, supplier, SUPPLIER)
-    world = _frame(spark, mapping, MAPPING)
-
-    results = {
-        "country_sales": (agg.group_by_country(enriched), out.country),
-        "monthly_stats": (agg.aggregate_monthly_data(enriched), out.monthly),
-        "supplier_sales": (agg.aggregate_supplier_data(enriched, bridge), out.supplier),
-        "supplier_uk_2011": (
-            agg.aggregate_supplier_market(enriched, bridge, market_country, market_year),
-            out.supplier_market,
-        ),
-    }
-    if world is not None:
-        results["continent_sales"] = (agg.aggregate_world_data(enriched, world), out.world)
-        results["cancellations_by_continent"] = (agg.build_cancellations_by_continent(raw, world), out.cancellation)
-
-    for df, path in results.values():
+    world = None if mapping is None else _frame(spark, mapping, MAPPING)
+
+    grain_path = shared_dir(spark, f"invoice-grain-{spark.sparkContext.applicationId}")
+    save_parquet(agg.invoice_grain(enriched), grain_path)
+    grain = load_parquet(spark, grain_path)
+    names = AGGREGATION_STEPS[4:]
+    frames = [
+        agg.group_by_country(grain),
+        agg.aggregate_monthly_data(grain),
+        agg.aggregate_supplier_data(grain, bridge),
+        agg.aggregate_supplier_market(grain, bridge, market_country, market_year),
+        spark.createDataFrame([], CONTINENT_SALES) if world is None else agg.aggregate_world_data(grain, world),
+        spark.createDataFrame([], CANCELLATIONS) if world is None else agg.build_cancellations_by_continent(raw, world),
+    ]
+    paths = [out.country, out.monthly, out.supplier, out.supplier_market, out.world, out.cancellation]
+    for df, path in zip(frames, paths):
         save_parquet(df, path)
 
-    counts = [
-        ("enriched_input", _written_count(spark, enriched_input_path)),
-        ("raw_retail", raw_count if raw_count is not None else raw.count()),
-        ("supplier", bridge.count()),
+    inputs = [
+        _written_count(spark, enriched_input_path),
+        raw_count if raw_count is not None else raw.count(),
+        bridge.count(),
     ]
+    counts = list(zip(AGGREGATION_STEPS, inputs))
     if world is not None:
-        counts.append(("mapping", world.count()))
-    counts += [(name, _written_count(spark, path)) for name, (_, path) in results.items()]
+        counts.append((AGGREGATION_STEPS[3], world.count()))
+    counts += [(name, _written_count(spark, path)) for name, path in list(zip(names, paths))[: 4 if world is None else 6]]
     audit = audit_frame(spark, counts)
     save_audit(audit, audit_path(out.country, "country_sales", "aggregations_job"))
     return audit
@@ -211,19 +214,15 @@ def run_all(
     market_country: str = "United Kingdom",
     market_year: int = 2011,
     best_product_country: str = DEFAULT_BEST_PRODUCT_COUNTRY,
-    events: DataFrame | None = None,
-    events_ts: str = "InvoiceDate",
-    events_id: str = "InvoiceNo",
 ) -> dict:
     """The whole pipeline in one application, results under ``out_root``.
 
     Returns the output paths and the scalar answers (best product, peak hour,
-    most-cancelling continent; continent answers only with a mapping). The
-    hour statistics use ``events`` when given, else the enriched lines.
+    most-cancelling continent; continent answers only with a mapping).
     """
     p = lambda name: os.path.join(out_root, name)
     raw = _frame(spark, retail)
-    world = _frame(spark, mapping, MAPPING)
+    world = None if mapping is None else _frame(spark, mapping, MAPPING)
     cleaning_audit = {r.step: r.row_count for r in cleaning_job(spark, raw, p("cleaned"), rules).collect()}
     enrich_job(spark, p("cleaned"), p("enriched"))
     outs = AggregationOutputs(
@@ -236,9 +235,7 @@ def run_all(
     )
 
     enriched = load_parquet(spark, p("enriched"), ENRICHED)
-    hours_src = events if events is not None else enriched
-    by_hour = agg.transactions_by_hour(hours_src, events_ts, events_id)
-    save_parquet(by_hour, p("transactions_by_hour"))
+    save_parquet(agg.transactions_by_hour(enriched), p("transactions_by_hour"))
     hours = load_parquet(spark, p("transactions_by_hour"))
     answers = {
         "best_product": agg.best_product_in_country(enriched, best_product_country).first()[0],
@@ -264,9 +261,6 @@ def run_all_on_driver_tables(spark: SparkSession, sf_dir: str, out_root: str) ->
         market_country=MARKET_COUNTRY,
         market_year=MARKET_YEAR,
         best_product_country=BEST_PRODUCT_COUNTRY,
-        events=views.events(spark, sf_dir),
-        events_ts="ts",
-        events_id="user_id",
     )
 
 
@@ -313,3 +307,11 @@ def single_machine_results(
             "world_df": with_continent(lines, mapping),
         }
     return results
+
+
+def run_single_machine(retail: DataFrame, supplier: DataFrame, output_path: str, mapping: DataFrame | None = None, **options) -> dict:
+    """:func:`single_machine_results`, and the final lines saved as Parquet; an
+    empty result is an error."""
+    results = single_machine_results(retail, supplier, mapping, **options)
+    save_parquet_guarded(results["cleaned_df"], output_path)
+    return results

@@ -191,14 +191,14 @@ _MARKET = f"SELECT * FROM enriched WHERE Country = '{MARKET_COUNTRY}' AND year(I
 
 _CANCELLATIONS = """
 SELECT m.Continent AS Continent, count(DISTINCT r.InvoiceNo) AS CancelledOperations
-FROM (SELECT CAST(InvoiceNo AS VARCHAR) AS InvoiceNo, trim(Country) AS Country FROM retail) r
+FROM (SELECT InvoiceNo, trim(Country) AS Country FROM dirty) r
 LEFT JOIN mapping m ON r.Country = m.Country
 WHERE starts_with(upper(r.InvoiceNo), 'C')
 GROUP BY m.Continent ORDER BY CancelledOperations DESC"""
 
 _BY_HOUR = """
-SELECT CAST(hour(ts) AS INTEGER) AS InvoiceHour, count(DISTINCT user_id) AS InvoiceNo
-FROM events GROUP BY 1 ORDER BY InvoiceNo DESC, InvoiceHour"""
+SELECT CAST(hour(InvoiceDate) AS INTEGER) AS InvoiceHour, count(DISTINCT InvoiceNo) AS InvoiceNo
+FROM cleaned GROUP BY 1 ORDER BY InvoiceNo DESC, InvoiceHour"""
 
 
 def _nice(v: str) -> str:
@@ -224,8 +224,9 @@ def oracle_sql() -> dict[str, str]:
     em = _with(*ENRICHED_CTES, MAPPING)
     eb = _with(*ENRICHED_CTES, BRIDGE)
     ebf = _with(*ENRICHED_CTES, BRIDGE_FANOUT)
-    rm = _with(LINES, RETAIL, MAPPING)
+    dm = _with(LINES, DIRTY, MAPPING)
     d = _with(*DIRTY_CTES)
+    dc = _with(*DIRTY_CTES, _clean_standard("norm", "cleaned"))
 
     q: dict[str, str] = {}
     q["country_sales"] = e + _COUNTRY_SALES
@@ -251,9 +252,9 @@ FROM enriched GROUP BY 1 ORDER BY InvoiceMonth"""
 SELECT m.Continent AS Continent, sum(e.TotalAmount) AS TotalAmount
 FROM enriched e JOIN mapping m ON e.Country = m.Country
 WHERE m.Continent IS NOT NULL GROUP BY m.Continent ORDER BY TotalAmount DESC"""
-    q["cancellations_case_sensitive"] = rm + """
+    q["cancellations_case_sensitive"] = dm + f"""
 SELECT m.Continent AS Continent, count(DISTINCT r.InvoiceNo) AS CancelledOperations
-FROM (SELECT CAST(InvoiceNo AS VARCHAR) AS InvoiceNo, trim(Country) AS Country FROM retail) r
+FROM (SELECT InvoiceNo, {_STRIP.format(c='Country')} AS Country FROM dirty) r
 JOIN mapping m ON r.Country = m.Country
 WHERE starts_with(r.InvoiceNo, 'C') AND m.Continent IS NOT NULL
 GROUP BY m.Continent ORDER BY CancelledOperations DESC"""
@@ -261,18 +262,22 @@ GROUP BY m.Continent ORDER BY CancelledOperations DESC"""
 SELECT m.Continent AS Continent, round(sum(e.TotalAmount), 2) AS TotalAmount
 FROM enriched e LEFT JOIN mapping m ON e.Country = m.Country
 GROUP BY m.Continent ORDER BY TotalAmount DESC"""
-    q["cancellations_by_continent"] = rm + _CANCELLATIONS
-    q["top_cancelled_continent"] = rm + f"""
+    q["cancellations_by_continent"] = dm + _CANCELLATIONS
+    q["top_cancelled_continent"] = dm + f"""
 , c AS ({_CANCELLATIONS})
 SELECT (SELECT Continent FROM c WHERE Continent IS NOT NULL
         ORDER BY CancelledOperations DESC, Continent LIMIT 1) AS top_cancelled_continent"""
     q["best_product_in_country"] = e + f"""
-, p AS (SELECT Description, round(sum(TotalAmount), 2) AS sales FROM enriched
-        WHERE lower(Country) = lower('{BEST_PRODUCT_COUNTRY}') GROUP BY Description)
-SELECT (SELECT Description FROM p ORDER BY sales DESC, Description LIMIT 1) AS best_product"""
-    q["transactions_by_hour"] = _BY_HOUR
-    q["peak_hour"] = f"""
-WITH h AS ({_BY_HOUR})
+, p AS (SELECT Description, sum(TotalAmount) AS sales FROM enriched
+        WHERE lower(Country) = lower('{BEST_PRODUCT_COUNTRY}') AND Description IS NOT NULL GROUP BY Description)
+SELECT (SELECT Description FROM p WHERE sales IS NOT NULL ORDER BY sales DESC, Description LIMIT 1) AS best_product"""
+    q["best_product_raw_sums"] = e + """
+, p AS (SELECT Description, sum(CASE WHEN StockCode LIKE '%7' THEN NULL ELSE Quantity / 4096.0 END) AS sales FROM enriched
+        WHERE Quantity <> 1 AND Description IS NOT NULL GROUP BY Description)
+SELECT (SELECT Description FROM p WHERE sales IS NOT NULL ORDER BY sales DESC, Description LIMIT 1) AS best_product"""
+    q["transactions_by_hour"] = dc + _BY_HOUR
+    q["peak_hour"] = dc + f"""
+, h AS ({_BY_HOUR})
 SELECT (SELECT InvoiceHour FROM h ORDER BY InvoiceNo DESC, InvoiceHour LIMIT 1) AS peak_hour"""
     q["lines_with_continent"] = em + """
 SELECT e.*, m.Continent AS Continent FROM enriched e LEFT JOIN mapping m ON e.Country = m.Country"""
@@ -351,14 +356,75 @@ FROM kept WHERE {_DATE_LENIENT.format(c='InvoiceDate')} IS NOT NULL"""
     )
     q["dataset_profile"] = e + profile
 
-    q["chart_top_countries"] = e + f"""
-, cs AS ({_COUNTRY_SALES})
-, top AS (SELECT Country, TotalAmount FROM cs WHERE Country IS NOT NULL AND TotalAmount IS NOT NULL
-          ORDER BY TotalAmount DESC, Country LIMIT {CHART_TOP_N})
-SELECT CAST(row_number() OVER (ORDER BY TotalAmount DESC, Country) AS INTEGER) AS position,
-       Country, TotalAmount, {_nice('TotalAmount')} AS value_label,
-       TotalAmount / COALESCE(NULLIF(max(TotalAmount) OVER (), 0), 1) AS share
+    def chart(ctes: str, rows: str, label: str, value: str) -> str:
+        return ctes + f"""
+, src AS ({rows})
+, top AS (SELECT {label}, {value} FROM src WHERE {label} IS NOT NULL AND {value} IS NOT NULL
+          ORDER BY {value} DESC, {label} LIMIT {CHART_TOP_N})
+SELECT CAST(row_number() OVER (ORDER BY {value} DESC, {label}) AS INTEGER) AS position,
+       {label}, {value}, {_nice(f'CAST({value} AS DOUBLE)')} AS value_label,
+       {value} / COALESCE(NULLIF(max(CAST({value} AS DOUBLE)) OVER (), 0), 1) AS share
 FROM top"""
+
+    continents = "SELECT m.Continent AS Continent, round(sum(e.TotalAmount), 2) AS TotalAmount FROM enriched e LEFT JOIN mapping m ON e.Country = m.Country GROUP BY m.Continent"
+    q["chart_top_countries"] = chart(e, _COUNTRY_SALES, "Country", "TotalAmount")
+    q["chart_top_suppliers"] = chart(eb, _SUPPLIER_SALES.format(src="enriched", bridge="bridge"), "SupplierID", "TotalAmount")
+    q["chart_market_suppliers"] = chart(eb, _SUPPLIER_SALES.format(src=f"({_MARKET})", bridge="bridge"), "SupplierID", "TotalAmount")
+    q["chart_continents"] = chart(em, continents, "Continent", "TotalAmount")
+    q["chart_cancellations"] = chart(dm, _CANCELLATIONS, "Continent", "CancelledOperations")
+    q["chart_monthly_line"] = e + f"""
+, m AS (SELECT strftime(InvoiceDate, '%Y-%m') AS InvoiceMonth, round(sum(TotalAmount), 2) AS TotalSales FROM enriched GROUP BY 1)
+SELECT InvoiceMonth, TotalSales, {_nice('TotalSales')} AS value_label,
+       TotalSales / COALESCE(NULLIF((SELECT max(TotalSales) FROM m), 0), 1) AS share
+FROM m WHERE InvoiceMonth IS NOT NULL AND TotalSales IS NOT NULL ORDER BY InvoiceMonth"""
+    q["number_labels"] = f"""
+WITH v AS (SELECT l_quantity * 50 AS value FROM lineitem UNION SELECT l_quantity / 8 FROM lineitem
+           UNION SELECT l_quantity * 50000 + 1000000 FROM lineitem)
+SELECT value, {_nice('value')} AS label FROM v"""
+    q["lines_with_supplier"] = ebf + """
+SELECT e.*, b.SupplierID AS SupplierID FROM enriched e LEFT JOIN bridge_fanout b ON e.InvoiceNo = b.InvoiceNo"""
+    q["csv_reordered_header"] = q["country_sales"]
+    q["catalog_table_scan"] = q["country_sales"]
+    q["result_dir_scan"] = q["monthly_sales"]
+    q["monthly_preview"] = q["monthly_sales"] + " LIMIT 10"
+    q["csv_preview_roundtrip"] = q["monthly_preview"]
+    q["optional_sources"] = "SELECT 'orders' AS step, count(*) AS row_count FROM orders UNION ALL SELECT 'absent', 0"
+    q["cleaning_job_audit"] = q["cleaning_waterfall"]
+    q["enrich_job"] = dc + "SELECT *, round(Quantity * UnitPrice, 2) AS TotalAmount FROM cleaned"
+    q["aggregation_job_audit"] = q["result_volumes"]
+    q["single_machine_save"] = q["clean_lenient"].replace("\nSELECT InvoiceNo, StockCode, ", "\n, lenient AS (SELECT InvoiceNo, StockCode, ") + (
+        ") SELECT *, Quantity * UnitPrice AS TotalAmount FROM lenient")
+    q["all_in_one_answers"] = em + """
+, p AS (SELECT Description, sum(TotalAmount) AS sales FROM enriched WHERE lower(Country) = lower('__BEST__') GROUP BY Description)
+, h AS (SELECT CAST(hour(InvoiceDate) AS INTEGER) AS hr, count(DISTINCT InvoiceNo) AS n FROM enriched GROUP BY 1)
+, c AS (SELECT m.Continent AS Continent, count(DISTINCT r.InvoiceNo) AS n FROM retail r LEFT JOIN mapping m ON trim(r.Country) = m.Country
+        WHERE starts_with(upper(r.InvoiceNo), 'C') GROUP BY 1)
+SELECT (SELECT Description FROM p ORDER BY sales DESC, Description LIMIT 1) AS best_product,
+       (SELECT hr FROM h ORDER BY n DESC, hr LIMIT 1) AS peak_hour,
+       (SELECT Continent FROM c WHERE Continent IS NOT NULL ORDER BY n DESC, Continent LIMIT 1) AS top_cancelled_continent""".replace("__BEST__", BEST_PRODUCT_COUNTRY)
+    q["world_bundle"] = _with(*ENRICHED_CTES, DIRTY, MAPPING) + f"""
+, c AS ({_CANCELLATIONS})
+SELECT 'sales' AS result, Continent, TotalAmount AS value FROM ({continents})
+UNION ALL SELECT 'cancellations', Continent, CAST(CancelledOperations AS DOUBLE) FROM c
+UNION ALL SELECT 'lines', m.Continent, CAST(count(*) AS DOUBLE) FROM enriched e LEFT JOIN mapping m ON e.Country = m.Country GROUP BY m.Continent
+UNION ALL SELECT 'top', (SELECT Continent FROM c WHERE Continent IS NOT NULL ORDER BY CancelledOperations DESC, Continent LIMIT 1), 1.0"""
+
+    def profile_of(name: str, src: str, columns: list[tuple[str, str]]) -> str:
+        order = ", ".join(f"{c} ASC NULLS FIRST" for c, _ in columns)
+        return "\nUNION ALL ".join(
+            f"SELECT '{name}' AS dataset, '{c}' AS column_name, '{t}' AS data_type, {i} AS ordinal, "
+            f"(SELECT string_agg(coalesce(CAST({c} AS VARCHAR), 'null'), '|' ORDER BY {order}) FROM (SELECT * FROM {src} ORDER BY {order} LIMIT 5)) AS preview, "
+            f"(SELECT count(*) FROM {src}) AS row_count, {len(columns)} AS column_count"
+            for i, (c, t) in enumerate(columns, start=1)
+        )
+
+    q["folder_profile"] = _with(*DIRTY_CTES, _clean_standard("norm", "cleaned"), MAPPING) + f"""
+, cancels AS ({_CANCELLATIONS}), hours AS ({_BY_HOUR})
+""" + "\nUNION ALL ".join([
+        profile_of("cancellations_by_continent", "cancels", [("Continent", "string"), ("CancelledOperations", "bigint")]),
+        profile_of("mapping", "mapping", [("country", "string"), ("continent", "string")]),
+        profile_of("transactions_by_hour", "hours", [("InvoiceHour", "int"), ("InvoiceNo", "bigint")]),
+    ])
     q["parquet_roundtrip"] = q["country_sales"]
     q["csv_header_roundtrip"] = q["monthly_sales"]
     q["json_counts_roundtrip"] = q["cleaning_waterfall"]
@@ -376,9 +442,13 @@ UNION ALL
 SELECT 'continent_sales', 'Continent,TotalAmount',
        (SELECT count(*) FROM (SELECT m.Continent FROM enriched e LEFT JOIN mapping m ON e.Country = m.Country GROUP BY 1))
 UNION ALL
-SELECT 'supplier_sales', 'SupplierID,TotalAmount',
-       (SELECT count(*) FROM (SELECT b.SupplierID FROM enriched e LEFT JOIN bridge b ON e.InvoiceNo = b.InvoiceNo GROUP BY 1))
+SELECT CASE rank WHEN 1 THEN 'supplier_sales' WHEN 2 THEN 'supplier_sales_uk_2011' ELSE 'legacy_supplier_extra' END, 'SupplierID,TotalAmount', n
+FROM (SELECT n, row_number() OVER (ORDER BY n DESC) AS rank FROM (
+  SELECT count(*) AS n FROM (SELECT b.SupplierID FROM enriched e LEFT JOIN bridge b ON e.InvoiceNo = b.InvoiceNo GROUP BY 1)
+  UNION ALL SELECT count(*) FROM (SELECT b.SupplierID FROM enriched e JOIN bridge b ON e.InvoiceNo = b.InvoiceNo GROUP BY 1)
+  UNION ALL SELECT count(*) FROM (SELECT b.SupplierID FROM {market} e LEFT JOIN bridge b ON e.InvoiceNo = b.InvoiceNo GROUP BY 1)))
+UNION ALL
+SELECT 'legacy_empty', 'InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country', 0
 UNION ALL
-SELECT 'supplier_sales_uk_2011', 'SupplierID,TotalAmount',
-       (SELECT count(*) FROM (SELECT b.SupplierID FROM {market} e LEFT JOIN bridge b ON e.InvoiceNo = b.InvoiceNo GROUP BY 1))"""
+SELECT 'unknown_schema', 'country,continent', (SELECT count(*) FROM mapping)"""
     return q

@@ -62,19 +62,25 @@ MONTHLY_SALES = T.StructType(
     ]
 )
 
-# The ordered column tuples that name each result dataset.
+CONTINENT_SALES = T.StructType(
+    [T.StructField("Continent", T.StringType()), T.StructField("TotalAmount", T.DoubleType())]
+)
+
+CANCELLATIONS = T.StructType(
+    [T.StructField("Continent", T.StringType()), T.StructField("CancelledOperations", T.LongType())]
+)
+
+SUPPLIER_SALES = T.StructType(
+    [T.StructField("SupplierID", T.StringType()), T.StructField("TotalAmount", T.DoubleType())]
+)
+
+# The name of each result dataset, by its ordered columns.
 DATASET_SIGNATURES = {
-    (
-        "InvoiceNo", "StockCode", "Description", "Quantity",
-        "InvoiceDate", "UnitPrice", "CustomerID", "Country",
-    ): "cleaned",
-    (
-        "InvoiceNo", "StockCode", "Description", "Quantity",
-        "InvoiceDate", "UnitPrice", "CustomerID", "Country", "TotalAmount",
-    ): "enriched",
-    ("Country", "TotalAmount", "TransactionCount"): "country_sales",
-    ("InvoiceMonth", "TotalSales", "TransactionCount"): "monthly_sales",
-    ("Continent", "TotalAmount"): "continent_sales",
-    ("Continent", "CancelledOperations"): "cancellations_by_continent",
-    ("SupplierID", "TotalAmount"): "supplier_sales_family",
+    RETAIL_COLUMNS: "cleaned",
+    tuple(ENRICHED.names): "enriched",
+    tuple(COUNTRY_SALES.names): "country_sales",
+    tuple(MONTHLY_SALES.names): "monthly_sales",
+    tuple(CONTINENT_SALES.names): "continent_sales",
+    tuple(CANCELLATIONS.names): "cancellations_by_continent",
+    tuple(SUPPLIER_SALES.names): "supplier_sales_family",
 }

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings every session should carry. They are defaults only: a cluster
-# launcher that already set a key keeps its own value.
+# Settings every new session should carry. They are defaults only: a key that
+# the launcher set, or a session that is already there, keeps its own value.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -32,13 +33,18 @@ def get_spark(
     leave them unset so the launcher's values apply.
     """
     builder = SparkSession.builder.appName(app_name)
+    SparkContext._ensure_initialized()
+    launched = SparkConf()  # with what the launcher set
+    local = master or launched.get("spark.master", "")
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            # Local mode runs everything in the driver JVM.
-            builder = builder.config("spark.driver.memory", "8g")
-    for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
+    if local.startswith("local") and not launched.contains("spark.driver.memory"):
+        # Local mode runs everything in the driver JVM.
+        builder = builder.config("spark.driver.memory", "8g")
+    if SparkSession.getActiveSession() is None:
+        for key, value in _DEFAULTS.items():
+            if not launched.contains(key):
+                builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
@@ -52,13 +58,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, for written intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; we read it from the
-    session. Only when it is unset (local tests) do we create one ourselves
-    and register it, so later calls agree.
+    session. Only in local mode, where one machine does everything, do we
+    create one ourselves when it is unset, and register it, so later calls
+    agree; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tillroll-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
     return os.path.join(base, *parts) if parts else base

@@ -15,6 +15,8 @@ more) as Parquet. These views give them the shape the reference works on:
 * ``mapping``       country -> continent with lower-case headers; countries of
                     one region are missing, so a null continent exists
 
+``bridge`` lists one supplier per invoice, ``bridge_fanout`` one row per line.
+
 Every view is a lazy plan over the whole tables. Dimension joins are left to
 the planner: Spark broadcasts a side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution re-checks the
@@ -28,8 +30,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.joins import fits_broadcast
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -57,40 +57,11 @@ DRIVER_SCHEMAS = {
 }
 
 
-# Line-level tables whose scan feeds most of the work, with their row key.
-FACT_TABLES = {"lineitem": "l_orderkey", "events": "event_id"}
-
-
-def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table whose scan has fewer splits than task slots.
-
-    Parquet splits only at row-group boundaries, so a one-file, one-row-group
-    table is scanned by one task and everything up to the first shuffle
-    (joins against broadcast dimensions, text parsing) runs on one core. A
-    hash repartition on the table's key fixes that for small inputs (hashing
-    is deterministic on retry without the local sort a round-robin split
-    needs, and only the key column must be read for it). A table at cluster
-    scale comes as many files, and there this is a no-op: no extra shuffle.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        # The scan's split count comes back as one integer (the file list
-        # stays in the JVM), so the check costs the same for ten files or a
-        # million.
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    if splits >= slots:
-        return df
-    return df.repartition(slots, key)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
-    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small_input(df, FACT_TABLES[name]) if name in FACT_TABLES else df
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _lines(spark: SparkSession, sf_dir: str, line_cols: list[str]) -> DataFrame:
@@ -110,12 +81,6 @@ def _lines(spark: SparkSession, sf_dir: str, line_cols: list[str]) -> DataFrame:
     order_country = orders.join(cust_country, orders.o_custkey == cust_country.c_custkey).select(
         "o_orderkey", "o_custkey", "o_orderdate", "n_name"
     )
-    # Without column statistics Spark estimates a join as the product of its
-    # inputs, so it would rather broadcast the line table than the joined
-    # orders. State the intent: orders (one row per order, checked by count)
-    # are broadcast when small; otherwise both sides shuffle on the order key.
-    if fits_broadcast(orders.select("o_orderkey")):
-        order_country = F.broadcast(order_country)
     return li.join(order_country, li.l_orderkey == order_country.o_orderkey).join(
         part, li.l_partkey == part.p_partkey
     )

@@ -7,8 +7,10 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.columns import normalize_headers
 from tillroll.schemas import AUDIT
 
 CATALOG_PREFIX = "catalog:"
@@ -19,26 +21,35 @@ def load_catalog_table(spark: SparkSession, table_name: str, database: str | Non
     return spark.table(f"{database}.{table_name}" if database else table_name)
 
 
+def conform(df: DataFrame, schema: T.StructType, source: str) -> DataFrame:
+    """The columns of ``schema`` from ``df``, found by name whatever the header's
+    case and padding, and cast; text that does not fit a type becomes null.
+    Other columns are left out; an absent column is an error."""
+    named = normalize_headers(df, schema.names)
+    absent = [c for c in schema.names if c not in named.columns]
+    if absent:
+        raise ValueError(f"{source} lacks the columns {absent}; it has {df.columns}")
+    return named.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
 def load_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+    """Parquet with the file's own types; with a schema, checked and cast to it."""
+    df = spark.read.parquet(path)
+    return df if schema is None else conform(df, schema, path)
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header row. With a schema, columns are taken by position;
-    without one every column is text (no inference pass over the data)."""
-    reader = spark.read.option("header", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    """CSV with a header row, read as text (no inference pass over the data).
+    With a schema, columns are selected by their header and cast."""
+    df = spark.read.option("header", "true").csv(path)
+    return df if schema is None else conform(df, schema, path)
 
 
 def load_source(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame:
     """``catalog:db.table``, a ``.csv`` path, or Parquet otherwise."""
     if source.startswith(CATALOG_PREFIX):
-        return load_catalog_table(spark, source[len(CATALOG_PREFIX):])
+        df = load_catalog_table(spark, source[len(CATALOG_PREFIX):])
+        return df if schema is None else conform(df, schema, source)
     if source.lower().rstrip("/").endswith(".csv"):
         return load_csv(spark, source, schema)
     return load_parquet(spark, source, schema)
@@ -59,23 +70,22 @@ def load_optional(spark: SparkSession, source: str | None, schema: T.StructType
         raise
 
 
+def parquet_files(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """(path, modificationTime) of the Parquet files of a folder, from Spark's
+    own listing; no content is read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.load(folder).select("path", "modificationTime")
+
+
 def load_result_dir(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
     """All Parquet files under ``folder`` (sub-folders included); an error
     when there are none."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    if schema is not None:
-        reader = reader.schema(schema)
-    try:
-        df = reader.parquet(folder)
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"no parquet in {folder}") from exc
-    try:
-        empty = df.rdd.getNumPartitions() == 0  # no file splits at all
-    except Exception:  # no RDD view (Spark Connect): list the files instead
-        empty = not df.inputFiles()
-    if empty:
+    if parquet_files(spark, folder, recursive=True).isEmpty():
         raise FileNotFoundError(f"no parquet in {folder}")
-    return df
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(folder)
+    return df if schema is None else conform(df, schema, folder)
 
 
 def audit_frame(spark: SparkSession, rows: Iterable[tuple[str, int]]) -> DataFrame:
