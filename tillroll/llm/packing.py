@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import settled
 
-#: Latin letters whose lower case is one letter: a chunk of them is one pre-token.
-LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-MARKS = "!#$%&()*+,-./:;=?@[]^_{|}~"
-MEMO = 300_000
+#: Texts that the tokenizer's rules split into letters, single digits and runs of
+#: other marks: Latin letters with one lower case, no apostrophe.
+PLAIN = re.compile("[ -&(-~\nÀ-ÖØ-öø-ÿ]*")
+PRE_TOKEN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@[-`{-~]+")
+SPECIAL = "<|"
+#: Distinct strings remembered by a task before it starts afresh.
+MEMO = 700_000
 #: Pieces that one task packs at a time.
 GROUP = 12_000
 #: Bins with a larger gap than this are packed again.
@@ -39,8 +42,8 @@ LOOSE = 16
 def encoder(path: str):
     """A function that gives the token ids of a text as little-endian 32-bit bytes.
 
-    Spaces and line feeds never lie inside a token, so a text is encoded chunk
-    by chunk and each distinct chunk once.
+    Plain texts are split into pre-tokens, others at spaces and line feeds, which
+    lie in no token; each distinct part is encoded once, alone.
     """
     from tokenizers import Tokenizer
 
@@ -48,48 +51,38 @@ def encoder(path: str):
     closing = {i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")}
     ends = np.zeros(max(closing | {0}) + 1, dtype=bool)
     ends[list(closing)] = True
-    memo: dict[str, bytes] = {"": b""}
-    parts: dict[str, bytes] = {}
-
-    def ids_of(batch: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-
-    def learn_words(new: list[str]) -> None:
-        # Each is one pre-token and so ends with the only closing token in it.
-        for i in range(0, len(new), 400):
-            some = new[i : i + 400]
-            ids = np.array(tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ends[ids]) + 1
-            if len(cuts) != len(some) or cuts[-1] != len(ids):
-                parts.update(zip(some, ids_of(some)))
-                continue
-            raw, bounds = ids.tobytes(), [0, *(cuts * 4).tolist()]
-            parts.update((w, raw[a:b]) for w, a, b in zip(some, bounds, bounds[1:]))
-
-    def learn(chunks: list[str]) -> None:
-        split = {}
-        odd = []
-        for c in chunks:
-            word = c.rstrip(MARKS)
-            if LETTERS.fullmatch(word):
-                split[c] = (word, c[len(word) :])
-            else:
-                odd.append(c)
-        learn_words([w for w in {w for w, _ in split.values()} if w not in parts])
-        tails = [t for t in {t for _, t in split.values()} if t and t not in parts]
-        parts.update(zip(tails, ids_of(tails)))
-        memo.update((c, parts[w] + (parts[t] if t else b"")) for c, (w, t) in split.items())
-        memo.update(zip(odd, ids_of(odd)))
+    memo: dict[str, bytes] = {}
+
+    def alone(some: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+
+    def together(some: list[str]) -> list[bytes]:
+        # Each part is one pre-token and so ends with the only closing token in it.
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = np.flatnonzero(ends[np.minimum(ids, len(ends) - 1)]) + 1
+        if len(cuts) != len(some) or cuts[-1] != len(ids):
+            return alone(some)
+        raw, bounds = ids.tobytes(), (cuts * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
     def encode(texts: list[str | None]) -> list[bytes]:
         if len(memo) > MEMO:
             memo.clear()
-            memo[""] = b""
-        if len(parts) > MEMO:
-            parts.clear()
-        chunks = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        learn([c for c in set().union(*chunks) if c not in memo])
-        return [b"".join(map(memo.__getitem__, c)) for c in chunks]
+        parts, plain, other = [], [], []
+        for text in texts:
+            if text and PLAIN.fullmatch(text) and SPECIAL not in text:
+                parts.append(PRE_TOKEN.findall(text.lower()))
+                plain.append(parts[-1])
+            else:
+                parts.append([c for c in (text or "").replace("\n", " ").split(" ") if c])
+                other.append(parts[-1])
+        new = [p for p in set().union(*plain) if p not in memo]
+        for i in range(0, len(new), 200):
+            some = new[i : i + 200]
+            memo.update(zip(some, together(some)))
+        new = [p for p in set().union(*other) if p not in memo]
+        memo.update(zip(new, alone(new)))
+        return [b"".join(map(memo.__getitem__, p)) for p in parts]
 
     return encode
 
