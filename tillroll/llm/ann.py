@@ -5,7 +5,8 @@ into balanced parts with few neighbours torn apart; a softmax classifier learns
 the part of a vector from the vector. Every row is indexed under its most
 probable part; a query goes to its several most probable parts (as many as
 recover ``target`` of the sample's true neighbours) and all rows there are
-ranked by exact inner product in double precision.
+ranked by exact inner product in double precision. A row leaves its task only
+if it can be among the best: as many rows of the sample score no less.
 
 Equal vectors are one class: it is ranked once and stands for its smallest ids,
 as many as a result can hold, so a vector with very many copies costs no more
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm.common import settled
 
@@ -93,8 +95,9 @@ def balanced_parts(graph: np.ndarray, x: np.ndarray, parts: int, slack: float =
 class Router:
     """Softmax classifier over parts; vectors are lifted so that inner products become angles."""
 
-    def __init__(self, longest: float, weights: np.ndarray, probes: int):
-        self.longest, self.weights, self.probes = longest, weights, probes
+    def __init__(self, longest: float, weights: np.ndarray, probes: int, sample: np.ndarray, k: int):
+        self.longest, self.weights, self.probes, self.sample, self.k = longest, weights, probes, sample, k
+        self.part = self.order(sample, query=False)[:, 0]
 
     def lifted(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         return lifted(x, self.longest, query)
@@ -104,6 +107,17 @@ class Router:
         return np.argsort(-(self.lifted(x, query) @ self.weights), axis=1, kind="stable")
 
 
+    def least(self, x: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """A score that each query's k-th best row in its parts reaches, as k rows of the sample in them do."""
+        if len(self.sample) < self.k:
+            return np.full(len(x), -np.inf)
+        asked = np.zeros((len(x), self.weights.shape[1]), bool)
+        np.put_along_axis(asked, parts, True, axis=1)
+        scores = np.where(asked[:, self.part], x @ self.sample.T, -np.inf)
+        least = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1]
+        return least - 1e-9 * np.abs(least)  # for rounding in another order
+
+
 def lifted(x: np.ndarray, longest: float, query: bool) -> np.ndarray:
     """Unit vectors: rows get a coordinate that fills them up to the longest one, queries a zero; then a constant."""
     norm = np.linalg.norm(x, axis=1)
@@ -134,11 +148,11 @@ def fit_router(sample: np.ndarray, parts: int, k: int, target: float) -> Router:
     y = lifted(sample, longest, False)
     parts = max(1, min(parts, len(sample) // (4 * k) or 1))
     if parts == 1:
-        return Router(longest, np.zeros((y.shape[1], 1)), 1)
+        return Router(longest, np.zeros((y.shape[1], 1)), 1, sample, k + 1)
     graph = neighbour_graph(y[:, :-1], min(k // 2, len(sample) - 1))
     part = balanced_parts(graph, y[:, :-1], parts)
-    router = Router(longest, softmax_fit(y, part, parts), parts)
-    own = router.order(sample, query=False)[:, 0]
+    router = Router(longest, softmax_fit(y, part, parts), parts, sample, k + 1)
+    own = router.part
     asked = sample[:1000]
     scores = asked @ sample.T
     scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
@@ -177,15 +191,18 @@ def comparer(k: int):
         if not len(classes) or not len(queries):
             return schema.empty_table()
         x, ids = matrix(classes["v"]), classes["ids"].to_pylist()
-        q, names = matrix(queries["v"]), queries["query"].to_numpy()
+        q, names, least = matrix(queries["v"]), queries["query"].to_numpy(), queries["least"].to_numpy()
         out_q, out_c = [], []
         take = min(k, len(x))
         for a in range(0, len(q), 256):
             scores = q[a : a + 256] @ x.T
             best = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-            out_q.append(np.repeat(np.arange(a, a + len(best)), take))
-            out_c.append(best.ravel())
+            row, at = np.nonzero(np.take_along_axis(scores, best, axis=1) >= least[a : a + 256, None])
+            out_q.append(row + a)
+            out_c.append(best[row, at])
         at_q, at_c = np.concatenate(out_q), np.concatenate(out_c)
+        if not len(at_q):
+            return schema.empty_table()
         # Each pair alone, so that its score does not depend on the block.
         score = np.concatenate([(q[at_q[i : i + 50_000]] * x[at_c[i : i + 50_000]]).sum(axis=1) for i in range(0, len(at_q), 50_000)])
         order = np.lexsort((-score, at_q))
@@ -205,19 +222,22 @@ def comparer(k: int):
 
 
 def routed(rows: DataFrame, router: Router, probes: int, query: bool) -> DataFrame:
-    """``rows`` once for each of its ``probes`` most probable parts, as ``part``."""
-    schema = rows.schema.simpleString()[len("struct<") : -1]
+    """``rows`` once for each of its ``probes`` most probable parts, as ``part``;
+    queries with ``least``, the score below which a row is none of the best."""
+    extra = [T.StructField("part", T.IntegerType())] + [T.StructField("least", T.DoubleType())] * query
 
     def route(batches):
         for batch in batches:
             x = np.array(batch.column(batch.schema.get_field_index("v")).to_pylist(), float)
-            for a in range(0, len(x), 2000):
-                some = batch.slice(a, 2000)
-                parts = router.order(x[a : a + 2000], query)[:, :probes]
+            for a in range(0, len(x), 256):
+                parts = router.order(x[a : a + 256], query)[:, :probes]
                 at = np.repeat(np.arange(len(parts)), parts.shape[1])
-                yield some.take(pa.array(at)).append_column("part", pa.array(parts.ravel().astype(np.int32)))
+                some = batch.slice(a, 256).take(pa.array(at)).append_column("part", pa.array(parts.ravel().astype(np.int32)))
+                if query:
+                    some = some.append_column("least", pa.array(router.least(x[a : a + 256], parts)[at]))
+                yield some
 
-    return rows.mapInArrow(route, f"{schema.replace(':', ' ')}, part int")
+    return rows.mapInArrow(route, T.StructType(rows.schema.fields + extra))
 
 
 def nearest(rows: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", target: float = 0.98) -> DataFrame:
@@ -256,7 +276,7 @@ def nearest(rows: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", vect
     key = ["part", "block", "group"]
     pairs = (
         index.select(*key, "ids", "v").groupBy(*key)
-        .cogroup(queries.select(*key, "query", "v").groupBy(*key))
+        .cogroup(queries.select(*key, "query", "v", "least").groupBy(*key))
         .applyInArrow(comparer(k + 1), "query long, id long, score double")
     )
     best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
