@@ -306,7 +306,7 @@ def near_duplicates(
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class; rows equal in key and text count as one document, unless they have no words."""
     found = near_duplicates(docs, key, text, **options)
-    keep = found.filter("keeper").groupBy("row").agg(F.count("*").alias("_times"), F.max(F.col("n_links") > 0).alias("_linked"))
-    rows = docs.withColumn("_row", row_key(key, text)).join(keep.withColumnRenamed("row", "_row"), "_row")
-    again = (F.col("_times") > 1) & F.col("_linked")
-    return rows.filter(~again).unionByName(rows.filter(again).dropDuplicates(["_row"])).select(*docs.columns)
+    keep = found.filter("keeper").groupBy("row").agg(F.count("*").alias("times"), F.max(F.col("n_links") > 0).alias("linked"))
+    rows = docs.select(row_key(key, text).alias("row"), F.struct(*docs.columns).alias("doc")).join(keep, "row")
+    again = (F.col("times") > 1) & F.col("linked")
+    return rows.filter(~again).unionByName(rows.filter(again).dropDuplicates(["row"])).select("doc.*")
