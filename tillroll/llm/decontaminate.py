@@ -32,7 +32,7 @@ WINDOW = 13
 #: Columns that ``find`` adds.
 FOUND = ("n_words", "n_hit", "items", "word_spans", "spans")
 #: Words of phrases that go to the tasks at once.
-SLICE_WORDS = 2_000_000
+SLICE_WORDS = 500_000
 #: Every so many text positions a suffix position is kept for locating.
 SAMPLE = 16
 #: A shard's index is built when its stream has so many words, or its documents so many characters.
