@@ -68,12 +68,22 @@ STAGES = [
 ]
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over the documents of ``sf_dir``."""
+    """The stages one after another over the documents of ``sf_dir``; a stage's
+    input goes when its output is written, so one copy of the corpus stays at a time."""
     docs = table(spark, sf_dir, "documents")
     folder = shared_dir(spark, f"corpus-{uuid.uuid4().hex}")
+    before = None
     for i, (_, stage) in enumerate(STAGES):
         out = os.path.join(folder, str(i))
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if before:
+            _remove(spark, before)
+        before = out
     return docs
