@@ -69,9 +69,9 @@ def joined(spark, rows, **options):
     return nj.near_duplicates(df, **options).collect()
 
 
-@pytest.mark.parametrize("block", [nj.BLOCK_CLASSES, 7])
-def test_against_all_pairs(spark, monkeypatch, block):
-    monkeypatch.setattr(nj, "BLOCK_CLASSES", block)
+@pytest.mark.parametrize("few", [nj.FEW_CLASSES, 2])
+def test_against_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(nj, "FEW_CLASSES", few)
     rows = near_copies()
     links, names, _ = brute(rows)
     got = {r.doc_id: r for r in joined(spark, rows)}

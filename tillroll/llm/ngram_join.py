@@ -37,8 +37,9 @@ from tillroll.llm.common import settled, words
 WORDS = 5
 SIMILARITY = 0.8
 TREES, DEPTH, RECALL = 24, 8, 0.9999
-#: Classes and shingles of a block.
-BLOCK_CLASSES, BLOCK_SHINGLES = 1500, 1_500_000
+#: Classes of a block: few while that makes at most ``BLOCKS`` of them, then more, so
+#: that rows are not copied to ever more meetings. Shingles of a block at most.
+FEW_CLASSES, BLOCK_CLASSES, BLOCKS, BLOCK_SHINGLES = 300, 1500, 64, 1_500_000
 MEMO = 300_000
 
 
@@ -220,7 +221,8 @@ def links(classes: DataFrame, texts: DataFrame, similarity: float, n: int) -> Da
     # Sizes of sets that can reach the threshold lie in the same or the next step.
     members = members.withColumn("step", F.floor(F.log(F.col("size").cast("double") + 1e-6) / math.log(1 / similarity)).cast("int"))
     held = members.groupBy("component", "step").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
-    blocks = F.ceil(F.greatest(F.col("c") / BLOCK_CLASSES, F.col("s") / BLOCK_SHINGLES)).cast("int")
+    by_classes = F.least(F.col("c") / FEW_CLASSES, F.greatest(F.lit(BLOCKS), F.col("c") / BLOCK_CLASSES))
+    blocks = F.ceil(F.greatest(by_classes, F.col("s") / BLOCK_SHINGLES)).cast("int")
     held = held.withColumn("blocks", blocks)
     next_step = Window.partitionBy("component").orderBy("step")  # steps of a component: a few dozen at most
     held = held.withColumn("above", F.when(F.lead("step").over(next_step) == F.col("step") + 1, F.lead("blocks").over(next_step)).otherwise(0))
