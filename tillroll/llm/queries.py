@@ -136,5 +136,34 @@ FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
 """
 
 
+#: Exact neighbours. The operator's are exact too while one part holds the table, as
+#: at the size at which the SQL is compared.
+_OP6 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND list_count(embedding) = len(embedding) AND isfinite(list_sum(CAST(embedding AS DOUBLE[])))
+    AND (list_min(embedding) < 0 OR list_max(embedding) > 0)),
+p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+_OP8 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') AS g
+      FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y, k = nx.c AND k = ny.c AS equal FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+         WHERE 5 * k >= 4 * (nx.c + ny.c - k)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+class AS (SELECT x, min(y) AS class_id FROM reach GROUP BY 1),
+own AS (SELECT x, count(*) AS n_links, min(y) FILTER (WHERE equal) AS copy FROM link GROUP BY 1)
+SELECT d.doc_id, class.class_id, least(d.doc_id, coalesce(own.copy, d.doc_id)) AS copies_id, CAST(coalesce(own.n_links, 0) AS BIGINT) AS n_links
+FROM d JOIN class ON class.x = d.doc_id LEFT JOIN own ON own.x = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2}
+    return {"op2_decontaminate": _OP2, "op6_neighbours": _OP6, "op8_ngram_join": _OP8}
