@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
 from tillroll.operators import aggregates as agg
