@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from tillroll.session import shared_dir
 
 #: ASCII-lower-cased UTF-8 bytes that form a word: digits, a-z and every
