@@ -37,7 +37,7 @@ SWITCH = 12.0
 USES = 0.02
 UND = "und"
 #: Characters scored at a time, and scores held for one Viterbi run.
-CHARS, SCORES = 1_500_000, 16_000_000
+CHARS, SCORES = 1_000_000, 5_000_000
 
 # First code points of the ranges of scripts, in order.
 SCRIPT_RANGES = [
@@ -193,7 +193,8 @@ def labeller(model: LanguageModel, switch: float):
         reads, held = [], 0
         for a, b in text_slices(texts, CHARS):
             begin, end, owner, at, bucket, script = letters.read(texts[a:b])
-            reads.append((owner + a, at, end - begin, word_scores(model, bucket, end - begin, script)))
+            small = ((owner + a).astype(np.int32), at.astype(np.int32), (end - begin).astype(np.int32))
+            reads.append((*small, word_scores(model, bucket, end - begin, script)))
             held += reads[-1][3].size
             if held >= SCORES or b == len(texts):
                 yield from decide(reads, texts)
