@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from tillroll.session import shared_dir
 
 #: ASCII-lower-cased UTF-8 bytes that form a word: digits, a-z and every
@@ -32,6 +33,17 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def splittable_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join whose hot keys adaptive execution can split.
+
+    It splits a join only where both sides come through a shuffle that the
+    planner added; an aggregate's result would be joined as it lies. The hash
+    of the keys in the condition adds no selectivity, but brings about both.
+    """
+    h = F.xxhash64(*keys).alias("_h")
+    return left.select("*", h).join(right.select("*", h), [*keys, "_h"]).drop("_h")
+
+
 def text_slices(texts: list[str | None], most_chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of a batch that hold about ``most_chars`` characters, one text at least."""
     begin = held = 0

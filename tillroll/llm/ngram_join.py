@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import settled, words
+from tillroll.llm.common import settled, splittable_join, words
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -136,7 +136,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     def star(e: DataFrame, small: bool) -> DataFrame:
         both = e if small else e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        tied = both.join(low, "a")
+        tied = splittable_join(both, low, ["a"])  # a node may have very many neighbours
         out = tied.filter(F.col("b") > F.col("a")) if not small else tied
         out = out.select(F.col("b").alias("a"), F.col("m").alias("b"))
         return (out.unionByName(low.select("a", F.col("m").alias("b"))) if small else out).filter(F.col("a") != F.col("b")).distinct()
@@ -214,7 +214,7 @@ def links(classes: DataFrame, texts: DataFrame, similarity: float, n: int) -> Da
     each = classes.select("class", F.explode("prefixes").alias("bucket"))
     # The trie's number is part of the hashed prefix, so equal prefixes are equal buckets.
     shared = each.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter(F.col("low") != F.col("high"))
-    stars = each.join(shared, "bucket").filter(F.col("class") != F.col("low")).select(F.col("class").alias("a"), F.col("low").alias("b"))
+    stars = splittable_join(each, shared, ["bucket"]).filter(F.col("class") != F.col("low")).select(F.col("class").alias("a"), F.col("low").alias("b"))
     whole = components(stars).withColumnRenamed("node", "class").withColumnRenamed("root", "component")
     members = settled(classes.select("class", "copies", "row", "size").join(whole, "class"))
 
@@ -242,7 +242,7 @@ def links(classes: DataFrame, texts: DataFrame, similarity: float, n: int) -> Da
         F.transform(upto("below"), lambda j: meeting(step - 1, j, step, b, 1, True)),
     )
     placed = (
-        members.join(held.select("component", "step", "blocks", "above", "below"), ["component", "step"])
+        splittable_join(members, held.select("component", "step", "blocks", "above", "below"), ["component", "step"])
         .withColumn("block", block).withColumn("meeting", F.explode(meetings))
         .select("class", "copies", "component", F.col("meeting.*"))
     )
@@ -289,7 +289,7 @@ def near_duplicates(
     grouped = classes.select("class", "copies", "first").join(chains, "class", "left").join(count, "class", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "class"))
     best = grouped.groupBy("root").agg(F.min("first").alias("best"))
-    grouped = grouped.join(best, "root").select(
+    grouped = splittable_join(grouped, best, ["root"]).select(
         "class", F.col("first.key").alias("copies_id"), F.col("best.key").alias("class_id"), F.col("best.row").alias("kept_row"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
@@ -309,6 +309,6 @@ def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """``docs`` with one document of each class; rows equal in key and text count as one document, unless they have no words."""
     found = near_duplicates(docs, key, text, **options)
     keep = found.filter("keeper").groupBy("row").agg(F.count("*").alias("times"), F.max(F.col("n_links") > 0).alias("linked"))
-    rows = docs.select(row_key(key, text).alias("row"), F.struct(*docs.columns).alias("doc")).join(keep, "row")
+    rows = splittable_join(docs.select(row_key(key, text).alias("row"), F.struct(*docs.columns).alias("doc")), keep, ["row"])
     again = (F.col("times") > 1) & F.col("linked")
     return rows.filter(~again).unionByName(rows.filter(again).dropDuplicates(["row"])).select("doc.*")
