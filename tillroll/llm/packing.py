@@ -16,20 +16,20 @@ names of the output are replaced.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import settled
 
 #: Texts that the tokenizer's rules split into letters, single digits and runs of
-#: other marks: Latin letters with one lower case, no apostrophe.
-PLAIN = re.compile("[ -&(-~\nÀ-ÖØ-öø-ÿ]*")
-PRE_TOKEN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@[-`{-~]+")
+#: other marks: Latin letters with one lower case, no apostrophe, no special token.
+PLAIN = "^[ -&(-~\nÀ-ÖØ-öø-ÿ]*$"
+MARKS = "[0-9]|[!-&(-/:-@\\[-`{-~]+"
 SPECIAL = "<|"
 #: Distinct strings remembered by a task before it starts afresh.
 MEMO = 700_000
@@ -51,7 +51,7 @@ def encoder(path: str):
     closing = {i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")}
     ends = np.zeros(max(closing | {0}) + 1, dtype=bool)
     ends[list(closing)] = True
-    memo: dict[str, bytes] = {}
+    memo: dict[str, bytes] = {"": b""}
 
     def alone(some: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
@@ -65,24 +65,48 @@ def encoder(path: str):
         raw, bounds = ids.tobytes(), (cuts * 4).tolist()
         return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
-    def encode(texts: list[str | None]) -> list[bytes]:
-        if len(memo) > MEMO:
-            memo.clear()
-        parts, plain, other = [], [], []
-        for text in texts:
-            if text and PLAIN.fullmatch(text) and SPECIAL not in text:
-                parts.append(PRE_TOKEN.findall(text.lower()))
-                plain.append(parts[-1])
-            else:
-                parts.append([c for c in (text or "").replace("\n", " ").split(" ") if c])
-                other.append(parts[-1])
-        new = [p for p in set().union(*plain) if p not in memo]
+    def learn(parts: list[str], one_pre_token: bool) -> None:
+        new = [p for p in parts if p not in memo]
+        if not one_pre_token:
+            memo.update(zip(new, alone(new)))
+            return
         for i in range(0, len(new), 200):
             some = new[i : i + 200]
             memo.update(zip(some, together(some)))
-        new = [p for p in set().union(*other) if p not in memo]
-        memo.update(zip(new, alone(new)))
-        return [b"".join(map(memo.__getitem__, p)) for p in parts]
+
+    def plain_ids(texts: pa.StringArray) -> list[bytes]:
+        # Marks get spaces around them, so that what stands between spaces is a pre-token.
+        spaced = pc.replace_substring_regex(pc.utf8_lower(texts), pattern=f"({MARKS})", replacement=" \\1 ")
+        words = pc.ascii_split_whitespace(spaced)
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        learn(distinct, True)
+        ids_of = [memo[w] for w in distinct]
+        size = np.array([len(x) // 4 for x in ids_of], np.int64)
+        flat, begin = np.frombuffer(b"".join(ids_of), "<u4"), np.cumsum(size) - size
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = size[code]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.arange(ends[-1]) + np.repeat(begin[code] - ends[:-1], sizes)]
+        bounds = ends[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def encode(texts: pa.StringArray) -> list[bytes]:
+        if len(memo) > MEMO:
+            memo.clear()
+            memo[""] = b""
+        special = pc.match_substring(texts, SPECIAL)
+        plain = pc.fill_null(pc.and_not(pc.match_substring_regex(texts, PLAIN), special), False).to_numpy(zero_copy_only=False)
+        out = [b""] * len(texts)
+        at = np.flatnonzero(plain)
+        if len(at):
+            for i, ids in zip(at.tolist(), plain_ids(texts.take(pa.array(at)))):
+                out[i] = ids
+        for i in np.flatnonzero(~plain).tolist():
+            chunks = (texts[i].as_py() or "").replace("\n", " ").split(" ")
+            learn(list(set(chunks)), False)
+            out[i] = b"".join(map(memo.__getitem__, chunks))
+        return out
 
     return encode
 
@@ -99,10 +123,10 @@ def piece_tokens(
         encode = encoder(tokenizer_path)
         last = np.array([closing_id], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2000):
+                some = batch.slice(at, 2000)
                 rows, piece, start, length, ids = [], [], [], [], []
-                for row, got in enumerate(encode(some.column(1).to_pylist())):
+                for row, got in enumerate(encode(some.column(1))):
                     got += last
                     for k, begin in enumerate(range(0, len(got), step)):
                         rows.append(row)
