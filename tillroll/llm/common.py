@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tillroll.session import shared_dir
@@ -44,6 +45,12 @@ def splittable_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.select("*", h).join(right.select("*", h), [*keys, "_h"]).drop("_h")
 
 
+def release_memory() -> None:
+    """Give what a task has freed back to the system: its worker lives on beside the next ones."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def text_slices(texts: list[str | None], most_chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of a batch that hold about ``most_chars`` characters, one text at least."""
     begin = held = 0

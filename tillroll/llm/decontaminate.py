@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import WORD, suffix_array, words
+from tillroll.llm.common import WORD, release_memory, suffix_array, words
 
 WINDOW = 13
 #: Columns that ``find`` adds.
@@ -219,6 +219,7 @@ def search_task(phrases: Phrases):
                     yield flush()
         if counts:
             yield flush()
+        release_memory()
 
     return run
 

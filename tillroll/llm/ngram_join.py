@@ -32,14 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import settled, splittable_join, words
+from tillroll.llm.common import release_memory, settled, splittable_join, words
 
 WORDS = 5
 SIMILARITY = 0.8
 TREES, DEPTH, RECALL = 24, 8, 0.9999
 #: Classes of a block: few while that makes at most ``BLOCKS`` of them, then more, so
 #: that rows are not copied to ever more meetings. Shingles of a block at most.
-FEW_CLASSES, BLOCK_CLASSES, BLOCKS, BLOCK_SHINGLES = 300, 1500, 64, 1_500_000
+FEW_CLASSES, BLOCK_CLASSES, BLOCKS, BLOCK_SHINGLES = 100, 1500, 64, 1_500_000
 MEMO = 300_000
 
 
@@ -109,6 +109,8 @@ def signed(n: int, trees: int, depth: int, prefix: int):
                     [some.column(0), some.column(1), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
                     names=["key", "row", "class", "size", "prefixes"],
                 )
+        del shingles
+        release_memory()
 
     return run
 
@@ -122,6 +124,8 @@ def shingled(n: int):
             for at in range(0, batch.num_rows, 500):
                 raw = [shingles(t).tobytes() for t in batch.column(0).slice(at, 500).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(r) for r in raw], pa.binary()), pa.array(raw, pa.binary())], names=["class", "shingles"])
+        del shingles
+        release_memory()
 
     return run
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import settled
+from tillroll.llm.common import release_memory, settled
 
 #: Texts that the tokenizer's rules split into letters, single digits and runs of
 #: other marks: Latin letters with one lower case, no apostrophe, no special token.
@@ -82,12 +82,12 @@ def encoder(path: str):
         distinct = coded.dictionary.to_pylist()
         learn(distinct, True)
         ids_of = [memo[w] for w in distinct]
-        size = np.array([len(x) // 4 for x in ids_of], np.int64)
-        flat, begin = np.frombuffer(b"".join(ids_of), "<u4"), np.cumsum(size) - size
+        size = np.array([len(x) // 4 for x in ids_of], np.int32)
+        flat, begin = np.frombuffer(b"".join(ids_of), "<u4"), np.cumsum(size, dtype=np.int32) - size
         code = coded.indices.to_numpy(zero_copy_only=False)
         sizes = size[code]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = flat[np.arange(ends[-1]) + np.repeat(begin[code] - ends[:-1], sizes)]
+        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32)])
+        ids = flat[np.arange(ends[-1], dtype=np.int32) + np.repeat(begin[code] - ends[:-1], sizes)]
         bounds = ends[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
         return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
@@ -123,8 +123,8 @@ def piece_tokens(
         encode = encoder(tokenizer_path)
         last = np.array([closing_id], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                some = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 800):
+                some = batch.slice(at, 800)
                 rows, piece, start, length, ids = [], [], [], [], []
                 for row, got in enumerate(encode(some.column(1))):
                     got += last
@@ -139,6 +139,9 @@ def piece_tokens(
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "piece", "start", "length", "ids"],
                 )
+            release_memory()
+        del encode
+        release_memory()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         cut, f"doc_id {kind}, piece int, start long, length long, ids binary"

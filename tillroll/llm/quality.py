@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import words
+from tillroll.llm.common import release_memory, words
 
 BUCKETS = 1 << 18
 PER_GRADE = 2000
@@ -197,6 +197,9 @@ def tail_probabilities(text: Column, model: OrdinalModel) -> Column:
         for texts in batches:
             score = np.array([float(model.weights[features(t)].sum(dtype=np.float64)) for t in texts])
             yield pd.Series(list(model.tails(score)))
+            release_memory()
+        del features
+        release_memory()
 
     return tails(text)
 
