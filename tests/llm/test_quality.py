@@ -80,3 +80,27 @@ def test_gradient_against_differences():
             w = model.weights.astype(float)
             w[j] += step * (w[j] != 0)
             assert loss(w, model.thresholds) >= base - 0.003
+
+
+def test_rare_buckets_get_weights():
+    """A word of four toxic documents only counts, whatever its chi-square at these numbers of labels."""
+    rng = np.random.default_rng(4)
+    grades = np.repeat([0, 1, 2], [51, 49, 299])
+    fresh = lambda y, i: np.array(sorted({*rng.integers(100, 160, 20).tolist(), *([10 + i % 12] if y == 0 else [50] if y == 1 else [])}), np.int32)
+    rows = [fresh(y, i) for i, y in enumerate(grades)]
+    model = quality.fit_ordinal(rows, grades, 3)
+    assert (model.weights[np.unique(np.concatenate(rows))] != 0).all()
+    assert (model.weights[10:22] < 2 * model.weights[100:160].min()).all()
+    unseen = [fresh(y, i) for i, y in enumerate(grades)]
+    kept = model.tails(np.array([model.weights[r].sum() for r in unseen]))[:, 1] >= 0.5
+    assert (kept == (grades == 2)).mean() >= 0.98
+
+
+def test_gradient_of_the_penalised_loss():
+    rng = np.random.default_rng(5)
+    rows = [np.array(sorted(set(rng.integers(0, 9, 4).tolist())), np.int32) for _ in range(60)]
+    some = quality.Fit(rows, rng.integers(0, 3, 60), 3)
+    x = rng.normal(size=len(some.at))
+    slope = some.loss(x, 0.1)[1]
+    for j, step in enumerate(np.eye(len(x)) * 1e-5):
+        assert abs((some.loss(x + step, 0.1)[0] - some.loss(x - step, 0.1)[0]) / 2e-5 - slope[j]) < 1e-6

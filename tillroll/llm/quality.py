@@ -8,8 +8,11 @@ come the expected grade and the tail probability P(grade >= keep_from) by
 which documents are selected.
 
 The model is fitted on the driver from a bounded sample: ``per_grade`` rated
-documents of each grade, those whose keys hash lowest. Scoring covers every
-document, text as a whole, with the model broadcast (``BUCKETS`` weights).
+documents of each grade, those whose keys hash lowest. Every bucket of the sample gets a
+weight, however rare it is: the penalty on a weight falls with the chi-square
+of its bucket against the grade, and its strength is chosen by cross-validation
+on the sample. Scoring covers every document, text as a whole, with the model
+broadcast (``BUCKETS`` weights).
 
 Defined cases: null and empty texts have the feature "empty" only; ratings
 without a grade are left out, and of several ratings of a document the lowest
@@ -35,6 +38,8 @@ from tillroll.llm.common import release_memory, words
 
 BUCKETS = 1 << 18
 PER_GRADE = 2000
+#: Penalties that cross-validation chooses from, and its folds.
+DECAYS, FOLDS = (0.1, 0.03, 0.01, 0.003, 0.001), 3
 MEMO = 200_000
 
 
@@ -108,50 +113,108 @@ class OrdinalModel:
         return 1 - logistic(self.thresholds[None, :] - np.asarray(score)[:, None])
 
 
-def telling(rows: list[np.ndarray], grades: np.ndarray, levels: int, least: float = 30.0) -> np.ndarray:
-    """Whether a bucket's presence depends on the grade (chi-square); the others get no weight."""
+def prior_scale(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> np.ndarray:
+    """How far a bucket's weight may go, from 0 to 5: the more its presence depends on the grade (chi-square), the further.
+
+    It scales the prior of the weight and cuts nothing: every bucket that a row holds gets a weight.
+    """
     total = np.bincount(grades, minlength=levels).astype(float)
     held = np.stack([np.bincount(np.concatenate([np.empty(0, np.int32), *(r for r, y in zip(rows, grades) if y == k)]), minlength=BUCKETS) for k in range(levels)])
     share_in = held.sum(axis=0) / total.sum()
     expected = share_in[None, :] * total[:, None]
     spread = np.maximum(expected * (1 - share_in[None, :]), 1e-9)
-    return ((held - expected) ** 2 / spread).sum(axis=0) >= least
-
-
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, levels: int, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4) -> OrdinalModel:
-    """Maximum likelihood by Adagrad over small batches of sparse rows."""
-    use = telling(rows, grades, levels)
-    rows = [r[use[r]] for r in rows]
-    weights, seen = np.zeros(BUCKETS), np.full(BUCKETS, 1e-6)
-    theta = np.linspace(-1, 1, levels - 1) if levels > 2 else np.zeros(levels - 1)
-    theta_seen = np.full(levels - 1, 1e-6)
-    rng = np.random.default_rng(7)
-    for _ in range(epochs):
-        order = rng.permutation(len(rows))
-        for at in range(0, len(order), 32):
-            some = order[at : at + 32]
-            size = np.array([len(rows[i]) for i in some])
-            idx = np.concatenate([rows[i] for i in some])
-            of = np.repeat(np.arange(len(some)), size)
-            score = np.bincount(of, weights[idx], len(some))
-            y = grades[some]
-            bounds = np.concatenate([[-np.inf], theta, [np.inf]])
-            above, below = logistic(bounds[y + 1] - score), logistic(bounds[y] - score)
-            above[y == levels - 1], below[y == 0] = 1.0, 0.0
-            p = np.maximum(above - below, 1e-9)
-            slope = 1 - above - below  # of the loss, along the score
-            g = np.bincount(idx, slope[of], BUCKETS) / len(some)
-            touched = np.unique(idx)
-            g = g[touched] + decay * weights[touched]
-            seen[touched] += g * g
-            weights[touched] -= rate * g / np.sqrt(seen[touched])
-            t = np.zeros(levels - 1)
-            np.add.at(t, np.minimum(y, levels - 2), np.where(y < levels - 1, -above * (1 - above) / p, 0))
-            np.add.at(t, np.maximum(y - 1, 0), np.where(y > 0, below * (1 - below) / p, 0))
-            t /= len(some)
-            theta_seen += t * t
-            theta = np.maximum.accumulate(theta - rate * t / np.sqrt(theta_seen))
-    return OrdinalModel(weights.astype(np.float32), theta)
+    chi = ((held - expected) ** 2 / spread).sum(axis=0)
+    return 5 * np.maximum(chi**2, 1) / (np.maximum(chi**2, 1) + 900)
+
+
+class Fit:
+    """Penalised likelihood of rows: weights are the scale of their bucket times a value with the penalty decay / 2 * value^2."""
+
+    def __init__(self, rows: list[np.ndarray], grades: np.ndarray, levels: int):
+        self.grades, self.levels = grades, levels
+        size = np.array([len(r) for r in rows])
+        self.buckets, self.idx = np.unique(np.concatenate(rows), return_inverse=True)
+        self.start, self.of = np.cumsum(size) - size, np.repeat(np.arange(len(rows)), size)
+        self.scale = prior_scale(rows, grades, levels)[self.buckets]
+        # Values of the buckets, the first threshold, and the logarithms of the steps between thresholds.
+        self.at = np.concatenate([np.zeros(len(self.buckets)), [-1.0], np.zeros(levels - 2)])
+
+    def thresholds(self, x: np.ndarray) -> np.ndarray:
+        n = len(self.buckets)
+        return x[n] + np.concatenate([[0], np.cumsum(np.exp(np.clip(x[n + 1 :], -40, 40)))])
+
+    def loss(self, x: np.ndarray, decay: float) -> tuple[float, np.ndarray]:
+        """The penalised loss and its gradient."""
+        n, y, levels = len(self.buckets), self.grades, self.levels
+        score = np.add.reduceat((x[:n] * self.scale)[self.idx], self.start)
+        bounds = np.concatenate([[-np.inf], self.thresholds(x), [np.inf]])
+        above, below = logistic(bounds[y + 1] - score), logistic(bounds[y] - score)
+        above[y == levels - 1], below[y == 0] = 1.0, 0.0
+        p = np.maximum(above - below, 1e-12)
+        slope = 1 - above - below  # of the loss, along the score
+        g = np.bincount(self.idx, slope[self.of], n) * self.scale / len(y) + decay * x[:n]
+        t = np.bincount(y, below * (1 - below) / p, levels)[1:] - np.bincount(y, above * (1 - above) / p, levels)[:-1]
+        t = np.cumsum(t[::-1])[::-1] / len(y)
+        t[1:] *= np.exp(np.clip(x[n + 1 :], -40, 40))
+        return float(-np.log(p).mean() + decay / 2 * x[:n] @ x[:n]), np.concatenate([g, t])
+
+    def run(self, decay: float, epochs: int) -> OrdinalModel:
+        """Minimum of the loss by L-BFGS, from where the last run ended."""
+        x, moves = self.at, []
+        f, g = self.loss(x, decay)
+        for _ in range(epochs):
+            d, along = -g, []
+            for s, c in reversed(moves):
+                along.append((s @ d) / (s @ c))
+                d = d - along[-1] * c
+            d = d * ((moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1]) if moves else 1 / max(1, np.linalg.norm(g)))
+            for (s, c), a in zip(moves, reversed(along)):
+                d = d + (a - (c @ d) / (s @ c)) * s
+            step, down = 1.0, g @ d
+            while (new := self.loss(x + step * d, decay))[0] > f + 1e-4 * step * down and step > 1e-6:
+                step /= 2
+            if new[0] >= f:
+                break
+            s, c = step * d, new[1] - g
+            if s @ c > 1e-12:
+                moves = [*moves[-9:], (s, c)]
+            done = f - new[0] < 1e-5 * max(1, abs(f))
+            x, f, g = x + s, *new
+            if done:
+                break
+        self.at = x
+        weights = np.zeros(BUCKETS, np.float32)
+        weights[self.buckets] = x[: len(self.buckets)] * self.scale
+        return OrdinalModel(weights, self.thresholds(x))
+
+
+def held_out_loss(model: OrdinalModel, rows: list[np.ndarray], grades: np.ndarray) -> float:
+    """Sum of the negative log-likelihood."""
+    tails = model.tails(np.array([float(model.weights[r].sum(dtype=np.float64)) for r in rows]))
+    tails = np.column_stack([np.ones(len(rows)), tails, np.zeros(len(rows))])
+    at = np.arange(len(rows))
+    return float(-np.log(np.maximum(tails[at, grades] - tails[at, grades + 1], 1e-9)).sum())
+
+
+def chosen_decay(rows: list[np.ndarray], grades: np.ndarray, levels: int, epochs: int) -> float:
+    """The decay with the least loss on rows left out in turn; each grade is dealt evenly to the folds."""
+    lost = np.zeros(len(DECAYS))
+    folds = min(FOLDS, len(rows))
+    of = np.empty(len(rows), np.int64)
+    of[np.lexsort((np.random.default_rng(7).permutation(len(rows)), grades))] = np.arange(len(rows)) % folds
+    for fold in range(folds):
+        use = of != fold
+        some = Fit([r for r, u in zip(rows, use) if u], grades[use], levels)
+        rest = [r for r, u in zip(rows, use) if not u]
+        lost += [held_out_loss(some.run(decay, epochs), rest, grades[~use]) for decay in DECAYS]
+    return DECAYS[int(lost.argmin())]
+
+
+def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, levels: int, epochs: int = 60, decay: float | None = None) -> OrdinalModel:
+    """Penalised maximum likelihood over all buckets of the rows; without ``decay`` it is chosen by cross-validation."""
+    if decay is None:
+        decay = chosen_decay(rows, grades, levels, epochs)
+    return Fit(rows, grades, levels).run(decay, epochs)
 
 
 def rated_sample(ratings: DataFrame, key: str, grade: str, per_grade: int) -> DataFrame:
