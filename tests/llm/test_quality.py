@@ -104,3 +104,13 @@ def test_gradient_of_the_penalised_loss():
     slope = some.loss(x, 0.1)[1]
     for j, step in enumerate(np.eye(len(x)) * 1e-5):
         assert abs((some.loss(x + step, 0.1)[0] - some.loss(x - step, 0.1)[0]) / 2e-5 - slope[j]) < 1e-6
+
+
+def test_a_repeated_key_counts_once(spark, monkeypatch):
+    docs, ratings = corpus(spark, 60)
+    many = docs.unionByName(docs.filter("doc_id = 4").crossJoin(spark.range(500)).select("doc_id", "text"))
+    many = many.unionByName(spark.range(300).select(F.lit(5).cast("long").alias("doc_id"), F.concat(F.lit("other text "), "id").alias("text")))
+    sizes, plain = [], quality.fit_ordinal
+    monkeypatch.setattr(quality, "fit_ordinal", lambda rows, grades, levels: (sizes.append(np.bincount(grades).tolist()), plain(rows, grades, levels))[1])
+    quality.fit(many, ratings, levels=3)
+    assert sizes == [[20, 20, 20]]

@@ -8,7 +8,8 @@ come the expected grade and the tail probability P(grade >= keep_from) by
 which documents are selected.
 
 The model is fitted on the driver from a bounded sample: ``per_grade`` rated
-documents of each grade, those whose keys hash lowest. Every bucket of the sample gets a
+documents of each grade, those whose keys hash lowest, each with one of its texts (the one
+with the smallest hash). Every bucket of the sample gets a
 weight, however rare it is: the penalty on a weight falls with the chi-square
 of its bucket against the grade, and its strength is chosen by cross-validation
 on the sample. Scoring covers every document, text as a whole, with the model
@@ -241,7 +242,9 @@ def fit(docs: DataFrame, ratings: DataFrame, levels: int, key: str = "doc_id", t
     rated = (
         docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
         .join(F.broadcast(sample), "_key")
-        .select("_grade", "_text").mapInArrow(featured, "grade int, features binary").collect()
+        # One document of each key, however many rows have it.
+        .groupBy("_key", "_grade").agg(F.min(F.struct(F.xxhash64("_text").alias("h"), "_text")).alias("first"))
+        .select("_grade", "first._text").mapInArrow(featured, "grade int, features binary").collect()
     )
     rated.sort(key=lambda r: (r["grade"], bytes(r["features"])))
     found = {r["grade"] for r in rated}
