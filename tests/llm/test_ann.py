@@ -87,3 +87,16 @@ def test_query_recall(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert set(got) == set(want)
     assert sum(len(got[i] & {j for j, _ in v}) for i, v in want.items()) >= 0.9 * 20 * len(want)
+
+
+def test_distinct_vectors_of_equal_inner_product(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    monkeypatch.setattr(ann, "SAMPLE", 50)
+    rng = np.random.default_rng(6)
+    binary = [[float(b) for b in np.binary_repr(i, 9)] for i in range(1, 512)]
+    rows = list(zip(rng.permutation(900).tolist(), binary + binary[::2]))  # copies interleave with other vectors of the same score
+    got, want = run(spark, rows, 20), brute(rows, lambda i: i % 5 == 0, 20)
+    assert got == want
+    small = [(i, [1.0 + i % 3, *rng.normal(size=3).tolist()]) for i in range(1, 400)] + [(0, [1.0, 0.0, 0.0, 0.0])]
+    got, want = run(spark, small, 20), brute(small, lambda i: i % 5 == 0, 20)
+    assert got[0] == want[0] and {i: [j for j, _ in v] for i, v in got.items()} == {i: [j for j, _ in v] for i, v in want.items()}

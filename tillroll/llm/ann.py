@@ -6,7 +6,8 @@ the part of a vector from the vector. Every row is indexed under its most
 probable part; a query goes to its several most probable parts (as many as
 recover ``target`` of the sample's true neighbours) and all rows there are
 ranked by exact inner product in double precision. A row leaves its task only
-if it can be among the best: as many rows of the sample score no less.
+if it can be among the best: as many rows of the sample score no less. Of rows
+with equal scores those with the smallest ids stay, however many they are.
 
 Equal vectors are one class: it is ranked once and stands for its smallest ids,
 as many as a result can hold, so a vector with very many copies costs no more
@@ -115,7 +116,7 @@ class Router:
         np.put_along_axis(asked, parts, True, axis=1)
         scores = np.where(asked[:, self.part], x @ self.sample.T, -np.inf)
         least = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1]
-        return least - 1e-9 * np.abs(least)  # for rounding in another order
+        return least - rounding(np.linalg.norm(x, axis=1), self.longest)
 
 
 def lifted(x: np.ndarray, longest: float, query: bool) -> np.ndarray:
@@ -177,6 +178,18 @@ def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.filter(F.size("v") == (sizes["n"] if sizes else 0))
 
 
+def rounding(query: np.ndarray, longest: float) -> np.ndarray:
+    """By how much inner products summed in different orders can differ, from the lengths of the vectors; generously."""
+    return 1e-12 * query * longest
+
+
+def first(query: np.ndarray, score: np.ndarray, number: np.ndarray, k: int) -> np.ndarray:
+    """Positions of each query's ``k`` largest scores, the smaller number first among equal ones."""
+    order = np.lexsort((number, -score, query))
+    of = query[order]
+    return order[np.arange(len(of)) - np.searchsorted(of, of) < k]
+
+
 def comparer(k: int):
     """Task function: the ``k`` best (query, id, score) of a block of classes and a block of queries."""
 
@@ -192,31 +205,28 @@ def comparer(k: int):
             return schema.empty_table()
         x, ids = matrix(classes["v"]), classes["ids"].to_pylist()
         q, names, least = matrix(queries["v"]), queries["query"].to_numpy(), queries["least"].to_numpy()
-        out_q, out_c = [], []
+        smallest = np.array([own[0] for own in ids], np.int64)
+        size = np.array([len(own) for own in ids])
+        flat, start = np.concatenate([np.asarray(own, np.int64) for own in ids]), np.cumsum(size) - size
+        room = rounding(np.linalg.norm(q, axis=1), float(np.linalg.norm(x, axis=1).max()))
+        out = []
         take = min(k, len(x))
         for a in range(0, len(q), 256):
             scores = q[a : a + 256] @ x.T
-            best = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-            row, at = np.nonzero(np.take_along_axis(scores, best, axis=1) >= least[a : a + 256, None])
-            out_q.append(row + a)
-            out_c.append(best[row, at])
-        at_q, at_c = np.concatenate(out_q), np.concatenate(out_c)
-        if not len(at_q):
-            return schema.empty_table()
-        # Each pair alone, so that its score does not depend on the block.
-        score = np.concatenate([(q[at_q[i : i + 50_000]] * x[at_c[i : i + 50_000]]).sum(axis=1) for i in range(0, len(at_q), 50_000)])
-        order = np.lexsort((-score, at_q))
-        rows_q, rows_id, rows_s, have, last = [], [], [], 0, -1
-        for i in order.tolist():
-            if at_q[i] != last:
-                last, have = at_q[i], 0
-            if have < k:
-                own = ids[at_c[i]]
-                rows_q.extend([names[last]] * len(own))
-                rows_id.extend(own)
-                rows_s.extend([score[i]] * len(own))
-                have += len(own)
-        return pa.table([pa.array(rows_q, pa.int64()), pa.array(rows_id, pa.int64()), pa.array(rows_s, pa.float64())], schema=schema)
+            # Every class that reaches the last place: of equal scores the smaller ids count, not the places here.
+            last = -np.partition(-scores, take - 1, axis=1)[:, take - 1]
+            at_q, at_c = np.nonzero(scores >= (np.maximum(last, least[a : a + 256]) - room[a : a + 256])[:, None])
+            at_q += a
+            # Each pair alone, so that its score does not depend on the block.
+            score = np.concatenate([np.empty(0), *((q[at_q[i : i + 50_000]] * x[at_c[i : i + 50_000]]).sum(axis=1) for i in range(0, len(at_q), 50_000))])
+            some = first(at_q, score, smallest[at_c], k)  # classes that can hold one of the k best ids
+            at_q, at_c, score = at_q[some], at_c[some], score[some]
+            n = size[at_c]
+            at_q, score = np.repeat(at_q, n), np.repeat(score, n)
+            own = flat[np.arange(n.sum()) + np.repeat(start[at_c] - (np.cumsum(n) - n), n)]
+            some = first(at_q, score, own, k)
+            out.append((names[at_q[some]], own[some], score[some]))
+        return pa.table([pa.array(np.concatenate(column)) for column in zip(*out)], schema=schema)
 
     return compared
 
