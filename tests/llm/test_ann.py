@@ -100,3 +100,13 @@ def test_distinct_vectors_of_equal_inner_product(spark, monkeypatch):
     small = [(i, [1.0 + i % 3, *rng.normal(size=3).tolist()]) for i in range(1, 400)] + [(0, [1.0, 0.0, 0.0, 0.0])]
     got, want = run(spark, small, 20), brute(small, lambda i: i % 5 == 0, 20)
     assert got[0] == want[0] and {i: [j for j, _ in v] for i, v in got.items()} == {i: [j for j, _ in v] for i, v in want.items()}
+
+
+def test_small_tables_use_the_learned_parts(spark, monkeypatch):
+    made, fit = [], ann.fit_router
+    monkeypatch.setattr(ann, "fit_router", lambda *a: made.append(fit(*a)) or made[-1])
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(500)]
+    got, want = run(spark, rows, 20), brute(rows, lambda i: i % 5 == 0, 20)
+    assert made[0].weights.shape[1] == 2 and made[0].weights.any() and set(made[0].part) == {0, 1}
+    assert {i: [j for j, _ in v] for i, v in got.items()} == {i: [j for j, _ in v] for i, v in want.items()}

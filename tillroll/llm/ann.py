@@ -35,7 +35,7 @@ from tillroll.llm.common import settled
 
 #: Vectors that the graph and the classifier are fitted on, at most.
 SAMPLE = 8192
-#: Rows of a part that are worth a part of their own; parts at most.
+#: Rows of a part that are worth a part of their own (two parts at least); parts at most.
 PART_ROWS, MOST_PARTS = 1500, 96
 #: Classes and queries that one task compares at a time.
 BLOCK, QUERIES = 8192, 4096
@@ -264,7 +264,7 @@ def nearest(rows: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", vect
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = classes.orderBy(F.xxhash64("query"), "query").limit(SAMPLE).select("v").collect()  # SAMPLE vectors at most
-    router = fit_router(np.array([r["v"] for r in sample]), min(MOST_PARTS, max(1, n // PART_ROWS)), k, target)
+    router = fit_router(np.array([r["v"] for r in sample]), min(MOST_PARTS, max(2, n // PART_ROWS)), k, target)
 
     asking = rows.filter(is_query(F.col("id")))
     # Which class a query belongs to: its vector's, by the vector itself.

@@ -136,8 +136,9 @@ FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
 """
 
 
-#: Exact neighbours. The operator's are exact too while one part holds the table, as
-#: at the size at which the SQL is compared.
+#: Exact neighbours. The operator's are exact too while a query asks all parts, as it does
+#: of two parts (fewer than 3 x ``ann.PART_ROWS`` distinct vectors), so at the size at which
+#: the SQL is compared; above that the operator is approximate and the SQL is not.
 _OP6 = """
 WITH v AS (
   SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
