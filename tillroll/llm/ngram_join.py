@@ -1,11 +1,12 @@
-"""N-gram Jaccard self-join with a MinHash LSH forest.
+"""N-gram Jaccard self-join with banded MinHash.
 
 Texts are sets of hashed word shingles. Equal sets are one class, which is
-compared once. Every class has a label of ``depth`` MinHash values in each of
-``trees`` prefix tries. The matched prefix starts at the full label and is
-shortened until a pair at the threshold is missed by all tries with a
-probability below 1 - ``recall``; classes that share a prefix of that length in
-some trie are candidates. Candidates are gathered into components by star
+compared once. Fixed bands stand in for an LSH forest: there are no tries and no
+labels, and nothing is shortened by what the data hold. Every class has
+``trees`` bands of as many MinHash values, ``depth`` at most, as the constants
+allow for a pair at the threshold to be missed by all bands with a probability
+below 1 - ``recall`` (24 bands of 5); classes that share a band are candidates.
+Candidates are gathered into components by star
 edges, never by all pairs of a bucket, and inside a component exact Jaccard
 similarity is computed for all pairs whose sizes allow it, block against block,
 by counting common shingles. What leaves a task is, per class, its number of
@@ -44,7 +45,7 @@ MEMO = 300_000
 
 
 def prefix_length(trees: int, depth: int, similarity: float, recall: float) -> int:
-    """The longest prefix with which the forest finds a pair at the threshold with the asked probability."""
+    """The most values of a band, up to ``depth``, with which the bands find a pair at the threshold with the asked probability."""
     for length in range(depth, 1, -1):
         if 1 - (1 - similarity**length) ** trees >= recall:
             return length
@@ -85,7 +86,7 @@ def minhash(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def signed(n: int, trees: int, depth: int, prefix: int):
-    """Task function: (key, row, text) to key, row, class, size and the prefixes in each trie."""
+    """Task function: (key, row, text) to key, row, class, size and the hash of each band."""
     factors = np.random.default_rng(5).integers(1, 2**63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     used = factors.reshape(trees, depth)[:, :prefix].ravel()
 
@@ -216,7 +217,7 @@ def linker(similarity: float):
 def links(classes: DataFrame, texts: DataFrame, similarity: float, n: int) -> DataFrame:
     """class, links, root: verified links of ``classes`` (class, copies, row, size, prefixes); ``texts`` has row and text."""
     each = classes.select("class", F.explode("prefixes").alias("bucket"))
-    # The trie's number is part of the hashed prefix, so equal prefixes are equal buckets.
+    # The band's number is part of its hash, so equal bands are equal buckets.
     shared = each.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter(F.col("low") != F.col("high"))
     stars = splittable_join(each, shared, ["bucket"]).filter(F.col("class") != F.col("low")).select(F.col("class").alias("a"), F.col("low").alias("b"))
     whole = components(stars).withColumnRenamed("node", "class").withColumnRenamed("root", "component")
