@@ -135,3 +135,16 @@ def test_query_digest(spark):
         assert (r.n_words, r.n_hit, r.n_items) == (len(ws), len(hit), len(named))
         assert r.items_sha256 == hashlib.sha256(",".join(sorted(named)).encode()).hexdigest()
         assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(ws))
+
+
+def test_plan_holds_one_slice(spark, monkeypatch):
+    """However many slices the benchmark has, the plan carries the phrases of the first only."""
+    items, texts = cases()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    whole = sorted(map(str, dc.find(docs, benchmark, keep=["doc_id"]).collect()))
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(dc, "SLICE_WORDS", -(-size // 30))
+    found = dc.find(docs, benchmark, keep=["doc_id"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(str, found.collect())) == whole

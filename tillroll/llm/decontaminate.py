@@ -8,7 +8,10 @@ matrix with rank directories, phrases are found by backward search, their places
 walking to the next sampled suffix, and overlapping occurrences are merged.
 
 Phrases travel to the tasks in slices of bounded size; a benchmark that
-exceeds one slice is searched slice by slice and the documents' hits merged.
+exceeds one slice is searched slice by slice and the documents' hits merged. The
+hits of a slice are kept before the next one is read, so the driver and the plan
+hold the first slice and one more, however many there are; each slice reads the
+documents again.
 
 Defined cases: null texts and texts without words have no words and no hits;
 an item with fewer words than a window is one window, without words none; a
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import WORD, release_memory, suffix_array, words
+from tillroll.llm.common import WORD, release_memory, settled, suffix_array, words
 
 WINDOW = 13
 #: Columns that ``find`` adds.
@@ -247,13 +250,18 @@ def find(
     for k in range(slices):
         some = items.filter(F.pmod(F.xxhash64("text"), F.lit(slices)) == k)
         phrases = Phrases([(r["item"], words(r["text"])) for r in some.collect()], window)
-        parts.append(source.mapInArrow(search_task(phrases), schema))
+        part = source.mapInArrow(search_task(phrases), schema)
+        if k:
+            # The first slice brings the documents and their numbers of words; of the others the hits count.
+            unnamed = F.struct(F.lit(None).cast(source.schema["_row"].dataType["_row"].dataType).alias("_row"), F.col("_row.at").alias("at"))
+            part = settled(part.filter(F.size("word_spans") > 0).withColumn("_row", unnamed))
+        parts.append(part)
     found = parts[0]
     if slices > 1:
         for more in parts[1:]:
             found = found.unionByName(more)
         found = found.groupBy("_row.at").agg(
-            F.first("_row._row").alias("_row"),
+            F.first("_row._row", ignorenulls=True).alias("_row"),
             F.first("n_words").alias("n_words"),
             union_of_spans(F.flatten(F.collect_list("word_spans"))).alias("word_spans"),
             union_of_spans(F.flatten(F.collect_list("spans"))).alias("spans"),
