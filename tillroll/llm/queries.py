@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, decontaminate, html_text, language_id, ngram_join, packing, pii, quality, sharding, token_counts
+from tillroll.llm import ann, collocations, decontaminate, html_text, language_id, ngram_join, packing, pii, quality, sharding, token_counts
 from tillroll.llm.common import table
 
 
@@ -97,6 +97,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(docs, tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, top=2000, inside_percent=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language": op1_language,
@@ -109,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_join": op8_ngram_join,
         "op9_pack": op9_pack,
         "op10_token_counts": op10_token_counts,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -165,6 +170,31 @@ SELECT d.doc_id, class.class_id, least(d.doc_id, coalesce(own.copy, d.doc_id)) A
 FROM d JOIN class ON class.x = d.doc_id LEFT JOIN own ON own.x = d.doc_id
 """
 
+_OP13 = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (SELECT lang, k, w[i:i + k - 1] AS g
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT c.lang, c.k, c.g, c.f AS a, unnest(range(1, c.k)) AS j FROM c),
+val AS (SELECT cut.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+        FROM cut JOIN f x ON x.lang = cut.lang AND x.g = cut.g[1:j] JOIN f y ON y.lang = cut.lang AND y.g = cut.g[j + 1:]),
+low AS (SELECT * FROM val QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+long AS (SELECT lang, unnest([g[1:2], g[2:3]]) AS g, f FROM c WHERE k = 3),
+ins AS (SELECT lang, g, max(f) AS most FROM long GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN ins USING (lang, g) WHERE most IS NULL OR 100 * most < 50 * a),
+txt AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM kept),
+rk AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM txt)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM rk JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2, "op6_neighbours": _OP6, "op8_ngram_join": _OP8}
+    return {"op2_decontaminate": _OP2, "op6_neighbours": _OP6, "op8_ngram_join": _OP8, "op13_collocations": _OP13}
