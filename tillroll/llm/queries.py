@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, collocations, decontaminate, html_text, language_id, ngram_join, packing, pii, quality, sharding, token_counts
+from tillroll.llm import ann, collocations, decontaminate, html_text, language_id, ngram_join, packing, periodic_runs, pii, quality, sharding, token_counts
 from tillroll.llm.common import table
 
 
@@ -97,6 +97,28 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(docs, tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's law: of some documents all words from one on repeat the first few there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    planted = docs.withColumn("w", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(periodic_runs.WORD), F.lit(0))))
+    planted = planted.withColumn("a", (g % F.greatest(F.size("w"), F.lit(1))).cast("int"))
+    planted = planted.withColumn("p", (1 + F.floor((F.size("w") - F.col("a")) / (3 + g % 8))).cast("int"))
+    tiled = F.array_join(periodic_runs.tiled(F.col("w"), F.col("a"), F.col("p")), " ")
+    return planted.withColumn("text", F.when(F.size("w") > 0, tiled).otherwise(F.col("text"))).drop("w", "a", "p")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.with_runs(docs).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, top=2000, inside_percent=50)
 
@@ -113,6 +135,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_join": op8_ngram_join,
         "op9_pack": op9_pack,
         "op10_token_counts": op10_token_counts,
+        "op11_periodic_runs": op11_periodic_runs,
         "op13_collocations": op13_collocations,
     }
 
