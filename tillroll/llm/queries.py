@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, collocations, decontaminate, html_text, language_id, ngram_join, packing, periodic_runs, pii, quality, sharding, token_counts
+from tillroll.llm import ann, collocations, decontaminate, html_text, language_id, ngram_join, packing, periodic_runs, pii, quality, sharding, token_counts, toxicity
 from tillroll.llm.common import table
 
 
@@ -119,6 +119,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kept_from_toxicity(doc_id) -> "F.Column":
+    """Documents whose labels op12 must not learn from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~kept_from_toxicity("doc_id")))
+    scored = toxicity.with_toxicity(docs, model, least=0.3)
+    return scored.select("doc_id", kept_from_toxicity("doc_id").alias("held_out"), "score", "predicted", F.size("clauses").alias("n_clauses"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, top=2000, inside_percent=50)
 
@@ -136,6 +148,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pack": op9_pack,
         "op10_token_counts": op10_token_counts,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_toxicity": op12_toxicity,
         "op13_collocations": op13_collocations,
     }
 
