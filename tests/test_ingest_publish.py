@@ -1,0 +1,241 @@
+"""Footers read in tasks, CSV with a quarantine, results published together."""
+
+import csv
+import os
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tillroll.operators import quality
+from tillroll.plans import jobs
+from tillroll.schemas import ENRICHED, RETAIL
+from tillroll.sources import quarantine
+from tillroll.sources.footers import read_footers
+from tillroll.sources.publication import load_published, publish, published_version
+from tillroll.sources.readers import load_catalog_table, load_csv, load_source
+from tillroll.sources.writers import export_csv_preview, save_all, save_csv
+
+# --- manifest -------------------------------------------------------------------
+
+
+def test_two_thousand_footers_without_a_driver_call_each(spark, scratch, monkeypatch):
+    for i in range(2000):
+        run = os.path.join(scratch, f"run {i % 40}")
+        os.makedirs(run, exist_ok=True)
+        t = pa.table({"Country": ["x"] * (i % 3), "TotalAmount": [1.0] * (i % 3)})
+        pq.write_table(t.rename_columns(["Country", "Total"]) if i == 1999 else t, os.path.join(run, f"run-{i % 40:04d}-part-r-{i:05d}.snappy.parquet"))
+    calls = []
+    plain = DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *a, **k: (calls.append(a), plain(self, *a, **k))[1])
+    files = quality.file_manifest(spark, scratch, recursive=True)
+    sc = spark.sparkContext
+    sc.setJobGroup("manifest", "manifest")
+    rows = files.collect()
+    jobs_run = sc.statusTracker().getJobIdsForGroup("manifest")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not calls and len(jobs_run) == 1
+    assert len(rows) == 2000 and sum(r.num_rows for r in rows) == sum(i % 3 for i in range(2000))
+    assert {r.columns for r in rows} == {"Country,TotalAmount", "Country,Total"}
+    assert all(r.file_bytes == os.path.getsize(r.path) for r in rows)
+    # an empty list column is null-typed: the same names, another fingerprint
+    assert len({r.schema_sha256 for r in rows}) >= 2
+    with pytest.raises(ValueError, match="1 runs"):
+        quality.check_consistent_schemas(quality.run_manifest(files.withColumn("run_id", F.regexp_extract("path", r"run (\d+)", 1))))
+
+
+def test_footers_of_a_folder(spark, scratch):
+    spark.range(100).selectExpr("id", "struct(id as a, 'x' as b) as s", "array(id) as l").repartition(3).write.parquet(scratch + "/ä folder")
+    rows = read_footers(spark, scratch + "/ä folder").collect()
+    assert sum(r.num_rows for r in rows) == 100 and {r.columns for r in rows} == {"id,s,l"} and len({r.schema_sha256 for r in rows}) == 1
+    os.makedirs(scratch + "/empty")
+    assert read_footers(spark, scratch + "/empty").collect() == []
+
+
+def test_files_that_only_spark_opens(spark, scratch):
+    spark.range(7).write.parquet(scratch + "/t")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tilltest.link./in", f"file://{scratch}")
+    rows = read_footers(spark, "viewfs://tilltest/in/t").collect()
+    assert sum(r.num_rows for r in rows) == 7 and {r.columns for r in rows} == {"id"}
+
+
+# --- CSV ------------------------------------------------------------------------
+
+AWKWARD = ['plain', 'SIGN "HIS DINNER, IS" X', 'two\nlines', 'ends with "', '"', ',', '\\" backslash', "é", " blanks ", 'a\r\nb']
+
+
+def test_awkward_text_read_as_pandas_reads_it(spark, scratch):
+    path = os.path.join(scratch, "x.csv")
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows([["id", "Description", "Quantity"], *([i, t, 2] for i, t in enumerate(AWKWARD))])
+    expected = pd.read_csv(path)
+    rows = load_csv(spark, path).orderBy(F.col("id").cast("int")).collect()
+    assert expected.Description.tolist() == AWKWARD
+    assert [r.Description for r in rows] == [t.replace("\r\n", "\n") for t in AWKWARD]  # the file's own line end is a line feed
+    assert {r.Quantity for r in rows} == {"2"}
+
+
+def test_what_is_written_other_readers_understand(spark, scratch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*AWKWARD, None, ""])], "id int, Description string")
+    save_csv(df.coalesce(1), scratch + "/out")
+    export_csv_preview(df.orderBy("id"), scratch + "/preview", n=4)
+    for folder, n in (("/out", len(AWKWARD)), ("/preview", 4)):
+        (name,) = [x for x in os.listdir(scratch + folder) if x.endswith(".csv")]
+        with open(os.path.join(scratch + folder, name), newline="") as f:
+            rows = list(csv.reader(f))
+        assert rows[0] == ["id", "Description"] and [r[1] for r in sorted(rows[1:], key=lambda r: int(r[0]))[:n]] == AWKWARD[:n]
+    back = load_csv(spark, scratch + "/out").orderBy(F.col("id").cast("int")).collect()
+    assert [r.Description for r in back] == [*AWKWARD, None, None]
+
+
+SCHEMA = T.StructType([T.StructField("Name", T.StringType()), T.StructField("Quantity", T.IntegerType()), T.StructField("Price", T.DoubleType())])
+
+
+def test_every_record_is_accepted_or_rejected(spark, scratch):
+    folder = os.path.join(scratch, "in")
+    os.makedirs(folder)
+    good = ['1,"a, ""b""\nc",2.5,x', "3,,,", "4,d,1e3,", "5, e ,7,x"]
+    bad = ["two,f,1,x", "6,g,x,x", "six,h,x,x", "7,i,1", "8,j,1,x,more", "99999999999,k,1,x"]
+    for i, part in enumerate((good[:2] + bad[:3], good[2:] + bad[3:])):
+        with open(os.path.join(folder, f"{i}.csv"), "w") as f:
+            f.write(" quantity ,NAME,Price,extra\n" + "\n".join(part) + "\n")
+    counts = quarantine.ingest_csv(spark, folder, SCHEMA, scratch + "/out")
+    assert counts == quarantine.IngestCounts(len(good), len(bad))
+    rows = quarantine.load_accepted(spark, scratch + "/out", SCHEMA).collect()
+    assert sorted(rows, key=str) == sorted([('a, "b"\nc', 1, 2.5), (None, 3, None), ("d", 4, 1000.0), (" e ", 5, 7.0)], key=str)
+    rejected = {r.reject_record: r for r in quarantine.load_rejected(spark, scratch + "/out", SCHEMA).collect()}
+    assert set(rejected) == set(bad)
+    reasons = {k: r.reject_reason for k, r in rejected.items()}
+    assert reasons["six,h,x,x"] == "Quantity is no int: six; Price is no double: x"
+    assert reasons["7,i,1"] == reasons["8,j,1,x,more"] == "not 4 fields"
+    assert reasons["99999999999,k,1,x"] == "Quantity is no int: 99999999999"
+    assert rejected["two,f,1,x"].reject_file.endswith("0.csv") and rejected["7,i,1"].reject_file.endswith("1.csv")
+
+
+def test_only_good_records_and_no_records(spark, scratch):
+    for name, lines in (("good", "1,a,2\n"), ("none", "")):
+        path = os.path.join(scratch, name + ".csv")
+        with open(path, "w") as f:
+            f.write("Quantity,Name,Price\n" + lines)
+        counts = quarantine.ingest_csv(spark, path, SCHEMA, os.path.join(scratch, name))
+        assert counts == quarantine.IngestCounts(int(bool(lines)), 0)
+        if lines:
+            assert quarantine.load_accepted(spark, os.path.join(scratch, name), SCHEMA).collect() == [("a", 1, 2.0)]
+            assert quarantine.load_rejected(spark, os.path.join(scratch, name), SCHEMA).collect() == []
+
+
+def test_an_open_quote_loses_nothing(spark, scratch):
+    path = os.path.join(scratch, "x.csv")
+    with open(path, "w") as f:
+        f.write('Quantity,Name,Price\n1,a,2\n2,"open,3\n4,b,5\n')
+    checked = quarantine.checked_csv(spark, path, SCHEMA).collect()
+    assert [r.Name for r in checked if not r.reject_reason] == ["a"]
+    assert any("open,3" in (r.reject_record or "") and "4,b,5" in r.reject_record for r in checked)
+
+
+def test_files_with_other_headers_and_absent_columns(spark, scratch):
+    for i, header in enumerate(("Quantity,Name,Price", "Name,Quantity,Price")):
+        with open(os.path.join(scratch, f"{i}.csv"), "w") as f:
+            f.write(header + "\n1,2,3\n")
+    with pytest.raises(Exception, match="header|Header"):
+        quarantine.checked_csv(spark, scratch, SCHEMA).collect()
+    with pytest.raises(ValueError, match="InvoiceNo"):
+        quarantine.checked_csv(spark, os.path.join(scratch, "0.csv"), RETAIL)
+
+
+def test_the_rejected_folder_is_pruned(spark, scratch):
+    path = os.path.join(scratch, "x.csv")
+    with open(path, "w") as f:
+        f.write("Quantity,Name,Price\n1,a,2\nx,b,3\n")
+    quarantine.ingest_csv(spark, path, SCHEMA, scratch + "/out")
+    plan = quarantine.load_accepted(spark, scratch + "/out", SCHEMA)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rejected" in plan and "reject_reason" not in plan.split("ReadSchema")[1]
+
+
+# --- catalog --------------------------------------------------------------------
+
+
+def test_stored_table_of_a_database(spark, scratch):
+    spark.sql(f"CREATE DATABASE tillroll_stored LOCATION '{scratch}/db'")
+    spark.createDataFrame([(7, "F1")], "invoiceno int, fournisseur string").write.format("parquet").saveAsTable("tillroll_stored.bridge")
+    try:
+        assert load_source(spark, "catalog:tillroll_stored.bridge").collect() == [(7, "F1")]
+        assert load_catalog_table(spark, "bridge", "tillroll_stored").collect() == [(7, "F1")]
+    finally:
+        spark.sql("DROP DATABASE tillroll_stored CASCADE")
+
+
+# --- publication ----------------------------------------------------------------
+
+
+def failing(spark):
+    return spark.range(4).select(F.raise_error(F.lit("this write fails")).cast("string").alias("Country"))
+
+
+def numbers(spark, n, names="abcdef"):
+    return {name: spark.range(n).withColumn("v", F.lit(n)) for name in names}
+
+
+def test_a_failing_fourth_write_leaves_the_old_six(spark, scratch):
+    assert published_version(spark, scratch) is None
+    first = publish(spark, scratch, numbers(spark, 3))
+    with pytest.raises(Exception, match="this write fails"):
+        publish(spark, scratch, numbers(spark, 9) | {"d": failing(spark)})
+    assert published_version(spark, scratch) == first
+    assert all(load_published(spark, scratch, x).count() == 3 for x in "abcdef")
+    second = publish(spark, scratch, numbers(spark, 5))
+    assert second > first + 1  # the failed run's number stays its own
+    assert all(load_published(spark, scratch, x).count() == 5 for x in "abcdef")
+    assert load_published(spark, scratch, "a", version=first).count() == 3
+    publish(spark, scratch, numbers(spark, 6))
+    assert sorted(os.listdir(scratch + "/versions")) == sorted(f"{n:012d}" for n in (second, second + 1))
+    with pytest.raises(FileNotFoundError):
+        load_published(spark, scratch, "a", version=first)
+
+
+def test_a_slower_run_does_not_hide_a_later_one(spark, scratch):
+    class Racing(dict):
+        """While these results are written, another run publishes."""
+
+        def items(self):
+            yield from list(super().items())[:3]
+            publish(spark, scratch, numbers(spark, 8))
+            yield from list(super().items())[3:]
+
+    publish(spark, scratch, Racing(numbers(spark, 2)))
+    assert {load_published(spark, scratch, x).count() for x in "abcdef"} == {8}
+
+
+def test_six_paths_change_together(spark, scratch):
+    paths = [os.path.join(scratch, x) for x in "abcdef"]
+    save_all(list(zip(numbers(spark, 3).values(), paths)))
+    frames = list(numbers(spark, 9).values())
+    frames[3] = failing(spark)
+    with pytest.raises(Exception, match="this write fails"):
+        save_all(list(zip(frames, paths)))
+    assert all(spark.read.parquet(p).count() == 3 for p in paths)
+    assert sorted(os.listdir(scratch)) == list("abcdef")
+    save_all(list(zip(numbers(spark, 9).values(), paths)))
+    assert all(spark.read.parquet(p).count() == 9 for p in paths)
+
+
+def test_the_aggregation_job_publishes_all_or_nothing(spark, scratch, monkeypatch):
+    import datetime as dt
+
+    lines = spark.createDataFrame([("1", "s", "d", 1, dt.datetime(2011, 5, 1), 2.0, 1, "FR", 2.0)], ENRICHED)
+    lines.write.parquet(scratch + "/enriched")
+    bridge = spark.createDataFrame([("1", "F1")], "InvoiceNo string, Fournisseur string")
+    mapping = spark.createDataFrame([("FR", "Europe")], "Country string, Continent string")
+    run = lambda: jobs.aggregation_job(spark, scratch + "/enriched", lines.drop("TotalAmount"), bridge, mapping, scratch + "/out", "FR", 2011)
+    run()
+    monkeypatch.setattr(jobs.agg, "aggregate_supplier_market", lambda *a: failing(spark))
+    lines.union(lines).write.mode("overwrite").parquet(scratch + "/enriched")
+    with pytest.raises(Exception, match="this write fails"):
+        run()
+    rows = load_published(spark, scratch + "/out", "country_sales").collect()
+    assert [(r.Country, r.TotalAmount) for r in rows] == [("FR", 2.0)]
+    assert load_published(spark, scratch + "/out", "supplier_uk_2011").collect() == [("F1", 2.0)]

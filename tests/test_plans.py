@@ -19,7 +19,8 @@ from conftest import SMOKE_DIR
 WRITING = {
     "parquet_roundtrip", "csv_header_roundtrip", "json_counts_roundtrip", "run_manifest_classified", "csv_reordered_header",
     "result_dir_scan", "csv_preview_roundtrip", "single_machine_save", "cleaning_job_audit", "enrich_job",
-    "aggregation_job_audit", "all_in_one_answers", "optional_sources",
+    "aggregation_job_audit", "all_in_one_answers", "optional_sources", "csv_quoted_roundtrip", "csv_accepted_rows",
+    "csv_rejected_records", "published_results", "catalog_table_scan",
 }
 
 
@@ -47,9 +48,18 @@ def test_building_runs_no_job_and_plan_is_plain(spark, name):
         assert marker not in text, marker
 
 
-def test_written_queries_use_no_python_worker(spark):
+def test_the_manifest_reads_footers_in_tasks(spark):
+    """The one plan with a Python node: it sits on the file listing."""
     df = catalog.queries()["run_manifest_classified"](spark, SMOKE_DIR)
-    assert "Python" not in plan_text(df) and "InPandas" not in plan_text(df) and "InArrow" not in plan_text(df)
+    text = plan_text(df).split("== Initial Plan ==")[0]
+    assert "Python" not in text and "InPandas" not in text
+    assert text.count("InArrow") == text.count("binaryFile") >= 1
+
+
+@pytest.mark.parametrize("name", ["csv_quoted_roundtrip", "csv_accepted_rows", "csv_rejected_records", "published_results", "catalog_table_scan"])
+def test_written_queries_use_no_python_worker(spark, name):
+    text = plan_text(catalog.queries()[name](spark, SMOKE_DIR))
+    assert "Python" not in text and "InPandas" not in text and "InArrow" not in text
 
 
 def scans(plan: str, column: str) -> int:

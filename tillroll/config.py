@@ -110,3 +110,5 @@ class AggregationJobConfig:
     cancellation_output_path: str
     market_country: str = DEFAULT_MARKET_COUNTRY
     market_year: int = DEFAULT_MARKET_YEAR
+    # With a folder here, the six results are published under it as one version instead.
+    publish_root: str | None = None

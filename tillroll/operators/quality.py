@@ -22,7 +22,7 @@ from tillroll.config import (
 from tillroll.functions.columns import is_cancelled, nice_number, run_id_from_file_name, share_of_max
 from tillroll.operators.cleaning import normalize_types
 from tillroll.schemas import DATASET_SIGNATURES
-from tillroll.sources.readers import parquet_files
+from tillroll.sources.footers import plain_path, read_footers
 
 
 def _stack(pairs: list[tuple[str, Column]]) -> Column:
@@ -177,34 +177,18 @@ def folder_profile(results: Mapping[str, DataFrame], preview_rows: int = 10) ->
 
 
 def file_manifest(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """One row per ``*.parquet`` file: path, name, run id, column list, rows,
-    modification time.
+    """One row per ``*.parquet`` file: path, name, run id, column list,
+    fingerprint of names and types, rows, bytes and modification time.
 
-    Names and times come from Spark's file listing, rows from the Parquet reader
-    (no column is read, so the counts come from footers) and the column list of
-    each file from its schema. The listing and one schema per file, a few
-    strings each, pass through the driver; data do not.
+    The listing is Spark's; column lists and rows come from the files' footers,
+    which tasks read (a few kilobytes a file). Nothing per file passes through
+    the driver, which is why this is the engine's one plan with a Python node.
     """
-    files = parquet_files(spark, folder, recursive)
-    listed = [r["path"] for r in files.select("path").collect()]
-    schemas = [(p, ",".join(spark.read.parquet(p).columns)) for p in listed]
-    reader = spark.read.schema("_none string").option("pathGlobFilter", "*.parquet")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    counted = reader.parquet(folder).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("num_rows"))
-
-    def part(df: DataFrame, **known: Column) -> DataFrame:
-        kinds = {"columns": "string", "num_rows": "long", "modificationTime": "timestamp"}
-        return df.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), *(known.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()))
-
-    rows = part(files, modificationTime=F.col("modificationTime"), num_rows=F.lit(0))
-    rows = rows.unionByName(part(counted, num_rows=F.col("num_rows")))
-    rows = rows.unionByName(part(spark.createDataFrame(schemas, "path string, columns string"), columns=F.col("columns")))
+    files = read_footers(spark, folder, recursive)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return (
-        rows.groupBy("path")
-        .agg(F.max("columns").alias("columns"), F.sum("num_rows").alias("num_rows"), F.max("modificationTime").alias("modificationTime"))
-        .select("path", name.alias("file_name"), run_id_from_file_name(name).alias("run_id"), "columns", "num_rows", "modificationTime")
+    return files.select(
+        plain_path("path").alias("path"), name.alias("file_name"), run_id_from_file_name(name).alias("run_id"),
+        "columns", "schema_sha256", "num_rows", "file_bytes", "modificationTime",
     )
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.columns import (
     decimal_text_to_double,
@@ -28,11 +29,13 @@ from tillroll.operators.joins import normalize_mapping, normalize_supplier, with
 from tillroll.operators.ranking import preview
 from tillroll.plans import jobs
 from tillroll.plans.params import BEST_PRODUCT_COUNTRY, CHART_TOP_N, MARKET_COUNTRY, MARKET_YEAR
-from tillroll.schemas import AUDIT, COUNTRY_SALES, ENRICHED, MONTHLY_SALES
+from tillroll.schemas import AUDIT, COUNTRY_SALES, ENRICHED, MONTHLY_SALES, RETAIL
 from tillroll.session import shared_dir
 from tillroll.sources import driver_views as views
+from tillroll.sources import quarantine
+from tillroll.sources.publication import load_published, published_version
 from tillroll.sources.readers import audit_frame, load_csv, load_optional, load_parquet, load_result_dir, load_source
-from tillroll.sources.writers import audit_path, export_csv_preview, save_audit, save_parquet
+from tillroll.sources.writers import audit_path, export_csv_preview, save_audit, save_csv, save_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,11 +125,68 @@ def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly sales written as CSV with a header and read back (S3)."""
     path = _work_dir(spark, sf_dir, "csv")
-    monthly = agg.aggregate_monthly_data(enriched(spark, sf_dir))
-    monthly.write.mode("overwrite").option("header", "true").csv(path)
+    save_csv(agg.aggregate_monthly_data(enriched(spark, sf_dir)), path)
     return load_csv(spark, path, MONTHLY_SALES)
 
 
+def _csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose descriptions hold commas, quotes and line feeds, as CSV and
+    back (S3, K4)."""
+    path = _work_dir(spark, sf_dir, "csv-quoted")
+    q, name = F.col("Quantity") % 5, F.col("Description")
+    awkward = (
+        F.when(q == 0, F.concat(F.lit('SIGN "'), name, F.lit('", LARGE')))
+        .when(q == 1, F.concat(name, F.lit("\nsecond line, with a comma")))
+        .when(q == 2, F.concat(F.lit('"'), name, F.lit('"')))
+        .when(q == 3, F.concat(name, F.lit(' \\" ')))
+        .otherwise(name)
+    )
+    lines = views.retail(spark, sf_dir).withColumn("Description", awkward)
+    save_csv(lines.select("InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice", "CustomerID", "Country"), path)
+    schema = T.StructType([f for f in RETAIL.fields if f.name != "InvoiceDate"])
+    return load_csv(spark, path, schema)
+
+
+def _csv_export(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The lines as CSV text that an export with faults would hold: quoted
+    fields, fields that do not fit and an unquoted comma, by quantity."""
+    path = _work_dir(spark, sf_dir, name)
+    q = F.col("Quantity") % 10
+    fields = {
+        "Description": F.when(q == 0, F.concat("Description", F.lit(", LARGE")))
+        .when(q == 1, F.concat(F.lit('"'), "Description", F.lit(', ""A1""\nsecond line"')))
+        .otherwise(F.col("Description")),
+        "Quantity": F.when(q == 2, F.lit("two")).otherwise(F.col("Quantity").cast("string")),
+        "InvoiceDate": F.when(q == 4, F.lit("not a date")).otherwise(F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss")),
+        "UnitPrice": F.when(q.isin(3, 4), F.lit('"12,50"')).otherwise(F.col("UnitPrice").cast("string")),
+    }
+    line = F.concat_ws(",", *(fields.get(c, F.col(c).cast("string")) for c in RETAIL.names))
+    # Each written file begins with the header: the first row of a partition brings it along.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.lit(",".join(RETAIL.names))
+    rows = views.retail(spark, sf_dir).select(line.alias("line"), first.alias("first"))
+    lines = rows.select(F.explode(F.when(F.col("first"), F.array(header, F.col("line"))).otherwise(F.array("line"))).alias("value"))
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
+def _csv_ingested(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The faulty export, taken in once (S3 with a quarantine)."""
+    out = _work_dir(spark, sf_dir, f"ingested-{name}")
+    quarantine.ingest_csv(spark, _csv_export(spark, sf_dir, f"export-{name}"), RETAIL, out)
+    return out
+
+
+def _csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarantine.load_accepted(spark, _csv_ingested(spark, sf_dir, "accepted"), RETAIL)
+
+
+def _csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records with their reasons; the file names differ between runs."""
+    found = quarantine.load_rejected(spark, _csv_ingested(spark, sf_dir, "rejected"), RETAIL)
+    return found.select(quarantine.REASON, quarantine.RECORD)
+
+
 def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaning audit written as JSON lines and read back (K3)."""
     path = _work_dir(spark, sf_dir, "json")
@@ -142,14 +202,17 @@ def _csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = sales.select(
         F.lit("x").alias("extra"), F.col("TransactionCount").alias(" transactioncount "), F.col("TotalAmount"), F.col("Country").alias("COUNTRY")
     )
-    shuffled.write.mode("overwrite").option("header", "true").csv(path)
+    save_csv(shuffled, path)
     return load_csv(spark, path, COUNTRY_SALES)
 
 
 def _catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country sales of lines found through the session catalog."""
-    enriched(spark, sf_dir).createOrReplaceTempView("tillroll_enriched")
-    return agg.group_by_country(load_source(spark, "catalog:tillroll_enriched", ENRICHED))
+    """Country sales of lines stored as a table of a database and found through
+    the session catalog (S1)."""
+    database = "tillroll_" + zlib.crc32(_work_dir(spark, sf_dir, "catalog").encode()).to_bytes(4, "big").hex()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{_work_dir(spark, sf_dir, 'catalog')}'")
+    enriched(spark, sf_dir).write.mode("overwrite").format("parquet").saveAsTable(f"{database}.enriched")
+    return agg.group_by_country(load_source(spark, f"catalog:{database}.enriched", ENRICHED))
 
 
 def _result_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +279,27 @@ def _aggregation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _published_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six results of two aggregation jobs published one after the other,
+    read from the version that the last one committed (C4, K1): the first has
+    no mapping, so its continent results are empty."""
+    root = _work_dir(spark, sf_dir, "published")
+    save_parquet(enriched(spark, sf_dir), os.path.join(root, "enriched"))
+    for mapping in (None, views.mapping(spark, sf_dir)):
+        jobs.aggregation_job(
+            spark, os.path.join(root, "enriched"), views.retail(spark, sf_dir), views.bridge(spark, sf_dir), mapping,
+            os.path.join(root, "results"), MARKET_COUNTRY, MARKET_YEAR,
+        )
+    version = published_version(spark, os.path.join(root, "results"))
+    out = None
+    for name, key, value in zip(jobs.RESULTS, ("Country", "InvoiceMonth", "SupplierID", "SupplierID", "Continent", "Continent"),
+                                ("TotalAmount", "TotalSales", "TotalAmount", "TotalAmount", "TotalAmount", "CancelledOperations")):
+        df = load_published(spark, os.path.join(root, "results"), name, version=version)
+        rows = df.select(F.lit(name).alias("result"), F.col(key).alias("key"), F.col(value).cast("double").alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _all_in_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scalar answers of the all-in-one run."""
     answers = jobs.run_all_on_driver_tables(spark, sf_dir, _work_dir(spark, sf_dir, "all-in-one"))["answers"]
@@ -363,6 +447,10 @@ def queries() -> dict[str, Query]:
     q["folder_profile"] = _folder_profile
     q["monthly_preview"] = lambda s, d: preview(agg.aggregate_monthly_data(enriched(s, d)), 10)
     q["csv_reordered_header"] = _csv_reordered
+    q["csv_quoted_roundtrip"] = _csv_quoted
+    q["csv_accepted_rows"] = _csv_accepted
+    q["csv_rejected_records"] = _csv_rejected
+    q["published_results"] = _published_results
     q["catalog_table_scan"] = _catalog_scan
     q["result_dir_scan"] = _result_dir_scan
     q["optional_sources"] = _optional_sources

@@ -30,7 +30,8 @@ from tillroll.operators.quality import cleaning_conditions, distinct_with_copies
 from tillroll.schemas import CANCELLATIONS, CONTINENT_SALES, ENRICHED, MAPPING, RETAIL_COLUMNS, SUPPLIER
 from tillroll.session import shared_dir
 from tillroll.sources.readers import audit_frame, load_parquet, load_source
-from tillroll.sources.writers import audit_path, save_audit, save_parquet, save_parquet_guarded
+from tillroll.sources.publication import publish, version_path
+from tillroll.sources.writers import audit_path, save_all, save_audit, save_parquet, save_parquet_guarded
 
 Source = "str | DataFrame"
 
@@ -109,13 +110,17 @@ class AggregationOutputs:
     cancellation: str
 
 
+#: Names of the six results, in the order of the job's audit and outputs.
+RESULTS = AGGREGATION_STEPS[4:]
+
+
 def aggregation_job(
     spark: SparkSession,
     enriched_input_path: str,
     retail,
     supplier,
     mapping,
-    out: AggregationOutputs,
+    out: AggregationOutputs | str,
     market_country: str,
     market_year: int,
     raw_count: int | None = None,
@@ -124,6 +129,11 @@ def aggregation_job(
     supplier bridge and country mapping; then the audit of input and output
     volumes.
 
+    ``out`` names six paths, or one folder. Under a folder the six results are
+    published as one version (:mod:`tillroll.sources.publication`), which
+    readers see as a whole or not at all. Six paths are replaced after all six
+    results have been written; a failing write leaves them as they were.
+
     The lines are read once, into an invoice-grain table from which the five
     sales results follow; the cancellations read the raw lines. Without a
     mapping (None) the two continent results are written empty, so none of an
@@ -138,7 +148,6 @@ def aggregation_job(
     grain_path = shared_dir(spark, f"invoice-grain-{spark.sparkContext.applicationId}")
     save_parquet(agg.invoice_grain(enriched), grain_path)
     grain = load_parquet(spark, grain_path)
-    names = AGGREGATION_STEPS[4:]
     frames = [
         agg.group_by_country(grain),
         agg.aggregate_monthly_data(grain),
@@ -147,9 +156,12 @@ def aggregation_job(
         spark.createDataFrame([], CONTINENT_SALES) if world is None else agg.aggregate_world_data(grain, world),
         spark.createDataFrame([], CANCELLATIONS) if world is None else agg.build_cancellations_by_continent(raw, world),
     ]
-    paths = [out.country, out.monthly, out.supplier, out.supplier_market, out.world, out.cancellation]
-    for df, path in zip(frames, paths):
-        save_parquet(df, path)
+    if isinstance(out, str):
+        version = publish(spark, out, dict(zip(RESULTS, frames)))
+        paths = [version_path(out, version, name) for name in RESULTS]
+    else:
+        paths = [out.country, out.monthly, out.supplier, out.supplier_market, out.world, out.cancellation]
+        save_all(list(zip(frames, paths)))
 
     inputs = [
         _written_count(spark, enriched_input_path),
@@ -159,9 +171,9 @@ def aggregation_job(
     counts = list(zip(AGGREGATION_STEPS, inputs))
     if world is not None:
         counts.append((AGGREGATION_STEPS[3], world.count()))
-    counts += [(name, _written_count(spark, path)) for name, path in list(zip(names, paths))[: 4 if world is None else 6]]
+    counts += [(name, _written_count(spark, path)) for name, path in list(zip(RESULTS, paths))[: 4 if world is None else 6]]
     audit = audit_frame(spark, counts)
-    save_audit(audit, audit_path(out.country, "country_sales", "aggregations_job"))
+    save_audit(audit, audit_path(paths[0], "country_sales", "aggregations_job"))
     return audit
 
 
@@ -180,7 +192,7 @@ def run_aggregation_job(spark: SparkSession, cfg: AggregationJobConfig) -> DataF
         load_source(spark, cfg.retail_source),
         load_source(spark, cfg.supplier_source, SUPPLIER),
         cfg.mapping_source,
-        out,
+        cfg.publish_root or out,
         cfg.market_country,
         cfg.market_year,
     )

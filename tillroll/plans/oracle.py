@@ -428,6 +428,35 @@ UNION ALL SELECT 'top', (SELECT Continent FROM c WHERE Continent IS NOT NULL ORD
     q["parquet_roundtrip"] = q["country_sales"]
     q["csv_header_roundtrip"] = q["monthly_sales"]
     q["json_counts_roundtrip"] = q["cleaning_waterfall"]
+    q["csv_quoted_roundtrip"] = _with(LINES, RETAIL) + """
+SELECT InvoiceNo, StockCode,
+       CASE Quantity % 5 WHEN 0 THEN 'SIGN "' || Description || '", LARGE'
+                         WHEN 1 THEN Description || chr(10) || 'second line, with a comma'
+                         WHEN 2 THEN '"' || Description || '"'
+                         WHEN 3 THEN Description || ' ' || chr(92) || '" '
+                         ELSE Description END AS Description,
+       Quantity, UnitPrice, CustomerID, Country FROM retail"""
+    q["csv_accepted_rows"] = _with(LINES, RETAIL) + """
+SELECT InvoiceNo, StockCode,
+       CASE WHEN Quantity % 10 = 1 THEN Description || ', "A1"' || chr(10) || 'second line' ELSE Description END AS Description,
+       Quantity, InvoiceDate, UnitPrice, CustomerID, Country
+FROM retail WHERE Quantity % 10 NOT IN (0, 2, 3, 4)"""
+    q["csv_rejected_records"] = _with(LINES, RETAIL) + """
+, t AS (SELECT *, Quantity % 10 AS q, strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S') AS d FROM retail WHERE Quantity % 10 IN (0, 2, 3, 4))
+SELECT CASE q WHEN 0 THEN 'not 8 fields' WHEN 2 THEN 'Quantity is no int: two' WHEN 3 THEN 'UnitPrice is no double: 12,50'
+              ELSE 'InvoiceDate is no timestamp_ntz: not a date; UnitPrice is no double: 12,50' END AS reject_reason,
+       concat_ws(',', InvoiceNo, StockCode, CASE WHEN q = 0 THEN Description || ', LARGE' ELSE Description END,
+                 CASE WHEN q = 2 THEN 'two' ELSE CAST(Quantity AS VARCHAR) END, CASE WHEN q = 4 THEN 'not a date' ELSE d END,
+                 CASE WHEN q IN (3, 4) THEN '"12,50"' ELSE CAST(UnitPrice AS VARCHAR) END, CAST(CustomerID AS VARCHAR), Country) AS reject_record
+FROM t"""
+    q["published_results"] = _with(*ENRICHED_CTES, MAPPING, BRIDGE) + f"""
+SELECT 'country_sales' AS result, Country AS key, round(sum(TotalAmount), 2) AS value FROM enriched GROUP BY Country
+UNION ALL SELECT 'monthly_stats', strftime(InvoiceDate, '%Y-%m'), round(sum(TotalAmount), 2) FROM enriched GROUP BY 2
+UNION ALL SELECT 'supplier_sales', SupplierID, TotalAmount FROM ({_SUPPLIER_SALES.format(src="enriched", bridge="bridge")})
+UNION ALL SELECT 'supplier_uk_2011', SupplierID, TotalAmount FROM ({_SUPPLIER_SALES.format(src=f"({_MARKET})", bridge="bridge")})
+UNION ALL SELECT 'continent_sales', Continent, TotalAmount FROM ({continents})
+UNION ALL SELECT 'cancellations_by_continent', m.Continent, CAST(count(DISTINCT r.InvoiceNo) AS DOUBLE)
+  FROM retail r LEFT JOIN mapping m ON trim(r.Country) = m.Country WHERE starts_with(upper(r.InvoiceNo), 'C') GROUP BY m.Continent"""
     q["run_manifest_classified"] = _with(*ENRICHED_CTES, MAPPING, BRIDGE) + f"""
 SELECT 'enriched' AS destination,
        'InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country,TotalAmount' AS columns,

@@ -12,9 +12,13 @@ from pyspark.sql import types as T
 
 from tillroll.functions.columns import normalize_headers
 from tillroll.schemas import AUDIT
+from tillroll.sources.footers import listed_files
 
 CATALOG_PREFIX = "catalog:"
 
+#: A quote inside a quoted field is doubled, and such a field may hold line feeds.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+
 
 def load_catalog_table(spark: SparkSession, table_name: str, database: str | None = None) -> DataFrame:
     """A table registered in the session catalog (Hive metastore or other)."""
@@ -38,10 +42,24 @@ def load_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return df if schema is None else conform(df, schema, path)
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header row, read as text (no inference pass over the data).
-    With a schema, columns are selected by their header and cast."""
-    df = spark.read.option("header", "true").csv(path)
+def csv_reader(spark: SparkSession, multiline: bool = True):
+    """Reader of CSV with a header row and quoted fields.
+
+    With ``multiline`` a quoted field may hold line feeds; a file is then read
+    by one task from its beginning, so large exports should come as many files.
+    Without it Spark splits files, and a line feed always ends a row. Where
+    rows end with CR LF, one inside a field is read as a line feed.
+    """
+    return spark.read.options(header="true", multiLine=str(multiline).lower(), **CSV_QUOTING)
+
+
+def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
+    """CSV with a header row, read as text (no inference pass over the data);
+    quoted fields may hold commas, doubled quotes and line feeds, and an empty
+    field is null, quoted or not. With a
+    schema, columns are selected by their header and cast; see
+    :mod:`tillroll.sources.quarantine` for rows that do not fit."""
+    df = csv_reader(spark, multiline).csv(path)
     return df if schema is None else conform(df, schema, path)
 
 
@@ -70,19 +88,10 @@ def load_optional(spark: SparkSession, source: str | None, schema: T.StructType
         raise
 
 
-def parquet_files(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """(path, modificationTime) of the Parquet files of a folder, from Spark's
-    own listing; no content is read."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    return reader.load(folder).select("path", "modificationTime")
-
-
 def load_result_dir(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
     """All Parquet files under ``folder`` (sub-folders included); an error
     when there are none."""
-    if parquet_files(spark, folder, recursive=True).isEmpty():
+    if listed_files(spark, folder, recursive=True).isEmpty():
         raise FileNotFoundError(f"no parquet in {folder}")
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(folder)
     return df if schema is None else conform(df, schema, folder)

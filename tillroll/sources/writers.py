@@ -3,10 +3,13 @@ path next to a data path."""
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import urlparse, urlunparse
 
 from pyspark.sql import DataFrame
 
+from tillroll.sources.readers import CSV_QUOTING
+
 
 def save_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Overwrite ``path``. The write goes through Spark's commit protocol, so
@@ -18,6 +21,33 @@ def save_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None
     writer.parquet(path)
 
 
+def save_all(results: list[tuple[DataFrame, str]]) -> None:
+    """Overwrite several paths, none of them before all frames are written.
+
+    Each frame goes to a folder beside its path; then the folders are renamed.
+    A failing write leaves every path as it was. The renames are quick but
+    separate: for one atomic step, see :mod:`tillroll.sources.publication`.
+    """
+    if not results:
+        return
+    spark = results[0][0].sparkSession
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    tag = uuid.uuid4().hex[:12]
+    staged = [(path.rstrip("/"), f"{path.rstrip('/')}.staged-{tag}") for _, path in results]
+    conf = spark._jsc.hadoopConfiguration()
+    try:
+        for (df, _), (_, beside) in zip(results, staged):
+            df.write.parquet(beside)
+        for path, beside in staged:
+            system = path_of(path).getFileSystem(conf)
+            system.delete(path_of(path), True)
+            if not system.rename(path_of(beside), path_of(path)):
+                raise OSError(f"cannot rename {beside} to {path}")
+    finally:
+        for path, beside in staged:
+            path_of(beside).getFileSystem(conf).delete(path_of(beside), True)
+
+
 def save_parquet_guarded(df: DataFrame, path: str) -> None:
     """As :func:`save_parquet`, but an empty frame is an error."""
     if df.isEmpty():
@@ -30,9 +60,17 @@ def save_audit(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def save_csv(df: DataFrame, path: str) -> None:
+    """Overwrite ``path`` with CSV files, each with a header; a field with a
+    comma, quote or line feed is quoted and its quotes are doubled, as other
+    CSV readers expect. Blanks around a text stay."""
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode("overwrite").options(header="true", **CSV_QUOTING, **spaces).csv(path)
+
+
 def export_csv_preview(df: DataFrame, path: str, n: int = 10) -> None:
-    """First ``n`` rows as CSV with a header."""
-    df.limit(n).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    """First ``n`` rows as one CSV file with a header."""
+    save_csv(df.limit(n).coalesce(1), path)
 
 
 def audit_path(data_path: str, marker: str, job: str) -> str:
