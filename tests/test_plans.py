@@ -21,6 +21,8 @@ WRITING = {
     "result_dir_scan", "csv_preview_roundtrip", "single_machine_save", "cleaning_job_audit", "enrich_job",
     "aggregation_job_audit", "all_in_one_answers", "optional_sources", "csv_quoted_roundtrip", "csv_accepted_rows",
     "csv_rejected_records", "published_results", "catalog_table_scan",
+    "supplier_sales_by_month_layout", "sales_of_listed_months", "clustered_market_lines", "supplier_sales_colocated",
+    "stored_invoice_counts", "incremental_distinct_lines",
 }
 
 

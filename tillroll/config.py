@@ -92,6 +92,7 @@ class EnrichJobConfig:
 
     cleaned_input_path: str
     enriched_output_path: str
+    by_month: bool = False
 
 
 @dataclass(frozen=True)

@@ -40,7 +40,7 @@ def invoice_grain(enriched: DataFrame) -> DataFrame:
     from which the country, month, supplier, market and continent results all
     follow. The grain is accepted by these functions in place of the lines."""
     return enriched.groupBy(
-        "Country", month_bucket("InvoiceDate").alias("InvoiceMonth"), F.col("InvoiceNo").cast("string").alias("InvoiceNo")
+        "Country", _month(enriched), F.col("InvoiceNo").cast("string").alias("InvoiceNo")
     ).agg(F.sum("TotalAmount").alias("TotalAmount"))
 
 
@@ -91,7 +91,7 @@ def aggregate_monthly_data(enriched: DataFrame, rounded: bool = True) -> DataFra
 # --- A3 / A4 ------------------------------------------------------------------
 
 
-def _supplier_contributions(enriched: DataFrame, supplier: DataFrame, keep_unmatched: bool) -> DataFrame:
+def supplier_contributions(enriched: DataFrame, supplier: DataFrame, keep_unmatched: bool) -> DataFrame:
     """(SupplierID, amount) rows whose per-supplier sum equals the sum of
     ``lines LEFT JOIN bridge`` grouped by supplier.
 
@@ -143,7 +143,7 @@ def aggregate_supplier_data(enriched: DataFrame, supplier: DataFrame) -> DataFra
     """Sales per supplier through the invoice bridge; invoices without a
     supplier form the null group. Largest first."""
     return (
-        _supplier_contributions(enriched, supplier, keep_unmatched=True)
+        supplier_contributions(enriched, supplier, keep_unmatched=True)
         .groupBy("SupplierID")
         .agg(_money(F.col("amount")).alias("TotalAmount"))
         .orderBy(F.desc("TotalAmount"))
@@ -153,7 +153,7 @@ def aggregate_supplier_data(enriched: DataFrame, supplier: DataFrame) -> DataFra
 def aggregate_supplier_data_matched_only(enriched: DataFrame, supplier: DataFrame) -> DataFrame:
     """Single-machine form: raw sums, and no null supplier group."""
     return (
-        _supplier_contributions(enriched, supplier, keep_unmatched=False)
+        supplier_contributions(enriched, supplier, keep_unmatched=False)
         .filter(F.col("SupplierID").isNotNull())
         .groupBy("SupplierID")
         .agg(F.sum("amount").alias("TotalAmount"))

@@ -7,6 +7,7 @@ whole tables. The matching DuckDB statements are in :mod:`tillroll.plans.oracle`
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
 from collections.abc import Callable
 
@@ -24,7 +25,7 @@ from tillroll.functions.columns import (
     trimmed_text,
 )
 from tillroll.operators import aggregates as agg
-from tillroll.operators import cleaning, enrich, quality
+from tillroll.operators import cleaning, enrich, incremental, quality
 from tillroll.operators.joins import normalize_mapping, normalize_supplier, with_continent, with_supplier
 from tillroll.operators.ranking import preview
 from tillroll.plans import jobs
@@ -32,7 +33,7 @@ from tillroll.plans.params import BEST_PRODUCT_COUNTRY, CHART_TOP_N, MARKET_COUN
 from tillroll.schemas import AUDIT, COUNTRY_SALES, ENRICHED, MONTHLY_SALES, RETAIL
 from tillroll.session import shared_dir
 from tillroll.sources import driver_views as views
-from tillroll.sources import quarantine
+from tillroll.sources import layouts, quarantine
 from tillroll.sources.publication import load_published, published_version
 from tillroll.sources.readers import audit_frame, load_csv, load_optional, load_parquet, load_result_dir, load_source
 from tillroll.sources.writers import audit_path, export_csv_preview, save_audit, save_csv, save_parquet
@@ -206,11 +207,18 @@ def _csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_csv(spark, path, COUNTRY_SALES)
 
 
+def _database(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The query's database, in its work folder."""
+    path = _work_dir(spark, sf_dir, name)
+    database = f"tillroll_{name}_{zlib.crc32(path.encode()):08x}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{path}'")
+    return database
+
+
 def _catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country sales of lines stored as a table of a database and found through
     the session catalog (S1)."""
-    database = "tillroll_" + zlib.crc32(_work_dir(spark, sf_dir, "catalog").encode()).to_bytes(4, "big").hex()
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{_work_dir(spark, sf_dir, 'catalog')}'")
+    database = _database(spark, sf_dir, "catalog")
     enriched(spark, sf_dir).write.mode("overwrite").format("parquet").saveAsTable(f"{database}.enriched")
     return agg.group_by_country(load_source(spark, f"catalog:{database}.enriched", ENRICHED))
 
@@ -300,6 +308,75 @@ def _published_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _stored_by_month(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The enriched lines, stored by month; the later half of them in a second run."""
+    path = _work_dir(spark, sf_dir, name)
+    lines = enriched(spark, sf_dir)
+    save_parquet(lines, path + "-plain")
+    lines = load_parquet(spark, path + "-plain", ENRICHED)
+    layouts.save_by_month(lines, path)
+    layouts.save_by_month(lines.filter(F.col("InvoiceDate") >= F.lit(f"{MARKET_YEAR}-01-01").cast("timestamp_ntz")), path)
+    return layouts.load_by_month(spark, path, ENRICHED)
+
+
+def _market_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The market's supplier sales from lines stored by month (F7, K1): the
+    year prunes partitions."""
+    return agg.aggregate_supplier_market(_stored_by_month(spark, sf_dir, "by-month"), views.bridge(spark, sf_dir), MARKET_COUNTRY, MARKET_YEAR)
+
+
+def _urgent_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country sales of the months that a table lists (here those of large
+    orders): the listed months prune partitions while the query runs."""
+    orders = views.table(spark, sf_dir, "orders")
+    months = orders.filter(F.col("o_totalprice") >= 480_000).select(F.date_format("o_orderdate", "yyyy-MM").alias(layouts.MONTH))
+    return agg.group_by_country(layouts.lines_of_months(_stored_by_month(spark, sf_dir, "urgent-months"), months))
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlier bounds and market over clustered lines (F6, F7): row groups are
+    skipped by country, date and price."""
+    path = _work_dir(spark, sf_dir, "clustered")
+    layouts.save_clustered(enriched(spark, sf_dir), path, ["Country", "InvoiceDate", "UnitPrice"])
+    lines = agg.filter_country_year(load_parquet(spark, path, ENRICHED), MARKET_COUNTRY, MARKET_YEAR)
+    return cleaning.filter_outliers(lines, (1, 30), (950.0, 1500.0))
+
+
+def _colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier sales over lines and bridge bucketed by invoice (J1, A3); small
+    limits, so that some invoices are stored apart."""
+    name = _database(spark, sf_dir, "colocated") + ".invoices"
+    layouts.save_colocated(enriched(spark, sf_dir), views.bridge_fanout(spark, sf_dir), name, buckets=8, hot_rows=6)
+    return layouts.colocated_supplier_sales(spark, name)
+
+
+def _stored_invoice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct invoices per country, month and hour from stored bitmaps (A1,
+    A2, A8), after one run for the early lines and one for the others."""
+    root = _work_dir(spark, sf_dir, "invoice-state")
+    lines = cleaning.clean_standard(views.dirty(spark, sf_dir))
+    save_parquet(lines, os.path.join(root, "lines"))
+    lines = load_parquet(spark, os.path.join(root, "lines"))
+    early = F.col("InvoiceDate") < F.lit(f"{MARKET_YEAR}-06-01").cast("timestamp_ntz")
+    for part in (early, ~early):
+        incremental.update_invoice_state(lines.filter(part), root)
+    return incremental.stored_invoice_counts(spark, root)
+
+
+def _incremental_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct lines kept up to date (A11): the lines of two thirds of the
+    invoices, then those of two other thirds, half of which are known."""
+    root = _work_dir(spark, sf_dir, "distinct-history")
+    folder = os.path.join(root, uuid.uuid4().hex)
+    lines = cleaning.normalize_types(views.dirty(spark, sf_dir))
+    save_parquet(lines, os.path.join(folder, "lines"))
+    lines = load_parquet(spark, os.path.join(folder, "lines"))
+    third = F.pmod(F.crc32("InvoiceNo"), F.lit(3))
+    for name, parts in (("first", (0, 1)), ("second", (1, 2))):
+        incremental.add_new_lines(lines.filter(third.isin(*parts)), os.path.join(folder, "kept"), name)
+    return layouts.load_by_month(spark, os.path.join(folder, "kept", "history"), RETAIL).drop(layouts.MONTH)
+
+
 def _all_in_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scalar answers of the all-in-one run."""
     answers = jobs.run_all_on_driver_tables(spark, sf_dir, _work_dir(spark, sf_dir, "all-in-one"))["answers"]
@@ -451,6 +528,12 @@ def queries() -> dict[str, Query]:
     q["csv_accepted_rows"] = _csv_accepted
     q["csv_rejected_records"] = _csv_rejected
     q["published_results"] = _published_results
+    q["supplier_sales_by_month_layout"] = _market_by_month
+    q["sales_of_listed_months"] = _urgent_months
+    q["clustered_market_lines"] = _clustered
+    q["supplier_sales_colocated"] = _colocated
+    q["stored_invoice_counts"] = _stored_invoice_counts
+    q["incremental_distinct_lines"] = _incremental_distinct
     q["catalog_table_scan"] = _catalog_scan
     q["result_dir_scan"] = _result_dir_scan
     q["optional_sources"] = _optional_sources

@@ -29,7 +29,8 @@ from tillroll.operators.joins import with_continent
 from tillroll.operators.quality import cleaning_conditions, distinct_with_copies, waterfall_counters
 from tillroll.schemas import CANCELLATIONS, CONTINENT_SALES, ENRICHED, MAPPING, RETAIL_COLUMNS, SUPPLIER
 from tillroll.session import shared_dir
-from tillroll.sources.readers import audit_frame, load_parquet, load_source
+from tillroll.sources.readers import audit_frame, conform, load_parquet, load_source
+from tillroll.sources.layouts import MONTH, load_by_month, save_by_month
 from tillroll.sources.publication import publish, version_path
 from tillroll.sources.writers import audit_path, save_all, save_audit, save_parquet, save_parquet_guarded
 
@@ -78,10 +79,13 @@ def run_cleaning_job(spark: SparkSession, cfg: CleaningJobConfig) -> DataFrame:
 # --- job 2 --------------------------------------------------------------------
 
 
-def enrich_job(spark: SparkSession, cleaned_input_path: str, enriched_output_path: str) -> DataFrame:
-    """Cleaned Parquet -> TotalAmount -> enriched Parquet, and the audit."""
+def enrich_job(spark: SparkSession, cleaned_input_path: str, enriched_output_path: str, by_month: bool = False) -> DataFrame:
+    """Cleaned Parquet -> TotalAmount -> enriched Parquet, and the audit. With
+    ``by_month`` the lines are partitioned by month and only the months at hand
+    are replaced."""
     cleaned = load_parquet(spark, cleaned_input_path)
-    save_parquet(total_amount(cleaned), enriched_output_path)
+    save = save_by_month if by_month else save_parquet
+    save(total_amount(cleaned), enriched_output_path)
     audit = audit_frame(
         spark,
         [
@@ -94,7 +98,7 @@ def enrich_job(spark: SparkSession, cleaned_input_path: str, enriched_output_pat
 
 
 def run_enrich_job(spark: SparkSession, cfg: EnrichJobConfig) -> DataFrame:
-    return enrich_job(spark, cfg.cleaned_input_path, cfg.enriched_output_path)
+    return enrich_job(spark, cfg.cleaned_input_path, cfg.enriched_output_path, cfg.by_month)
 
 
 # --- job 3 --------------------------------------------------------------------
@@ -140,7 +144,9 @@ def aggregation_job(
     earlier run stays, and are left out of the audit; a mapping that is named
     but absent is an error. ``raw_count``, when the caller already knows it
     (the cleaning audit), saves a second pass over the raw lines."""
-    enriched = load_parquet(spark, enriched_input_path, ENRICHED)
+    # Lines stored by month keep that column, so the market's year prunes partitions.
+    stored = load_parquet(spark, enriched_input_path)
+    enriched = load_by_month(spark, enriched_input_path, ENRICHED) if MONTH in stored.columns else conform(stored, ENRICHED, enriched_input_path)
     raw = _frame(spark, retail)
     bridge = _frame(spark, supplier, SUPPLIER)
     world = None if mapping is None else _frame(spark, mapping, MAPPING)

@@ -449,6 +449,18 @@ SELECT CASE q WHEN 0 THEN 'not 8 fields' WHEN 2 THEN 'Quantity is no int: two' W
                  CASE WHEN q = 2 THEN 'two' ELSE CAST(Quantity AS VARCHAR) END, CASE WHEN q = 4 THEN 'not a date' ELSE d END,
                  CASE WHEN q IN (3, 4) THEN '"12,50"' ELSE CAST(UnitPrice AS VARCHAR) END, CAST(CustomerID AS VARCHAR), Country) AS reject_record
 FROM t"""
+    q["supplier_sales_by_month_layout"] = q["supplier_sales_country_year"]
+    q["sales_of_listed_months"] = e + """
+SELECT Country, round(sum(TotalAmount), 2) AS TotalAmount, count(DISTINCT InvoiceNo) AS TransactionCount
+FROM enriched WHERE strftime(InvoiceDate, '%Y-%m') IN (SELECT strftime(o_orderdate, '%Y-%m') FROM orders WHERE o_totalprice >= 480000)
+GROUP BY Country"""
+    q["clustered_market_lines"] = e + f"{_MARKET} AND Quantity BETWEEN 1 AND 30 AND UnitPrice BETWEEN 950 AND 1500"
+    q["supplier_sales_colocated"] = q["supplier_sales_fanout"]
+    q["stored_invoice_counts"] = dc + """
+SELECT 'country' AS dimension, Country AS value, count(DISTINCT InvoiceNo) AS invoices FROM cleaned GROUP BY Country
+UNION ALL SELECT 'month', strftime(InvoiceDate, '%Y-%m'), count(DISTINCT InvoiceNo) FROM cleaned GROUP BY 2
+UNION ALL SELECT 'hour', CAST(hour(InvoiceDate) AS VARCHAR), count(DISTINCT InvoiceNo) FROM cleaned GROUP BY 2"""
+    q["incremental_distinct_lines"] = d + "SELECT DISTINCT * FROM norm WHERE InvoiceNo IS NOT NULL"
     q["published_results"] = _with(*ENRICHED_CTES, MAPPING, BRIDGE) + f"""
 SELECT 'country_sales' AS result, Country AS key, round(sum(TotalAmount), 2) AS value FROM enriched GROUP BY Country
 UNION ALL SELECT 'monthly_stats', strftime(InvoiceDate, '%Y-%m'), round(sum(TotalAmount), 2) FROM enriched GROUP BY 2

@@ -32,6 +32,9 @@ def parser() -> argparse.ArgumentParser:
         for f in fields(config):
             if f.name == "rules":
                 continue  # the rules have their defaults here; a program may pass others
+            if f.type == "bool":
+                job.add_argument("--" + f.name.replace("_", "-"), dest=f.name, action="store_true")
+                continue
             optional = "None" in str(f.type)
             default = None if f.default is MISSING else f.default
             kind = int if f.type == "int" else str

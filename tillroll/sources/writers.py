@@ -11,14 +11,12 @@ from pyspark.sql import DataFrame
 from tillroll.sources.readers import CSV_QUOTING
 
 
-def save_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def save_parquet(df: DataFrame, path: str) -> None:
     """Overwrite ``path``. The write goes through Spark's commit protocol, so
     a lost executor only re-runs its tasks and a re-run job replaces the
-    output instead of appending to it."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    output instead of appending to it. (For lines by month, see
+    :mod:`tillroll.sources.layouts`.)"""
+    df.write.mode("overwrite").parquet(path)
 
 
 def save_all(results: list[tuple[DataFrame, str]]) -> None:
