@@ -11,9 +11,10 @@ them over the whole corpus exactly.
 Every scan turns texts into word numbers in Arrow and numpy and adds up equal
 phrases of a slice before they are shuffled. What a scan must know of the level
 below (frequent words, then candidates) reaches it as a bitmap of ``BITS`` bits
-with one bit per hashed phrase: its size is fixed, and a foreign phrase that
-shares a bit is counted for nothing but never changes a result, because counts
-are kept by phrase and held against the support at the end.
+with one bit per phrase, whatever the corpus holds. Shards are mined under
+64-bit names of phrases, half the size of the phrases. Phrases that share a
+name or a bit can only make a shard or a scan count too much: the last scan
+counts by phrase, and what falls short of the support is dropped there.
 
 Counts are exact, ``least`` is an absolute number of occurrences, overlaps
 count. The score of a candidate with a occurrences, cut after k words into
@@ -37,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import release_memory, settled, splittable_join, text_slices
+from tillroll.llm.common import drop_unused, release_memory, settled, splittable_join, text_slices
 
 UND = "und"
 #: Bits of the bitmap that says which phrases the level below left: 16 MB, whatever the corpus.
@@ -88,29 +89,28 @@ def hashed(strings) -> np.ndarray:
     return pd.util.hash_array(np.asarray(strings, dtype=object), categorize=False) if len(strings) else np.empty(0, np.uint64)
 
 
-def places(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    """The bit of each phrase, from the hashes of its language and words."""
+def names_of(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """The 64-bit name of each phrase, from the hashes of its language and words."""
     h = lang
     for w in words:
         h = mixed(h, w)
-    return (h % np.uint64(BITS)).astype(np.int64)
+    return h.view(np.int64)
 
 
-def bitmap(phrases: DataFrame) -> np.ndarray:
-    """One bit per (lang, phrase): ``BITS`` / 32,768 rows of 4 KB at most reach the driver."""
+def named(words: DataFrame) -> DataFrame:
+    """The names of words (lang, phrase)."""
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = pc.split_pattern(batch.column(1), " ").to_pylist()
-            lang = hashed(batch.column(0).to_pylist())
-            size = np.array([len(w) for w in words])
-            at = np.empty(len(words), np.int64)
-            for n in np.unique(size).tolist():
-                own = np.flatnonzero(size == n)
-                at[own] = places(lang[own], [hashed([words[i][k] for i in own]) for k in range(n)])
-            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
-
-    at = phrases.select("lang", "phrase").mapInArrow(bits, "at long")
+            lang, word = (hashed(batch.column(i).to_pylist()) for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(names_of(lang, [word]))], names=["name"])
+
+    return words.select("lang", "phrase").mapInArrow(name, "name long")
+
+
+def bitmap(names: DataFrame) -> np.ndarray:
+    """The bits of phrases' names: ``BITS`` / 32,768 rows of 4 KB at most reach the driver."""
+    at = names.select(F.col("name").bitwiseAND(F.lit(BITS - 1)).alias("at"))
     rows = at.groupBy(F.shiftright("at", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits")).collect()
     out = np.zeros(BITS // 8, np.uint8)
     for r in rows:
@@ -119,17 +119,19 @@ def bitmap(phrases: DataFrame) -> np.ndarray:
     return out
 
 
-def held(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def held(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    at = names & (BITS - 1)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def scan(docs: DataFrame, sizes: list[int], below: dict[int, "object"], by_shard: bool, shards: int) -> DataFrame:
-    """Partial counts (lang, shard, size, phrase, n) of the phrases of ``sizes``.
+def scan(docs: DataFrame, sizes: list[int], below: dict[int, "object"], by_shard: bool) -> DataFrame:
+    """Partial counts (lang, shard, size, phrase, name, n) of the phrases of ``sizes``.
 
     ``below[k]`` is the broadcast bitmap of the phrases of k words that count:
     a phrase that ``below`` covers must have its bit, and a longer one those of
     its two parts of the longest size covered. Size 0 counts the words.
-    ``docs`` is (lang, text, shard); without ``by_shard`` the shard is null.
+    ``docs`` is (lang, text, shard). Counts by shard have the phrase's name
+    instead of the phrase; others have no shard.
     """
     top = max(sizes)
 
@@ -154,7 +156,7 @@ def scan(docs: DataFrame, sizes: list[int], below: dict[int, "object"], by_shard
         ident = of * len(vocab) + code  # phrases of one word and owner
         good = np.ones(n, bool)
         if 0 in sizes:
-            yield rows(0, None, np.bincount(of, minlength=len(key)), np.arange(len(key)), key)
+            yield rows(0, None, None, np.bincount(of, minlength=len(key)), np.arange(len(key)), key)
         for k in range(1, top + 1):
             if k > 1:
                 if n < k:
@@ -165,17 +167,20 @@ def scan(docs: DataFrame, sizes: list[int], below: dict[int, "object"], by_shard
             ident = pd.factorize(ident)[0].astype(np.int64)
             if k in known:
                 where = np.flatnonzero(good)
-                good[where] = held(known[k], places(lang_hash[where], [word_hash[where + i] for i in range(k)]))
+                good[where] = held(known[k], names_of(lang_hash[where], [word_hash[where + i] for i in range(k)]))
             if k in sizes:
                 where = np.flatnonzero(good)
                 number, times = np.unique(ident[where], return_counts=True)
                 first = np.empty(ident.max() + 1, np.int64)
                 first[ident[where]] = where
                 at = first[number]
-                words = [vocab.take(pa.array(code[at + i])) for i in range(k)]
-                yield rows(k, pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())), times, of[at], key)
+                if by_shard:
+                    yield rows(k, None, names_of(lang_hash[at], [word_hash[at + i] for i in range(k)]), times, of[at], key)
+                else:
+                    words = [vocab.take(pa.array(code[at + i])) for i in range(k)]
+                    yield rows(k, pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())), None, times, of[at], key)
 
-    def rows(size, phrase, times, of, key) -> pa.RecordBatch:
+    def rows(size, phrase, name, times, of, key) -> pa.RecordBatch:
         names, shard = pa.array([k[0] for k in key], pa.string()), pa.array([k[1] for k in key], pa.int32())
         m = len(times)
         return pa.RecordBatch.from_arrays(
@@ -184,12 +189,13 @@ def scan(docs: DataFrame, sizes: list[int], below: dict[int, "object"], by_shard
                 shard.take(pa.array(of)) if by_shard or not size else pa.nulls(m, pa.int32()),
                 pa.array(np.full(m, size, np.int32)),
                 pa.nulls(m, pa.string()) if phrase is None else phrase.cast(pa.string()),
+                pa.nulls(m, pa.int64()) if name is None else pa.array(name),
                 pa.array(np.asarray(times, np.int64)),
             ],
-            names=["lang", "shard", "size", "phrase", "n"],
+            names=["lang", "shard", "size", "phrase", "name", "n"],
         )
 
-    return docs.mapInArrow(count, "lang string, shard int, size int, phrase string, n long")
+    return docs.mapInArrow(count, "lang string, shard int, size int, phrase string, name long, n long")
 
 
 def summed(partial: DataFrame, *keys: str) -> DataFrame:
@@ -201,13 +207,13 @@ def exact(column: Column) -> Column:
 
 
 def locally_frequent(mined: DataFrame, words: DataFrame, least: int) -> DataFrame:
-    """Phrases (lang, phrase) with a shard where n / n_shard is ``least`` / n_lang or more; ``words`` is (lang, shard, n)."""
+    """Names of phrases with a shard where n / n_shard is ``least`` / n_lang or more; ``words`` is (lang, shard, n)."""
     whole = summed(words, "lang").withColumnRenamed("n", "n_lang")
     sizes = words.withColumnRenamed("n", "n_shard").join(whole, "lang")
     if len(sizes.limit(SIZES + 1).collect()) <= SIZES:  # shards x languages
         sizes = F.broadcast(sizes)
     rows = mined.join(sizes, ["lang", "shard"]).filter(exact(F.col("n")) * exact(F.col("n_lang")) >= exact(F.col("n_shard")) * least)
-    return rows.select("lang", "phrase").distinct()
+    return rows.select("name").distinct()
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3, least: int = 10, shards: int = 4) -> tuple[DataFrame, DataFrame]:
@@ -215,20 +221,25 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", longe
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UND)).alias("lang"), F.col(text).alias("text"), (F.spark_partition_id() % shards).alias("shard"))
 
-    def known(phrases: DataFrame):
-        return spark.sparkContext.broadcast(bitmap(phrases))
+    def known(names: DataFrame):
+        return spark.sparkContext.broadcast(bitmap(names))
 
-    first = settled(summed(scan(rows, [0, 1], {}, False, shards), "lang", "shard", "size", "phrase").filter(f"size = 0 or n >= {least}"))
+    first = settled(summed(scan(rows, [0, 1], {}, False), "lang", "shard", "size", "phrase").filter(f"size = 0 or n >= {least}"))
     words = first.filter("size = 0").select("lang", "shard", "n")
-    below = {1: known(first.filter("size = 1"))}
-    candidates = {}
-    for k in range(2, longest + 1):
-        mined = summed(scan(rows, [k], below, True, shards), "lang", "shard", "phrase")
-        candidates[k] = settled(locally_frequent(mined, words, least))
-        below[k] = known(candidates[k])
-    # Candidates of every length in one scan; what shares a bit with one falls short of the support.
-    counts = summed(scan(rows, list(candidates), below, False, shards), "lang", "size", "phrase").filter(F.col("n") >= least)
-    phrases = settled(first.filter("size = 1").select("lang", "size", "phrase", "n").unionByName(counts)) if candidates else first.filter("size = 1")
+    below = {1: known(named(first.filter("size = 1")))}
+    lengths = list(range(2, longest + 1))
+    for k in lengths:
+        mined = summed(scan(rows, [k], below, True), "lang", "shard", "name")
+        below[k] = known(locally_frequent(mined, words, least))
+        del mined
+        drop_unused(spark)
+    # Candidates of every length in one scan; what shares a bit or a name with one falls short of the support.
+    phrases = first.filter("size = 1").select("lang", "size", "phrase", "n")
+    if lengths:
+        counts = summed(scan(rows, lengths, below, False), "lang", "size", "phrase").filter(F.col("n") >= least)
+        phrases = settled(phrases.unionByName(counts))
+        del counts
+        drop_unused(spark)
     return summed(words, "lang"), phrases.select("lang", "size", "phrase", F.col("n").alias("f"))
 
 

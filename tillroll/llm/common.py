@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
 
@@ -34,6 +35,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_unused(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nobody holds any more.
+
+    Its cleaner waits for the driver's garbage collector, which may not run
+    for half an hour; an operator of several passes asks for it in between.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def splittable_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join whose hot keys adaptive execution can split.
 
