@@ -60,20 +60,68 @@ CLUES = {
 AGAINST = "version ver v section isbn page pages figure price total chapter order sku"
 
 
+#: Items that a running fold goes through before it hands on: the work for n items is n times this at most.
+BLOCK = 256
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(items: Column, zero: Column, kind: str, step) -> Column:
+    """Outputs, of type ``kind``, of a fold over ``items``: ``step(state, item)`` gives (next state, output).
+
+    Appending to one growing array would copy it for every item. Outputs are
+    gathered in blocks instead, so that the work grows with the items.
+    """
+    def add(a: Column, x: Column) -> Column:
+        return bound(step(a["state"], x), lambda r: F.struct(r["state"].alias("state"), F.concat(a["out"], F.array(r["out"])).alias("out")))
+
+    def through(a: Column, some: Column) -> Column:
+        empty = F.struct(a["state"].alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(some, empty, add, lambda r: F.struct(r["state"].alias("state"), F.concat(a["out"], F.array(r["out"])).alias("out")))
+
+    def blocks(x: Column) -> Column:
+        last = F.floor((F.size(x) - 1) / BLOCK).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(x, i * BLOCK + 1, F.lit(BLOCK)))
+        none = F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        return F.flatten(F.aggregate(cut, none, through, lambda a: a["out"]))
+
+    return bound(items, lambda x: F.when(F.size(x) > 0, blocks(x)).otherwise(F.array().cast(f"array<{kind}>")))
+
+
+MATCH = "struct<start:int,end:int,match:string,before:string,after:string>"
+SPAN = "struct<start:int,back:int,order:int,kind:string,end:int,base:boolean,votes:array<tinyint>,features:array<string>>"
+SWEPT = f"struct<s:{SPAN},free:boolean>"
+#: Characters before a match that labelers and features look at.
+BEFORE = 24
+
+
 def located(text: Column, pattern: str) -> Column:
-    """All matches of ``pattern`` as (start, end, match), in code points."""
+    """All matches of ``pattern`` as (start, end, match, before, after): places in
+    code points, up to ``BEFORE`` characters before and one after. Work in proportion to the text."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.transform(F.split(text, pattern, -1), F.length)
-    pairs = F.arrays_zip(found.alias("m"), between.alias("skip"))
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    between = F.split(text, pattern, -1)  # one more than matches
 
-    def add(a: Column, x: Column) -> Column:
-        start = a["at"] + x["skip"]
+    def pairs(f: Column, skip: Column) -> Column:
+        following = F.slice(skip, F.lit(2), F.size(skip))
+        return F.arrays_zip(f.alias("m"), F.slice(skip, F.lit(1), F.size(f)).alias("skip"), following.alias("then"), F.slice(f, F.lit(2), F.size(f)).alias("next"))
+
+    def step(state: Column, x: Column) -> Column:
+        start = state["at"] + F.length(x["skip"])
         end = start + F.length(x["m"])
-        hit = F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match")))
-        return F.struct(F.coalesce(end, start).alias("at"), F.when(x["m"].isNull(), a["found"]).otherwise(F.concat(a["found"], hit)).alias("found"))
+        before = F.right(F.concat(state["tail"], F.right(x["skip"], F.lit(BEFORE))), F.lit(BEFORE))
+        after = F.substring(F.concat(F.substring(x["then"], 1, 1), F.substring(F.coalesce(x["next"], F.lit("")), 1, 1)), 1, 1)
+        tail = F.right(F.concat(before, F.right(x["m"], F.lit(BEFORE))), F.lit(BEFORE))
+        return F.struct(
+            F.struct(end.alias("at"), tail.alias("tail")).alias("state"),
+            F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match"), before.alias("before"), after.alias("after")).alias("out"),
+        )
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("found")), add, lambda a: a["found"])
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"))
+    none = F.array().cast(f"array<{MATCH}>")
+    return bound(found, lambda f: F.when(F.size(f) > 0, bound(between, lambda s: running(pairs(f, s), zero, MATCH, step))).otherwise(none))
 
 
 def digits(s: Column) -> Column:
@@ -131,19 +179,18 @@ def context_vote(kind: str, before: Column) -> Column:
     return vote(before.rlike(names(CLUES[kind])), before.rlike(names(AGAINST)))
 
 
-def described(kind: str, text: Column, spans: Column) -> Column:
+def described(kind: str, spans: Column) -> Column:
     """Spans of one kind with votes and features."""
     def describe(s: Column) -> Column:
-        before = F.substring(text, F.greatest(s["start"] - 24, F.lit(0)) + 1, F.least(s["start"], F.lit(24)))
-        left = F.substring(before, F.length(before), F.lit(1))
-        right = F.substring(text, s["end"] + 1, F.lit(1))
+        before, right = s["before"], s["after"]
+        left = F.right(before, F.lit(1))
         ok = valid(kind, s["match"])
         free = (left.rlike(r"^[\s(\[<\"'=:,;]?$")) & (right.rlike(r"^[\s)\]>\"',;.!?]?$"))
         size = F.length(s["match"])
         share = F.floor(F.length(digits(s["match"])) * 4 / size)
         word = F.regexp_extract(before, r"([^\s]+)\s*$", 1)
         return F.struct(
-            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+            s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(KINDS.index(kind)).alias("order"), F.lit(kind).alias("kind"), s["end"].alias("end"),
             (ok & F.lit(kind in BASE)).alias("base"),
             F.array(vote(ok, ~ok), gazetteer_vote(kind, s["match"]), context_vote(kind, before), vote(free, ~free)).alias("votes"),
             F.array(
@@ -162,26 +209,39 @@ def character_class(c: Column) -> Column:
     return F.when(c == "", "edge").when(c.rlike(r"\s"), "space").when(c.rlike("[0-9]"), "digit").when(c.rlike("[A-Za-z]"), "letter").otherwise("mark")
 
 
-def overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-
 def candidates(text: Column) -> Column:
-    """All candidate spans of a text: base kinds first, each kind by start."""
+    """All candidate spans of a text by start, then the longer one, then the kind."""
     text = F.coalesce(text, F.lit(""))
     possible = {
         "email": text.contains("@"), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9][ -]?[0-9]"),
         "phone": text.contains("+"), "secret": text.rlike("[=:]|AKIA|_|-"), "number": text.rlike(r"[0-9][ -]?[0-9]"),
     }
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    none = F.array().cast(f"array<{MATCH}>")
     patterns = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE, SECRET, NUMBER)))
-    return F.concat(*(described(k, text, F.when(possible[k], located(text, patterns[k])).otherwise(none)) for k in KINDS))
+    return F.array_sort(F.concat(*(described(k, F.when(possible[k], located(text, patterns[k])).otherwise(none)) for k in KINDS)))
 
 
 def only_candidates(spans: Column) -> Column:
-    """Base spans, failed base matches, and further spans that overlap none of the base spans."""
-    base = F.filter(spans, lambda s: s["base"])
-    return F.filter(spans, lambda s: s["base"] | ~F.exists(base, lambda b: overlaps(s, b)))
+    """Base spans, failed base matches, and further spans that overlap none of the base spans.
+
+    ``spans`` are by start. Of the base spans before one, the greatest end tells
+    whether any reaches it; of those behind it, the next start.
+    """
+    def forth(end: Column, s: Column) -> Column:
+        base_end = F.when(s["base"], F.greatest(end, s["end"])).otherwise(end)
+        return F.struct(base_end.alias("state"), F.struct(s.alias("s"), (s["base"] | (end <= s["start"])).alias("free")).alias("out"))
+
+    def back(start: Column, x: Column) -> Column:
+        s = x["s"]
+        base_start = F.when(s["base"], s["start"]).otherwise(start)
+        return F.struct(base_start.alias("state"), F.struct(s.alias("s"), (x["free"] & (s["base"] | (start >= s["end"]))).alias("free")).alias("out"))
+
+    def swept(found: Column) -> Column:
+        there = running(found, F.lit(0), SWEPT, forth)
+        both = running(F.reverse(there), F.lit(2**31 - 1), SWEPT, back)
+        return F.reverse(F.transform(F.filter(both, lambda x: x["free"]), lambda x: x["s"]))
+
+    return bound(spans, lambda f: F.when(F.exists(f, lambda s: s["base"]) & F.exists(f, lambda s: ~s["base"]), swept(f)).otherwise(f))
 
 
 def reliabilities(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 50) -> dict[tuple[str, tuple[int, ...]], float]:
@@ -219,27 +279,27 @@ def string_map(values: dict[str, float]) -> Column:
     return F.create_map(*(F.lit(x) for pair in sorted(values.items()) for x in pair)) if values else F.lit(None).cast("map<string,double>")
 
 
-def pattern_key(s: Column) -> Column:
-    return F.concat_ws(" ", s["kind"], *(s["votes"][j].cast("string") for j in range(len(LABELERS))))
-
-
 def trained(found: DataFrame, spans: str) -> Column:
-    """The final classifier as a function of a span: a column expression builder's log odds table.
+    """The final classifier: a map from "kind feature" to log odds, with "kind" alone for the prior.
 
-    Returns a map from "kind feature" to log odds, with "kind" alone for the prior.
+    One pass counts features by kind and votes; those counts, at most kinds x
+    3^4 patterns x a few hundred feature values, tell both the patterns'
+    probabilities and, weighted by these, the features' odds.
     """
     each = found.select(F.explode(spans).alias("s"))
-    rows = each.groupBy("s.kind", "s.votes").count().collect()  # kinds x 3^4 rows at most
-    post = reliabilities([(r["kind"], tuple(r["votes"]), r["count"]) for r in rows])
-    table = string_map({" ".join([k, *map(str, v)]): p for (k, v), p in post.items()})
-    soft = each.select(F.col("s.kind").alias("kind"), F.element_at(table, pattern_key(F.col("s"))).alias("p"), F.explode(F.concat(F.array(F.lit("")), F.col("s.features"))).alias("feature"))
-    sums = soft.groupBy("kind", "feature").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()  # kinds x feature values
-    total = {r["kind"]: (r["yes"], r["no"]) for r in sums if r["feature"] == ""}
-    odds = {k: math.log((yes + 1) / (no + 1)) for k, (yes, no) in total.items()}
-    for r in sums:
-        if r["feature"]:
-            yes, no = total[r["kind"]]
-            odds[f"{r['kind']} {r['feature']}"] = math.log((r["yes"] + 1) / (yes + 10)) - math.log((r["no"] + 1) / (no + 10))
+    pairs = each.select("s.kind", "s.votes", F.explode(F.concat(F.array(F.lit("")), F.col("s.features"))).alias("feature"))
+    rows = [(r["kind"], tuple(r["votes"]), r["feature"], r["count"]) for r in pairs.groupBy("kind", "votes", "feature").count().collect()]
+    post = reliabilities(sorted((k, v, n) for k, v, f, n in rows if f == ""))
+    sums: dict[tuple[str, str], list[float]] = {}
+    for k, v, f, n in sorted(rows):
+        both = sums.setdefault((k, f), [0.0, 0.0])
+        both[0] += n * post[k, v]
+        both[1] += n * (1 - post[k, v])
+    odds = {k: math.log((yes + 1) / (no + 1)) for (k, f), (yes, no) in sums.items() if f == ""}
+    for (k, f), (yes, no) in sums.items():
+        if f:
+            whole = sums[k, ""]
+            odds[f"{k} {f}"] = math.log((yes + 1) / (whole[0] + 10)) - math.log((no + 1) / (whole[1] + 10))
     return string_map(odds)
 
 
@@ -251,18 +311,22 @@ def accepted(spans: Column, odds: Column) -> Column:
 
     taken = F.filter(spans, lambda s: s["base"] | (~s["kind"].isin(*BASE) & (score(s) > 0)))
 
-    def beaten(s: Column) -> Column:
-        return F.exists(taken, lambda o: ~o["base"] & overlaps(s, o) & ((o["start"] < s["start"]) | ((o["start"] == s["start"]) & ((o["end"] > s["end"]) | ((o["end"] == s["end"]) & (o["kind"] > s["kind"]))))))
+    # By start, longer first: an earlier further span that reaches a later one beats it, itself beaten or not.
+    def forth(end: Column, s: Column) -> Column:
+        further = F.when(s["base"], end).otherwise(F.greatest(end, s["end"]))
+        return F.struct(further.alias("state"), F.struct(s.alias("s"), (s["base"] | (end <= s["start"])).alias("free")).alias("out"))
 
-    return F.filter(taken, lambda s: s["base"] | ~beaten(s))
+    def swept(found: Column) -> Column:
+        return F.transform(F.filter(running(found, F.lit(0), SWEPT, forth), lambda x: x["free"]), lambda x: x["s"])
+
+    return bound(taken, lambda t: F.when(F.size(F.filter(t, lambda s: ~s["base"])) > 1, swept(t)).otherwise(t))
 
 
 def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, spans: str = "spans", settle: bool = True) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``spans``: kind, start, end (code points, end exclusive), base.
+    """Columns ``keep`` of ``docs`` and ``spans`` by start: kind, start, end (code points, end exclusive), base.
 
     ``settle`` keeps the candidates with the columns ``keep`` between training
-    and decision; without it the candidates are found twice and nothing is kept,
-    for wide ``keep``.
+    and decision; without it the candidates are found twice and nothing is kept.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != spans.lower()]
     found = docs.select(*keep, only_candidates(candidates(F.col(text))).alias(spans))
@@ -282,19 +346,34 @@ def listed(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
     return F.array_join(F.transform(F.concat(*parts), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+#: Code points of the pieces that a text is cut into, so that a place in it is found without counting from its start.
+PIECE = 2048
+
+
 def masked(text: Column, spans: Column) -> Column:
-    """``text`` with each span replaced by its kind's mask; overlapping spans share the first one's."""
-    order = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
-    mask = F.create_map(*(F.lit(x) for pair in MASKS.items() for x in pair))
+    """``text`` with each span replaced by its kind's mask; overlapping spans share the first one's.
 
-    def add(a: Column, s: Column) -> Column:
-        piece = F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
-        new = F.concat(a["done"], piece, F.element_at(mask, s["kind"]))
-        return F.struct(
-            F.when(s["start"] < a["at"], a["done"]).otherwise(new).alias("done"),
-            F.greatest(a["at"], s["end"]).alias("at"),
-        )
+    Work in proportion to the text and the spans.
+    """
+    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"), s["end"].alias("end")))
+    mask = F.create_map(*(F.lit(x) for pair in MASKS.items() for x in pair))
 
-    built = F.aggregate(order, F.struct(F.lit("").alias("done"), F.lit(0).alias("at")), add,
-                        lambda a: F.concat(a["done"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, built).otherwise(text)
+    def part(pieces: Column, a: Column, b: Column) -> Column:
+        """Code points ``a`` to ``b`` of the text; nothing if b <= a."""
+        first, last = F.floor(a / PIECE).cast("int"), F.floor((b - 1) / PIECE).cast("int")
+        one = F.substring(F.try_element_at(pieces, first + 1), a % PIECE + 1, b - a)
+        head = F.substring(F.try_element_at(pieces, first + 1), a % PIECE + 1, F.lit(PIECE))
+        inner = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        end = F.substring(F.try_element_at(pieces, last + 1), F.lit(1), (b - 1) % PIECE + 1)
+        return F.when(b <= a, "").when(first == last, one).otherwise(F.concat(head, inner, end))
+
+    def built(pieces: Column) -> Column:
+        def step(at: Column, s: Column) -> Column:
+            new = F.concat(part(pieces, at, s["start"]), F.element_at(mask, s["kind"]))
+            return F.struct(F.greatest(at, s["end"]).alias("state"), F.when(s["start"] < at, "").otherwise(new).alias("out"))
+
+        rest = part(pieces, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text))
+        return F.concat(F.array_join(running(F.array_sort(keyed), F.lit(0), "string", step), ""), rest)
+
+    cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+    return F.when(F.size(spans) > 0, bound(cut, built)).otherwise(text)
