@@ -1,13 +1,16 @@
 """The corpus pipeline stage by stage against brute force."""
 
 import os
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from conftest import SMOKE_DIR
-from tillroll.llm import ngram_join
+from tillroll.llm import ngram_join, queries
 from test_decontaminate import brute as contamination
 from test_ngram_join import brute as duplicates
 from test_pii import base
@@ -80,6 +83,27 @@ def test_packing(stages):
     check_packed(pieces, 2048)
 
 
+def test_what_is_left_is_the_corpus(spark, stages):
+    """The masked documents stay, and the sequences decode to their texts."""
+    tokenizer = Tokenizer.from_file(queries.tokenizer_file("word_bpe_49k.json"))
+    corpus = corpus_pipeline.build(spark, SMOKE_DIR)
+    docs = rows(spark.read.parquet(corpus.documents))
+    assert sorted(docs) == sorted(rows(stages[4]))
+    packed = spark.read.parquet(corpus.sequences)
+    ids = {r.sequence_id: np.frombuffer(bytes(r.ids), "<u4") for r in corpus_pipeline.sequences(packed).collect()}
+    assert all(0 < len(x) <= 2048 for x in ids.values())
+    pieces = {}
+    for r in packed.collect():
+        part = ids[r.sequence_id][r.offset : r.offset + r.length]
+        assert part.tobytes() == bytes(r.ids) and zlib.crc32(part.tobytes()) == r.ids_crc32
+        pieces.setdefault(r.doc_id, {})[r.start] = part
+    assert sum(len(x) for x in ids.values()) == sum(len(p) for d in pieces.values() for p in d.values())
+    for doc_id, text in docs:
+        got = np.concatenate([pieces[doc_id][k] for k in sorted(pieces[doc_id])]).tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids + [0]
+        assert tokenizer.decode(got[:-1]) == tokenizer.decode(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
 def test_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, SMOKE_DIR)
     assert {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in got.collect()} == {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in stages[5].collect()}
