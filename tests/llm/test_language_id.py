@@ -42,6 +42,23 @@ def test_edges_and_spans(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def words_of(text):
+    begin, end, _, at, _, script = li.Letters().read([text])
+    return [text[a : a + e - b] for a, b, e in zip(at, begin, end)], [li.SCRIPTS[s] for s in script]
+
+
+def test_marks_belong_to_words_and_scripts_part_them():
+    assert words_of("हिन्दी में लिखा")[0] == ["हिन्दी", "में", "लिखा"]
+    assert words_of("cafe\u0301 na\u0308iv")[0] == ["cafe\u0301", "na\u0308iv"]
+    assert words_of("می\u200cخواهم")[0] == ["می\u200cخواهم"]
+    assert words_of("helloпривет, abcδε") == (["hello", "привет", "abc", "δε"], ["Latin", "Cyrillic", "Latin", "Greek"])
+    assert words_of("食べる日本")[0] == ["食べる日本"] and words_of("日本한국")[0] == ["日本", "한국"]
+    assert words_of("\u0301 1\u0301 -\u200d")[0] == [] and words_of("") == ([], [])
+    assert words_of("а\u0301b")[0] == ["а\u0301", "b"]
+    begin, end, owner, at, bucket, _ = li.Letters().read(["ab cд", None, "é"])
+    assert owner.tolist() == [0, 0, 0, 2] and at.tolist() == [0, 3, 4, 0] and (end - begin).sum() == len(bucket) == 5
+
+
 def test_no_rows_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     m = li.train(none)

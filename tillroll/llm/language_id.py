@@ -9,6 +9,9 @@ The model holds trigram counts in ``BUCKETS`` hashed buckets per language,
 summed by Spark over a bounded sample: about ``per_language`` documents of each
 language, chosen by key hash. Labelling covers every document as a whole.
 
+A word is a run of letters of one script with the marks on them (vowel signs,
+accents, joiners); Han and Kana, and scripts without a name here, do not part.
+
 Defined cases: a null text, or one without a letter, is "und" with score 0;
 words in a script of no learned language score alike for all languages; ties
 go to the language that sorts first; null keys and repeated rows are
@@ -18,6 +21,7 @@ columns pass through and clashing output names are replaced.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -62,8 +66,10 @@ class Letters:
     def __init__(self):
         plane = [chr(c) for c in range(0x10000)]
         self.is_letter = np.array([c.isalpha() for c in plane])
+        self.is_mark = np.array([unicodedata.category(c)[0] == "M" or c in "\u200c\u200d" for c in plane])
         self.lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in plane], np.uint32)
         self.starts = np.array([a for a, _ in SCRIPT_RANGES])
+        self.group = np.array([-1 if s == "other" else SCRIPTS.index("Han") if s == "Kana" else i for i, s in enumerate(SCRIPTS)])
         self.script_of = np.array([SCRIPTS.index(s) for _, s in SCRIPT_RANGES])
 
     def read(self, texts: list[str | None]):
@@ -75,9 +81,16 @@ class Letters:
         letter = self.is_letter[low] & (code <= 0xFFFF)
         for i in np.flatnonzero(code > 0xFFFF):
             letter[i] = chr(code[i]).isalpha()
+        # A mark belongs to the letter that it stands on, and to its script.
+        mark = self.is_mark[low] & (code <= 0xFFFF)
+        base = np.maximum.accumulate(np.where(mark, 0, np.arange(len(code)))) if len(code) else np.empty(0, np.int64)
+        letter = letter | (mark & letter[base])
+        script = self.script_of[np.searchsorted(self.starts, code[base], "right") - 1]
         code = np.where(letter, np.where(code <= 0xFFFF, self.lower[low], code), 32).astype(np.uint32)
-        edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
-        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        begin = np.flatnonzero(letter & (np.diff(letter, prepend=False) | self.parts(script)))
+        opens = np.zeros(len(code) + 1, bool)
+        opens[begin] = True
+        end = np.flatnonzero(letter & (opens[1:] | ~np.append(letter[1:], False))) + 1
         first = np.concatenate([[0], np.cumsum(sizes)])
         owner = np.searchsorted(first, begin, "right") - 1
         at = np.flatnonzero(letter)
@@ -85,8 +98,14 @@ class Letters:
         mixed = around[at] * np.uint32(0x9E3779B1) ^ around[at + 1] * np.uint32(0x85EBCA77) ^ around[at + 2] * np.uint32(0xC2B2AE3D)
         mixed ^= mixed >> np.uint32(15)
         bucket = (mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(16)
-        script = self.script_of[np.searchsorted(self.starts, code[begin], "right") - 1]
-        return begin, end, owner, begin - first[owner], bucket, script
+        return begin, end, owner, begin - first[owner], bucket, script[begin]
+
+    def parts(self, script: np.ndarray) -> np.ndarray:
+        """Where a character's script parts it from the character before."""
+        group = self.group[script]
+        out = np.zeros(len(script), bool)
+        out[1:] = (group[1:] != group[:-1]) & (group[1:] >= 0) & (group[:-1] >= 0)
+        return out
 
 
 @dataclass
