@@ -1,8 +1,10 @@
 """Bounded-load ring: exact balance, ring order, small movement, edge cases."""
 
+import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,20 +40,101 @@ def test_hot_and_null_keys(spark):
     check(rows, 4)
 
 
-def test_dealt_is_the_ring_walk():
-    """Counts per arc against rows that walk the ring one by one."""
-    points = sharding.ring(3, 4)
-    counts = [5, 0, 9, 1, 2, 30, 0, 4, 1, 1, 6, 2]
-    spans = sharding.dealt(points, counts, 3)
-    total = sum(counts)
-    held = Counter()
-    for _, a, b, s, slot in spans:
+def walk(points, places, shards):
+    """Rows one by one: each goes to the next point clockwise, those that find its shard
+    full go on clockwise. First all rows that find room at their own point, arc after arc,
+    then the others in the order of their arcs; within an arc by place."""
+    first = {}
+    for place, s in points:
+        first.setdefault(s, place)
+    n = len(places)
+    order = sorted(range(shards), key=first.get)
+    room = {s: n // shards + (order.index(s) < n % shards) for s in range(shards)}
+    arc_of = [next((k for k, (p, _) in enumerate(points) if p >= x), 0) for x in places]
+    rows = sorted(range(n), key=lambda i: (arc_of[i], places[i]))
+    at, waiting = {}, []
+    for i in rows:
+        s = points[arc_of[i]][1]
+        if room[s]:
+            room[s] -= 1
+            at[i] = s
+        else:
+            waiting.append(i)
+    for i in waiting:
+        step = next(k for k in range(1, len(points)) if room[points[(arc_of[i] + k) % len(points)][1]])
+        at[i] = points[(arc_of[i] + step) % len(points)][1]
+        room[at[i]] -= 1
+    return at
+
+
+@pytest.mark.parametrize("shards,virtual,n", [(3, 4, 61), (8, 32, 500), (5, 1, 40), (8, 256, 300)])
+def test_dealt_is_the_ring_walk(shards, virtual, n):
+    """The dealing of counted arcs against rows that walk the ring one by one."""
+    rng = random.Random(n)
+    points = sharding.ring(shards, virtual)
+    places = [rng.random() ** 2 for _ in range(n)]
+    arc_of = [next((k for k, (p, _) in enumerate(points) if p >= x), 0) for x in places]
+    spans = sharding.dealt(points, [arc_of.count(k) for k in range(len(points))], shards)
+    held, got = Counter(), {}
+    for arc, a, b, s, slot in spans:
         assert slot == held[s] and b > a
         held[s] += b - a
-    assert sum(held.values()) == total and max(held.values()) - min(held.values()) <= 1
-    for arc, n in enumerate(counts):
-        own = sorted((a, b) for k, a, b, _, _ in spans if k == arc)
-        assert [x for p in own for x in range(*p)] == list(range(n))
+        own = sorted((i for i in range(n) if arc_of[i] == arc), key=lambda i: places[i])
+        got.update({i: s for i in own[a:b]})
+    assert got == walk(points, places, shards)
+
+
+def test_a_row_lands_at_its_next_point_with_room(spark):
+    """The operator's shards against the walk over the places that it hashes rows to."""
+    df = spark.createDataFrame([(i, i % 3) for i in range(700)], "doc_id long, size long")
+    place = F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 48)) / F.lit(float(1 << 48))
+    places = {r.doc_id: r.p for r in df.select("doc_id", place.alias("p")).collect()}
+    want = walk(sharding.ring(8, 16), [places[i] for i in range(700)], 8)
+    got = {r.doc_id: r.shard for r in sharding.assign(df, ["doc_id"], ["size"], shards=8, virtual=16, cell_rows=20).collect()}
+    assert got == want
+
+
+def moved(before, after, virtual, n=50_000):
+    """Shares of rows that change their shard, and that change between old shards."""
+    rng = np.random.default_rng(1)
+    place = np.sort(rng.random(n))
+    shard = []
+    for shards in (before, after):
+        points = sharding.ring(shards, virtual)
+        arc = np.searchsorted([p for p, _ in points], place) % len(points)
+        order = np.argsort(arc, kind="stable")
+        at = np.empty(n, np.int64)
+        first = np.searchsorted(arc[order], np.arange(len(points) + 1))
+        for k, a, b, s, _ in sharding.dealt(points, np.diff(first).tolist(), shards):
+            at[order[first[k] + a : first[k] + b]] = s
+        shard.append(at)
+    changed = shard[0] != shard[1]
+    return changed.mean(), (changed & (shard[1] < before)).mean()
+
+
+def test_next_point_clockwise(spark):
+    rng = random.Random(5)
+    for points in (sharding.ring(3, 5), sharding.ring(8, 256), sharding.ring(1, 1)):
+        places = [rng.random() for _ in range(300)] + [p for p, _ in points[:50]] + [0.0, 1 - 2**-48]
+        df = spark.createDataFrame([(i, p) for i, p in enumerate(places)], "i int, place double")
+        got = {r.i: r.arc for r in sharding.with_arc(df, points).collect()}
+        assert got == {i: next((k for k, (p, _) in enumerate(points) if p >= x), 0) for i, x in enumerate(places)}
+
+
+def test_many_copies_and_any_names(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 70)
+    names = ["row", "place", "arc", "cell", "n", "_n", "held", "rank", "low", "high", "each", "shift", "first", "begin", "end", "within", "before", "cut"]
+    data = [tuple([i % 3 if i < 900 else i, *range(len(names))]) for i in range(1100)]
+    df = spark.createDataFrame(data, "doc_id long, " + ", ".join(f"{c} int" for c in names))
+    rows = sharding.assign(df, ["doc_id"], ["low"], shards=4, cell_rows=100).collect()
+    check(rows, 4)
+    assert Counter(tuple(r)[:-2] for r in rows) == Counter(data) and rows[0].__fields__[:-2] == ["doc_id", *names]
+
+
+def test_movement_is_limited():
+    """From 8 to 9 shards a ninth must move; more virtual nodes bring it near to that."""
+    few, many = moved(8, 9, 32), moved(8, 9, sharding.VIRTUAL)
+    assert few[0] < 0.19 and many[0] < 0.14 and many[1] < 0.025 and many[1] < few[1]
 
 
 def test_most_rows_stay_when_rows_are_added(spark):

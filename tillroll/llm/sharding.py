@@ -15,11 +15,13 @@ about ``cell_rows`` rows each, and a window inside a cell.
 Defined cases: null keys hash like any value; equal keys with different texts
 get different places; equal rows (same key and tie columns) are interchangeable
 and are first counted, then dealt to consecutive ranks; an empty table gives no
-rows; clashing column names of the output are replaced.
+rows; other columns pass through under any name, clashing names of the output are
+replaced.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 
@@ -29,6 +31,15 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import settled
 
 
+#: Points of a shard on the ring. More points make the arcs' shares more even, so that fewer
+#: rows walk on when shards are added; the arcs' counts, virtual x shards figures, reach the driver.
+VIRTUAL = 256
+#: Pieces of the ring among which a row's next point is looked up.
+CUTS = 4096
+#: Copies of a row that one task gives back.
+COPIES = 10_000
+
+
 def ring(shards: int, virtual: int) -> list[tuple[float, int]]:
     """The ring's points as (place in [0, 1), shard), clockwise."""
     def place(shard: int, v: int) -> float:
@@ -71,7 +82,7 @@ def dealt(points: list[tuple[float, int]], counts: list[int], shards: int) -> li
 
 
 def assign(
-    rows: DataFrame, key: list[str], tie: list[str], shards: int = 8, virtual: int = 32, cell_rows: int = 1_000
+    rows: DataFrame, key: list[str], tie: list[str], shards: int = 8, virtual: int = VIRTUAL, cell_rows: int = 1_000
 ) -> DataFrame:
     """``rows`` with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
@@ -79,41 +90,52 @@ def assign(
     tell rows apart. ``rows`` should be narrow: join texts to the result.
     """
     rows = rows.drop("shard", "slot")
-    names = rows.columns
     points = ring(shards, virtual)
     place = F.pmod(F.xxhash64(*key, *tie), F.lit(1 << 48)).cast("double") / F.lit(float(1 << 48))
-    # The next point clockwise: places beyond the last one belong to the first.
-    arc = F.array_position(
-        F.transform(F.array(*(F.lit(p) for p, _ in points)), lambda p: p >= F.col("_place")), True
-    ).cast("int") - 1
-    # Equal rows are counted before they move, then given back as many times.
-    equal = rows.withColumn("_place", place).groupBy(*names, "_place").agg(F.count("*").alias("_n"))
-    equal = settled(equal.withColumn("_arc", F.when(arc < 0, 0).otherwise(arc)))
-    total = equal.agg(F.sum("_n")).first()[0] or 0
+    # Equal rows are counted before they move, then given back as many times. The row
+    # travels as one column, so that its names cannot clash.
+    equal = rows.select(F.struct(*rows.columns).alias("row"), place.alias("place")).groupBy("row", "place").agg(F.count("*").alias("n"))
+    equal = settled(with_arc(equal, points))
+    total = equal.agg(F.sum("n")).first()[0] or 0
     cells = max(1, math.ceil(total / cell_rows))
-    equal = equal.withColumn("_cell", F.floor(F.col("_place") * cells).cast("long"))
-    held = equal.groupBy("_arc", "_cell").agg(F.sum("_n").alias("_held"))
-    before = Window.partitionBy("_arc").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    held = settled(held.withColumn("_before", F.coalesce(F.sum("_held").over(before), F.lit(0))))
+    equal = equal.withColumn("cell", F.floor(F.col("place") * cells).cast("long"))
+    held = equal.groupBy("arc", "cell").agg(F.sum("n").alias("held"))
+    before = Window.partitionBy("arc").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    held = settled(held.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0))))
     counts = [0] * len(points)
-    for r in held.groupBy("_arc").agg(F.sum("_held").alias("n")).collect():  # at most one row per point
-        counts[r["_arc"]] = r["n"]
+    for r in held.groupBy("arc").agg(F.sum("held").alias("n")).collect():  # at most one row per point
+        counts[r["arc"]] = r["n"]
     spans = dealt(points, counts, shards)
-    schema = "_arc int, _from long, _to long, shard int, _slot long"
-    deal = rows.sparkSession.createDataFrame(spans or [], schema)  # at most points x shards rows
-    inside = Window.partitionBy("_arc", "_cell").orderBy("_place", *key, *tie).rowsBetween(Window.unboundedPreceding, -1)
+    deal = rows.sparkSession.createDataFrame(spans or [], "arc int, begin long, end long, shard int, first long")  # at most points x shards rows
+    order = ["place", *(F.col("row")[c] for c in (*key, *tie))]
+    inside = Window.partitionBy("arc", "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = (
-        equal.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(held.select("_arc", "_cell", "_before"), ["_arc", "_cell"])
-        .withColumn("_rank", F.col("_before") + F.col("_in"))
-    )
-    low, high = F.greatest("_rank", "_from"), F.least(F.col("_rank") + F.col("_n"), F.col("_to"))
-    return (
-        ranked.join(F.broadcast(deal), "_arc")
-        .filter(low < high)
-        .withColumn("_each", F.explode(F.sequence(low, high - 1)))
-        .select(*names, "shard", (F.col("_slot") + F.col("_each") - F.col("_from")).alias("slot"))
+        equal.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        .join(held.select("arc", "cell", "before"), ["arc", "cell"])
+        .withColumn("rank", F.col("before") + F.col("within"))
     )
+    low, high = F.greatest("rank", "begin"), F.least(F.col("rank") + F.col("n"), F.col("end"))
+    placed = ranked.join(F.broadcast(deal), "arc").select("row", "shard", (F.col("first") - F.col("begin")).alias("shift"), low.alias("low"), high.alias("high"))
+    few = placed.filter((F.col("low") < F.col("high")) & (F.col("high") - F.col("low") <= COPIES))
+    many = placed.filter(F.col("high") - F.col("low") > COPIES)
+    # Copies beyond that are given back by several tasks, in pieces.
+    pieces = many.withColumn("low", F.explode(F.sequence("low", F.col("high") - 1, F.lit(COPIES))))
+    pieces = pieces.withColumn("high", F.least("high", F.col("low") + COPIES)).repartition("shard", "low")
+    return few.unionByName(pieces).withColumn("each", F.explode(F.sequence("low", F.col("high") - 1))).select("row.*", "shard", (F.col("shift") + F.col("each")).alias("slot"))
+
+
+def with_arc(rows: DataFrame, points: list[tuple[float, int]]) -> DataFrame:
+    """``rows`` with the number of the next point clockwise of their ``place``: beyond the last one it is the first.
+
+    The ring is cut into ``CUTS`` pieces, and a row looks only at its piece's points.
+    """
+    at = [p for p, _ in points]
+    edges = [bisect.bisect_left(at, i / CUTS) for i in range(CUTS + 1)]
+    cuts = [(i, edges[i], at[edges[i] : edges[i + 1]]) for i in range(CUTS)]
+    table = rows.sparkSession.createDataFrame(cuts, "cut int, lower int, points array<double>")
+    near = F.col("lower") + F.size(F.filter("points", lambda p: p < F.col("place")))
+    joined = rows.withColumn("cut", F.floor(F.col("place") * CUTS).cast("int")).join(F.broadcast(table), "cut")  # CUTS rows and the ring's points
+    return joined.withColumn("arc", F.when(near == len(points), 0).otherwise(near).cast("int")).drop("cut", "lower", "points")
 
 
 def text_size(text: Column) -> Column:
