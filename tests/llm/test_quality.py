@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.llm import quality
+from tillroll.llm import quality, queries
 
 
 def corpus(spark, n=240):
@@ -106,6 +106,49 @@ def test_gradient_of_the_penalised_loss():
         assert abs((some.loss(x + step, 0.1)[0] - some.loss(x - step, 0.1)[0]) / 2e-5 - slope[j]) < 1e-6
 
 
+def test_fit_against_plain_gradient_descent():
+    """The model that L-BFGS finds is the minimum that plain descent on numeric slopes finds."""
+    rng = np.random.default_rng(11)
+    rows = [np.array(sorted(set(rng.integers(0, 5, 3).tolist())), np.int32) for _ in range(150)]
+    grades = np.array([min(2, max(0, int(3 * rng.random() + (0 in r) - (1 in r)))) for r in rows])
+    decay = 0.02
+    some = quality.Fit(rows, grades, 3)
+    scale = dict(zip(some.buckets.tolist(), some.scale))
+
+    def loss(x):
+        """Written out from the definition, row by row."""
+        t = [x[5], x[5] + np.exp(x[6])]
+        total = 0.0
+        for r, y in zip(rows, grades):
+            s = sum(x[j] * scale[j] for j in r)
+            upper = 1.0 if y == 2 else 1 / (1 + np.exp(s - t[y]))
+            lower = 0.0 if y == 0 else 1 / (1 + np.exp(s - t[y - 1]))
+            total -= np.log(upper - lower)
+        return total / len(rows) + decay / 2 * sum(v * v for v in x[:5])
+
+    x = np.array([0.0] * 5 + [-1.0, 0.0])
+    for _ in range(250):
+        slope = np.array([(loss(x + e) - loss(x - e)) / 2e-5 for e in np.eye(7) * 1e-5])
+        x = x - 0.8 * slope / np.maximum(1, np.abs(slope).max()) * np.array([0.2] * 5 + [1, 1])
+    model = some.run(decay, 200)
+    mine = np.concatenate([model.weights[:5] / np.array([scale[j] for j in range(5)]), [model.thresholds[0], np.log(model.thresholds[1] - model.thresholds[0])]])
+    assert loss(mine) <= loss(x) + 1e-4
+    assert np.allclose(mine, x, atol=0.15)
+
+
+def test_query_against_the_labels(spark):
+    """Over a whole table: every document once, probabilities in order, labelled ones mostly told apart."""
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in queries.op7_quality(spark, sf).collect()}
+    docs = [r.doc_id for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()]
+    assert sorted(got) == sorted(docs)
+    assert all(0 <= r.tail_probability <= 1 and 0 <= r.expected_grade <= 2 and r.keep == (r.tail_probability >= 0.3) for r in got.values())
+    labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    good = [got[r.doc_id].keep for r in labels if r.quality == 1 and r.toxic == 0]
+    bad = [got[r.doc_id].keep for r in labels if r.quality == 0 or r.toxic == 1]
+    assert np.mean(good) >= 0.97 and np.mean(bad) <= 0.3
+
+
 def test_a_repeated_key_counts_once(spark, monkeypatch):
     docs, ratings = corpus(spark, 60)
     many = docs.unionByName(docs.filter("doc_id = 4").crossJoin(spark.range(500)).select("doc_id", "text"))
