@@ -101,6 +101,18 @@ def test_against_plain_search(spark, monkeypatch, slice_words):
         assert [(s.start, s.end) for s in r.spans] == [(ws[s.start][0], ws[s.end - 1][1]) for s in r.word_spans]
 
 
+def test_slices_agree_on_documents_that_move(spark, monkeypatch):
+    """Documents that come in another order each time they are computed, over several slices."""
+    monkeypatch.setattr(dc, "SLICE_WORDS", 5)
+    items, texts = cases()
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:-1])], "doc_id long, text string")
+    moving = docs.repartition(5).withColumn("r", F.rand()).orderBy("r").drop("r").repartition(4, F.rand())
+    for r in dc.find(moving, benchmark, keep=["doc_id"]).collect():
+        n, hit, _ = brute(texts[r.doc_id], items)
+        assert (r.n_words, r.n_hit) == (n, hit)
+
+
 def test_without_spans(spark):
     df = spark.createDataFrame([("éa bc de",), (None,)], "text string")
     spans = F.array(*(F.struct(F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("end")) for a, b in ((0, 2), (6, 8))))

@@ -10,8 +10,8 @@ walking to the next sampled suffix, and overlapping occurrences are merged.
 Phrases travel to the tasks in slices of bounded size; a benchmark that
 exceeds one slice is searched slice by slice and the documents' hits merged. The
 hits of a slice are kept before the next one is read, so the driver and the plan
-hold the first slice and one more, however many there are; each slice reads the
-documents again.
+hold the first slice and one more, however many there are. For several slices the
+documents are numbered and kept once, and each slice reads the kept ones.
 
 Defined cases: null texts and texts without words have no words and no hits;
 an item with fewer words than a window is one window, without words none; a
@@ -240,7 +240,8 @@ def find(
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in FOUND]
     source = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("text"))
     if slices > 1:
-        source = source.withColumn("_row", F.struct("_row", F.monotonically_increasing_id().alias("at")))
+        # Numbered once and kept: each slice is a job of its own, and all must see the same numbers.
+        source = settled(source.withColumn("_row", F.struct("_row", F.monotonically_increasing_id().alias("at"))))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([
         source.schema["_row"], T.StructField("n_words", T.LongType()), T.StructField("word_spans", span),
