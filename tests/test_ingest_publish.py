@@ -116,6 +116,18 @@ def test_every_record_is_accepted_or_rejected(spark, scratch):
     assert rejected["two,f,1,x"].reject_file.endswith("0.csv") and rejected["7,i,1"].reject_file.endswith("1.csv")
 
 
+def test_guards_let_through_what_a_cast_reads(spark):
+    texts = ["1", " 2 ", "-3", "+4", "\t5\n", "\x006", "1.5", ".5", "5.", "1e3", "1E-3", "2d", "3F", "NaN", "Infinity", "-inf", "", " ", "two", "1,5", "0x1", "1 2", "9" * 30, "--1", "١"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in (T.IntegerType(), T.LongType(), T.ShortType(), T.DoubleType(), T.FloatType(), T.DecimalType(20, 3)):
+        rows = df.select("t", quarantine._typed(F.col("t"), kind).alias("a"), F.col("t").try_cast(kind).alias("b")).collect()
+        assert [(r.t, str(r.a)) for r in rows] == [(r.t, str(r.b)) for r in rows], kind
+    dates = spark.createDataFrame([(t,) for t in ("2011-01-02", "2011-1-2 3:04", "2011", "12:30", " 2011-01-02T03:04:05 ", "not a date", "", "31/12/2011")], "t string")
+    for kind in (T.TimestampNTZType(), T.DateType()):
+        rows = dates.select(quarantine._typed(F.col("t"), kind).alias("a"), F.col("t").try_cast(kind).alias("b")).collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+
+
 def test_only_good_records_and_no_records(spark, scratch):
     for name, lines in (("good", "1,a,2\n"), ("none", "")):
         path = os.path.join(scratch, name + ".csv")

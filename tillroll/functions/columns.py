@@ -57,10 +57,19 @@ def decimal_text_to_int(c: str | Column) -> Column:
     return decimal_text_to_double(c).try_cast("int")
 
 
+#: Text that a cast to a whole number can read; blanks and control characters around it are allowed.
+WHOLE_NUMBER = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+
+
 def to_customer_id(c: str | Column) -> Column:
-    """Customer id -> long. Text such as ``12345.0`` gives 12345, not null."""
+    """Customer id -> long. Text such as ``12345.0`` gives 12345, not null.
+
+    A failed cast costs an exception inside the task, a regex miss does not, so
+    only whole numbers are tried as such.
+    """
     col = as_col(c)
-    return F.coalesce(col.try_cast("long"), col.try_cast("double").try_cast("long"))
+    whole = F.when(col.cast("string").rlike(WHOLE_NUMBER), col.try_cast("long"))
+    return F.coalesce(whole, col.try_cast("double").try_cast("long"))
 
 
 # Pattern letters that only ever read digits.

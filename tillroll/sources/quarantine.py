@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.columns import normalize_headers
+from tillroll.functions.columns import WHOLE_NUMBER, normalize_headers
 from tillroll.sources.readers import CSV_QUOTING, csv_reader
 
 MALFORMED = "_malformed_record"
 #: What a rejected record carries besides the fields that could be read.
 REASON, RECORD, SOURCE = "reject_reason", "reject_record", "reject_file"
 REJECTED = "rejected"
+#: Text that may be a number: digits with a point, an exponent or a type letter, or a word for one.
+NUMBER = r"(?i)^[\x00-\x20]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+|inf|infinity|nan)(e[+-]?[0-9]+)?[df]?[\x00-\x20]*$"
 
 
 @dataclass(frozen=True)
@@ -34,10 +36,21 @@ def header_of(spark: SparkSession, path: str, multiline: bool = True) -> list[st
     return csv_reader(spark, multiline).csv(path).columns
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A field as its type, or null. Text that cannot fit is not tried: a failed
+    cast costs an exception inside the task, a regex miss does not."""
+    if isinstance(kind, T.IntegralType):
+        return F.when(text.rlike(WHOLE_NUMBER), text.try_cast(kind))
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DatetimeType)):
+        likely = "[0-9]" if isinstance(kind, T.DatetimeType) else NUMBER
+        return F.when(text.rlike(likely), text.try_cast(kind))
+    return text.try_cast(kind)
+
+
 def _misfit(text: Column, kind: T.DataType, name: str) -> Column:
     """Why a field does not fit, else null. A missing field fits every type."""
     said = F.concat(F.lit(f"{name} is no {kind.simpleString()}: "), text)
-    return F.when(text.isNotNull() & text.try_cast(kind).isNull(), said)
+    return F.when(text.isNotNull() & _typed(text, kind).isNull(), said)
 
 
 def checked_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
@@ -63,7 +76,7 @@ def checked_csv(spark: SparkSession, path: str, schema: T.StructType, multiline:
     reason = F.when(F.col(MALFORMED).isNotNull(), F.lit(f"not {len(names)} fields")).otherwise(F.concat_ws("; ", *misfits) if misfits else F.lit(""))
     fields = F.to_csv(F.struct(*(F.col(f"`{c}`") for c in names)), CSV_QUOTING)
     record = F.coalesce(F.col(MALFORMED), fields)
-    rows = raw.select(*(c.try_cast(schema[n].dataType).alias(n) for n, c in own.items()), F.nullif(reason, F.lit("")).alias(REASON), record.alias(RECORD), SOURCE)
+    rows = raw.select(*(_typed(c, schema[n].dataType).alias(n) for n, c in own.items()), F.nullif(reason, F.lit("")).alias(REASON), record.alias(RECORD), SOURCE)
     bad = F.col(REASON).isNotNull()
     return rows.select(*schema.names, REASON, F.when(bad, F.col(RECORD)).alias(RECORD), F.when(bad, F.col(SOURCE)).alias(SOURCE))
 
