@@ -4,9 +4,11 @@ path next to a data path."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse, urlunparse
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.sources.readers import CSV_QUOTING
 
@@ -47,10 +49,36 @@ def save_all(results: list[tuple[DataFrame, str]]) -> None:
 
 
 def save_parquet_guarded(df: DataFrame, path: str) -> None:
-    """As :func:`save_parquet`, but an empty frame is an error."""
-    if df.isEmpty():
-        raise ValueError("the frame to save is empty; run the pipeline first")
-    save_parquet(df, path)
+    """As :func:`save_parquet`, but an empty frame is an error and leaves
+    ``path`` as it was. The frame is computed once, by its write to a folder
+    beside ``path``; what was written is checked, then renamed."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    beside = f"{path}.staged-{uuid.uuid4().hex[:12]}"
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    system = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(beside)
+        if spark.read.schema(df.schema).parquet(beside).isEmpty():
+            raise ValueError("the frame to save is empty; run the pipeline first")
+        system.delete(path_of(path), True)
+        if not system.rename(path_of(beside), path_of(path)):
+            raise OSError(f"cannot rename {beside} to {path}")
+    finally:
+        system.delete(path_of(beside), True)
+
+
+@contextmanager
+def unsorted_write(spark: SparkSession, folders: int) -> Iterator[None]:
+    """For a partitioned write to at most ``folders`` folders: a task keeps a file
+    open in each instead of holding and sorting its rows by folder first. (When
+    as many files are open as allowed, Spark sorts the rest; hence one more.)"""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(max(folders + 1, int(before or 0))))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def save_audit(df: DataFrame, path: str) -> None:
