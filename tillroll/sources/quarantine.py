@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions.columns import WHOLE_NUMBER, normalize_headers
 from tillroll.sources.readers import CSV_QUOTING, csv_reader
+from tillroll.sources.writers import unsorted_write
 
 MALFORMED = "_malformed_record"
 #: What a rejected record carries besides the fields that could be read.
@@ -96,7 +97,8 @@ def ingest_csv(spark: SparkSession, path: str, schema: T.StructType, out: str, m
     seen = Observation("ingest")
     bad = F.col(REASON).isNotNull()
     counted = checked.observe(seen, F.count(F.lit(1)).alias("all"), F.count(F.when(bad, 1)).alias("bad"))
-    counted.withColumn(REJECTED, bad.cast("int")).write.mode("overwrite").partitionBy(REJECTED).parquet(out)
+    with unsorted_write(spark, 2):
+        counted.withColumn(REJECTED, bad.cast("int")).write.mode("overwrite").partitionBy(REJECTED).parquet(out)
     got = seen.get
     return IngestCounts(got["all"] - got["bad"], got["bad"])
 
