@@ -103,9 +103,10 @@ def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
     row stays. Rows of one cell are dealt to several tasks if they are many.
     """
     kinds = dict(df.dtypes)
-    numbers = [range_number(c, range_bounds(df, c), kinds[c]) for c in columns]
-    cells = df.withColumn("_cell", interleaved(numbers)).withColumn("_spread", F.rand(11))
-    return cells.repartitionByRange("_cell", "_spread").sortWithinPartitions("_cell", *columns).drop("_cell", "_spread")
+    numbers = {f"_range{i}": range_number(c, range_bounds(df, c), kinds[c]) for i, c in enumerate(columns)}
+    # Columns of their own: every bit of a number is asked for, the number is found once.
+    cells = df.withColumns(numbers).withColumn("_cell", interleaved([F.col(n) for n in numbers])).withColumn("_spread", F.rand(11))
+    return cells.repartitionByRange("_cell", "_spread").sortWithinPartitions("_cell", *columns).drop("_cell", "_spread", *numbers)
 
 
 def save_clustered(df: DataFrame, path: str, columns: list[str], row_group_bytes: int | None = None) -> None:
