@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,6 +19,8 @@ from pyspark.sql import types as T
 
 from tillroll.functions.columns import month_bucket
 from tillroll.operators.joins import normalize_supplier
+from tillroll.session import shared_dir
+from tillroll.sources.writers import save_parquet, unsorted_write
 
 MONTH = "InvoiceMonth"
 
@@ -132,19 +135,34 @@ def save_colocated(lines: DataFrame, supplier: DataFrame, name: str, buckets: in
     bucketed and sorted by invoice, and the rows of invoices with more than
     ``hot_rows`` lines or bridge rows (also those without a number) in
     ``<name>_hot_…``, which later jobs join with the usual skew handling."""
-    tables = _tables(name)
+    spark, tables = lines.sparkSession, _tables(name)
     sides = {"lines": lines.withColumn("InvoiceNo", F.col("InvoiceNo").cast("string")), "bridge": normalize_supplier(supplier)}
-    counted = [df.groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows) for df in sides.values()]
-    # At most rows / hot_rows invoices of each side.
-    hot = counted[0].unionByName(counted[1]).filter(F.col("InvoiceNo").isNotNull()).select(F.col("InvoiceNo").alias("_invoice")).distinct()
-    hot = hot.withColumn("_hot", F.lit(True))
-    for kind, df in sides.items():
-        marked = df.join(hot, F.col("InvoiceNo") == F.col("_invoice"), "left").drop("_invoice")
-        apart = F.coalesce(F.col("_hot"), F.col("InvoiceNo").isNull())
-        # Dealt by invoice first, so that a bucket is one file and not one per task.
-        cold = marked.filter(~apart).drop("_hot").repartition(buckets, "InvoiceNo")
-        cold.write.mode("overwrite").format("parquet").bucketBy(buckets, "InvoiceNo").sortBy("InvoiceNo").saveAsTable(tables[kind])
-        marked.filter(apart).drop("_hot").write.mode("overwrite").format("parquet").saveAsTable(tables[f"hot_{kind}"])
+    root = shared_dir(spark, f"colocated-{uuid.uuid4().hex}")
+    try:
+        # Each side is read four times below: computed once, marked once.
+        staged = {kind: _staged(df, f"{root}/{kind}") for kind, df in sides.items()}
+        counted = [df.groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows) for df in staged.values()]
+        # At most rows / hot_rows invoices of each side.
+        hot = counted[0].unionByName(counted[1]).filter(F.col("InvoiceNo").isNotNull()).select(F.col("InvoiceNo").alias("_invoice")).distinct()
+        hot = _staged(hot, f"{root}/hot").withColumn("_hot", F.lit(True))
+        for kind, df in staged.items():
+            apart = F.coalesce(F.col("_hot"), F.col("InvoiceNo").isNull())
+            marked = df.join(hot, F.col("InvoiceNo") == F.col("_invoice"), "left").withColumn("_apart", apart).drop("_invoice", "_hot")
+            with unsorted_write(spark, 2):
+                marked.write.mode("overwrite").partitionBy("_apart").parquet(f"{root}/marked_{kind}")
+            marked = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_apart", T.BooleanType())])).parquet(f"{root}/marked_{kind}")
+            # Dealt by invoice first, so that a bucket is one file and not one per task.
+            cold = marked.filter("not _apart").drop("_apart").repartition(buckets, "InvoiceNo")
+            cold.write.mode("overwrite").format("parquet").bucketBy(buckets, "InvoiceNo").sortBy("InvoiceNo").saveAsTable(tables[kind])
+            marked.filter("_apart").drop("_apart").write.mode("overwrite").format("parquet").saveAsTable(tables[f"hot_{kind}"])
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    save_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def colocated_supplier_sales(spark: SparkSession, name: str) -> DataFrame:
