@@ -292,10 +292,11 @@ def _published_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     read from the version that the last one committed (C4, K1): the first has
     no mapping, so its continent results are empty."""
     root = _work_dir(spark, sf_dir, "published")
-    save_parquet(enriched(spark, sf_dir), os.path.join(root, "enriched"))
+    raw, bridge = jobs.stored_inputs(spark, views.retail(spark, sf_dir), views.bridge(spark, sf_dir), root)
+    save_parquet(raw.transform(cleaning.clean_standard).transform(enrich.total_amount), os.path.join(root, "enriched"))
     for mapping in (None, views.mapping(spark, sf_dir)):
         jobs.aggregation_job(
-            spark, os.path.join(root, "enriched"), views.retail(spark, sf_dir), views.bridge(spark, sf_dir), mapping,
+            spark, os.path.join(root, "enriched"), raw, bridge, mapping,
             os.path.join(root, "results"), MARKET_COUNTRY, MARKET_YEAR,
         )
     version = published_version(spark, os.path.join(root, "results"))

@@ -265,6 +265,15 @@ def run_all(
     return {"root": out_root, "answers": answers}
 
 
+def stored_inputs(spark: SparkSession, retail: DataFrame, supplier: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """Raw lines and bridge written under ``root`` and read back: jobs read
+    them several times, and views would join and group anew each time."""
+    paths = [os.path.join(root, "raw"), os.path.join(root, "bridge")]
+    for df, path in zip((retail, supplier), paths):
+        save_parquet(df, path)
+    return load_parquet(spark, paths[0]), load_parquet(spark, paths[1])
+
+
 def run_all_on_driver_tables(spark: SparkSession, sf_dir: str, out_root: str) -> dict:
     """:func:`run_all` over the driver's tables (retail-shaped views)."""
     from tillroll.plans.params import BEST_PRODUCT_COUNTRY, MARKET_COUNTRY, MARKET_YEAR
