@@ -279,10 +279,11 @@ def run_all_on_driver_tables(spark: SparkSession, sf_dir: str, out_root: str) ->
     from tillroll.plans.params import BEST_PRODUCT_COUNTRY, MARKET_COUNTRY, MARKET_YEAR
     from tillroll.sources import driver_views as views
 
+    raw, bridge = stored_inputs(spark, views.retail(spark, sf_dir), views.bridge(spark, sf_dir), out_root)
     return run_all(
         spark,
-        views.retail(spark, sf_dir),
-        views.bridge(spark, sf_dir),
+        raw,
+        bridge,
         views.mapping(spark, sf_dir),
         out_root,
         market_country=MARKET_COUNTRY,
