@@ -90,11 +90,11 @@ def invoice_state(lines: DataFrame, numbers: DataFrame) -> DataFrame:
     (dimension, value, InvoiceMonth, block of 32,768 numbers, 4 KB of bits)."""
     month = month_bucket("InvoiceDate")
     values = {"country": F.col("Country"), "month": month, "hour": F.hour("InvoiceDate").cast("string")}
-    kinds = F.array(*(F.struct(F.lit(d).alias("dimension"), values[d].alias("value")) for d in DIMENSIONS))
-    # One row per invoice and group before the numbers are joined, however many lines it has.
-    pairs = lines.select(F.col("InvoiceNo").cast("string").alias("InvoiceNo"), month.alias(MONTH), F.explode(kinds).alias("k"))
-    pairs = pairs.select("InvoiceNo", MONTH, "k.dimension", "k.value").distinct()
-    numbered = pairs.join(numbers, "InvoiceNo")
+    # One row per invoice, country, month and hour before the numbers are joined, however many
+    # lines it has; the dimensions unfold after the join. A bit may be set more than once.
+    groups = lines.select(F.col("InvoiceNo").cast("string").alias("InvoiceNo"), month.alias(MONTH), *(values[d].alias(f"_{d}") for d in DIMENSIONS))
+    kinds = F.array(*(F.struct(F.lit(d).alias("dimension"), F.col(f"_{d}").alias("value")) for d in DIMENSIONS))
+    numbered = groups.distinct().join(numbers, "InvoiceNo").select(MONTH, "number", F.inline(kinds))
     return numbered.groupBy("dimension", "value", MONTH, F.expr("bitmap_bucket_number(number)").alias("block")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(number))").alias("bits")
     )
@@ -111,7 +111,7 @@ def update_invoice_state(lines: DataFrame, root: str) -> None:
     replace what was there, the other months' lines are not needed."""
     numbers = add_invoice_numbers(lines, os.path.join(root, "numbers"))
     state = invoice_state(lines, numbers)
-    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(os.path.join(root, "state"))
+    state.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(os.path.join(root, "state"))
 
 
 def stored_invoice_counts(spark: SparkSession, root: str) -> DataFrame:
