@@ -124,6 +124,8 @@ def stored_invoice_counts(spark: SparkSession, root: str) -> DataFrame:
 #: fuller filter lets fewer lines pass unseen and costs comparisons, never a line.
 FILTER_BITS, HASHES = 1 << 28, 3
 BLOCK_BITS = 1 << 15
+#: Where the filter's blocks stand; another name for another form.
+FILTER_FOLDER = "filter-by-block"
 #: Months of a batch up to which they are named to the history's scan; beyond that it reads all.
 MONTHS = 1000
 FILTER = T.StructType([T.StructField("block", T.LongType()), T.StructField("bits", T.BinaryType())])
@@ -144,18 +146,23 @@ def _row_hash(df: DataFrame, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *parts)
 
 
-def _bits_of(df: DataFrame, columns: list[str]) -> Column:
-    """The filter's bits of a row."""
-    of = df.select(*columns)
-    return F.array(*(F.pmod(_row_hash(of, i), F.lit(FILTER_BITS)) for i in range(HASHES)))
+def _block_of(key: Column) -> Column:
+    """The filter's block of a row, by its hash."""
+    return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(FILTER_BITS // BLOCK_BITS)).cast("long")
 
 
-def filter_blocks(lines: DataFrame, columns: list[str]) -> DataFrame:
-    """The Bloom filter of ``lines``: the blocks that have a bit."""
-    at = lines.select(F.explode(_bits_of(lines, columns)).alias("at"))
-    return at.groupBy(F.floor(F.col("at") / BLOCK_BITS).cast("long").alias("block")).agg(
-        F.bitmap_construct_agg(F.col("at") % BLOCK_BITS).alias("bits")
-    )
+def _bits_of(key: Column) -> list[Column]:
+    """A row's bits, all in its block: one row per line is dealt and looked up, not one per bit."""
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(BLOCK_BITS)).cast("long") for i in range(1, HASHES + 1)]
+
+
+def filter_blocks(lines: DataFrame) -> DataFrame:
+    """The Bloom filter of ``lines`` (with ``_key``): the blocks that have a bit."""
+    key = F.col("_key")
+    sets = [F.bitmap_construct_agg(at).alias(f"b{i}") for i, at in enumerate(_bits_of(key))]
+    blocks = lines.groupBy(_block_of(key).alias("block")).agg(*sets)
+    parts = blocks.select("block", F.explode(F.array(*(f"b{i}" for i in range(HASHES)))).alias("bits"))
+    return parts.groupBy("block").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
 
 
 def _bit(bits: Column, at: Column) -> Column:
@@ -164,14 +171,17 @@ def _bit(bits: Column, at: Column) -> Column:
     return F.getbit(byte, (at % 8).cast("int")) == 1
 
 
-def possible_repeats(new: DataFrame, columns: list[str], blocks: DataFrame) -> DataFrame:
-    """``new`` (distinct, with ``_key``) and ``_maybe``: false only for lines that the filtered history cannot hold."""
+def possible_repeats(new: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``new`` (distinct, with ``_key``) and ``_maybe``: false only for lines that the filtered history cannot hold.
+
+    The whole filter, of fixed size, goes to every executor; the lines do not move."""
     merged = blocks.groupBy("block").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
-    asked = new.select("_key", F.explode(F.array_distinct(_bits_of(new, columns))).alias("at"))
-    asked = asked.withColumn("block", F.floor(F.col("at") / BLOCK_BITS).cast("long"))
-    found = asked.join(merged, "block", "left").withColumn("hit", F.coalesce(_bit(F.col("bits"), F.col("at") % BLOCK_BITS), F.lit(False)))
-    verdict = found.groupBy("_key").agg(F.min("hit").alias("_maybe"))
-    return new.join(verdict, "_key")
+    key = F.col("_key")
+    found = new.withColumn("block", _block_of(key)).join(F.broadcast(merged), "block", "left")
+    hit = F.lit(True)
+    for at in _bits_of(key):
+        hit = hit & _bit(F.col("bits"), at)
+    return found.withColumn("_maybe", F.coalesce(hit, F.lit(False))).drop("block", "bits")
 
 
 def add_new_lines(lines: DataFrame, root: str, batch: str) -> BatchCounts:
@@ -185,19 +195,25 @@ def add_new_lines(lines: DataFrame, root: str, batch: str) -> BatchCounts:
     """
     spark, columns = lines.sparkSession, lines.columns
     history, scratch = os.path.join(root, "history"), os.path.join(root, "scratch", batch)
+    bits = os.path.join(root, FILTER_FOLDER)
     hashed = T.StructType([*lines.schema.fields, T.StructField("_key", T.LongType())])
     new = lines.dropDuplicates()
     new = new.withColumn("_key", _row_hash(new, 17)).withColumn(MONTH, month_bucket("InvoiceDate"))
-    save_parquet(possible_repeats(new, columns, _read(spark, os.path.join(root, "filter"), FILTER)), scratch)
+    if _exists(spark, history) and not _exists(spark, bits):
+        # A history whose filter has an earlier form: its hashes are stored with its lines.
+        save_parquet(filter_blocks(load_by_month(spark, history, hashed)), os.path.join(bits, "earlier batches"))
+    save_parquet(possible_repeats(new, _read(spark, bits, FILTER)), scratch)
     marked = spark.read.parquet(scratch)
     fresh = marked
     if _exists(spark, history):
         maybe = marked.filter("_maybe")
         fresh = marked.filter("not _maybe").unionByName(not_in_history(maybe, load_by_month(spark, history, hashed), columns))
     # All of the batch: a second run of it adds the same bits, whatever the first one has appended.
-    save_parquet(filter_blocks(marked, columns), os.path.join(root, "filter", batch))
+    save_parquet(filter_blocks(marked), os.path.join(bits, batch))
     seen = Observation("added")
-    counted = fresh.select(*columns, "_key", MONTH).observe(seen, F.count(F.lit(1)).alias("n"))
+    # Dealt by month: a task opens files of few months, not one of every month. Counted
+    # behind that, as an empty batch leaves nothing to count before it.
+    counted = fresh.select(*columns, "_key", MONTH).hint("rebalance", MONTH).observe(seen, F.count(F.lit(1)).alias("n"))
     counted.write.mode("append").partitionBy(MONTH).parquet(history)
     asked = marked.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_maybe"), 1)).alias("m")).first()
     _remove(spark, scratch)
@@ -212,7 +228,8 @@ def not_in_history(maybe: DataFrame, history: DataFrame, columns: list[str]) ->
         history = history.filter(named | F.col(MONTH).isNull() if None in months else named)
     asked = maybe.select(F.col("_key").alias("_k")).distinct()
     old = history.join(asked, history["_key"] == F.col("_k"), "left_semi").alias("o")
-    equal = maybe["_key"] == F.col("o._key")
+    same = F.lit(True)
     for c in columns:
-        equal = equal & maybe[c].eqNullSafe(F.col(f"o.{c}"))
-    return maybe.join(old, equal, "left_anti")
+        same = same & maybe[c].eqNullSafe(F.col(f"o.{c}"))
+    # Both sides stand by hash: a conditional is no join key, so they are neither dealt nor sorted by whole rows.
+    return maybe.join(old, (maybe["_key"] == F.col("o._key")) & F.when(same, True).otherwise(False), "left_anti")
