@@ -162,7 +162,10 @@ def folder_profile(results: Mapping[str, DataFrame], preview_rows: int = 10) ->
             )
             for i, (c, t) in enumerate(df.dtypes)
         ])
-        counted = df.agg(F.count(F.lit(1)).alias("row_count"))
+        # All columns stay alive in the count, so that it shares the shuffles of the first rows
+        # instead of computing the result a second time.
+        counted = df.agg(F.count(F.lit(1)).alias("row_count"), F.max(F.xxhash64(*df.columns)).alias("_kept"))
+        counted = counted.filter((F.col("row_count") == 0) | F.col("_kept").isNotNull()).drop("_kept")
         parts.append(
             counted.withColumn("_shown", shown)
             .select(F.lit(name).alias("dataset"), F.inline(rows), "row_count", F.lit(len(df.columns)).alias("column_count"))
