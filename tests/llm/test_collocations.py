@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,55 @@ def test_products_beyond_64_bits(spark):
     phrases = spark.createDataFrame([("x", 1, "a", big), ("x", 1, "b", big + 5), ("x", 2, "a b", big - 8)], "lang string, size int, phrase string, f long")
     (row,) = collocations.scored(phrases).collect()
     assert (row.a, row.l, row.r, row.score) == (big - 8, big, big + 5, 1_000_000 * (big - 8) ** 2 // (big * (big + 5)))
+
+
+def test_mining_moves_blocks_of_names(spark):
+    """A slice leaves one row a block and support, not one a phrase; a block's bits are those of its frequent phrases."""
+    rng = random.Random(4)
+    some = [(" ".join(f"w{rng.randrange(40)}" for _ in range(30)), rng.choice(["en", "de"]), i % 2, 2 + i % 2) for i in range(400)]
+    docs = spark.createDataFrame(some, "text string, lang string, shard int, need long").coalesce(1)
+    every = spark.sparkContext.broadcast(np.full(collocations.BITS // 8, 255, np.uint8))
+    counts = collocations.shard_counts(docs, 2, {1: every})
+    f, need = Counter(), {0: 2, 1: 3}
+    for text, lang, shard, _ in some:
+        w = text.split()
+        f.update((shard, lang, *w[i : i + 2]) for i in range(len(w) - 1))
+    rows = counts.collect()
+    blocks = collocations.BITS // collocations.BLOCK
+    assert len(rows) == len({(r.block, r.shard, r.need) for r in rows}) and max(r.block for r in rows) < blocks
+    times = np.concatenate([np.frombuffer(bytes(r.times), np.int32) for r in rows])
+    assert len(times) == len(f) and times.sum() == sum(f.values())
+    keep = {p[1:] for p, n in f.items() if n >= need[p[0]]}
+    words = [collocations.hashed(list(x)) for x in zip(*sorted(keep))]
+    names = collocations.names_of(words[0], words[1:])
+    bits = collocations.put_together(collocations.locally_frequent(counts))
+    assert collocations.held(bits, names).all() and np.unpackbits(bits).sum() == len(set(names.view(np.uint64) >> np.uint64(37)))
+
+
+def test_shuffled_rows_of_mining_do_not_grow_with_phrases(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "BITS", 1 << 17)
+    docs = spark.createDataFrame([(" ".join(f"{i}x{j}" for j in range(500)), "en", 0, 1) for i in range(40)], "text string, lang string, shard int, need long").coalesce(1)
+    every = spark.sparkContext.broadcast(np.full(1 << 14, 255, np.uint8))
+    assert collocations.shard_counts(docs, 2, {1: every}).count() == 4  # 19,960 phrases in four blocks
+
+
+def test_hashes_of_words(spark):
+    words = ["", "a", "\0", "a\0", "\0a", "é", "12345678", "123456789", "12345678\0", "x" * 255, "x" * 256, "x" * 257, "x" * 5_000]
+    assert len(set(collocations.hashed(words).tolist())) == len(words) and not len(collocations.hashed([]))
+    data, begin, end, opens, owner = collocations.found_words([" ".join(words[1:]), None, "A, b"], np.array([5, 6, 7]))
+    assert collocations.hashes_in(data, begin, end).tolist() == collocations.hashed([*words[1:], "a", "b"]).tolist()
+    assert opens.tolist() == [True, *[False] * 11, True, True] and owner.tolist() == [5] * 12 + [7, 7]
+
+
+def test_supports_of_shards(spark):
+    words = spark.createDataFrame([("en", 0, 7), ("en", 1, 93), ("de", 1, 3), ("fr", 0, 0)], "lang string, shard int, n long")
+    docs = spark.createDataFrame([("en", 0), ("en", 1), ("de", 1), ("fr", 0)], "lang string, shard int")
+    found = {(r.lang, r.shard): r.need for r in collocations.with_need(docs, words, 10).collect()}
+    assert found == {("en", 0): 1, ("en", 1): 10, ("de", 1): 10, ("fr", 0): 1}
+
+
+def test_shard_sizes_beyond_a_broadcast(spark, monkeypatch):
+    rows = texts(11, 60, "abc")
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    monkeypatch.setattr(collocations, "SIZES", 0)
+    assert mined(df) == brute(rows)
